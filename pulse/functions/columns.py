@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,27 @@ def iso_utc(ts: Column) -> Column:
     return F.when(whole, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).otherwise(
         F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     )
+
+
+def as_utc(moment: datetime) -> datetime:
+    """A naive datetime is taken as UTC."""
+    return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
+
+
+def instant(moment: datetime) -> Column:
+    """Timestamp literal that does not depend on the zone of the host."""
+    since_epoch = as_utc(moment) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    micros = (since_epoch.days * 86400 + since_epoch.seconds) * 1_000_000 + since_epoch.microseconds
+    return F.timestamp_micros(F.lit(micros))
+
+
+def between_instants(metrics: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Windows starting within [start, end]; a day partition, if any, is narrowed along with it."""
+    dated = "window_date" in metrics.columns
+    if start is not None:
+        metrics = metrics.filter(F.col("window_start") >= instant(start))
+        metrics = metrics.filter(F.col("window_date") >= F.to_date(instant(start))) if dated else metrics
+    if end is not None:
+        metrics = metrics.filter(F.col("window_start") <= instant(end))
+        metrics = metrics.filter(F.col("window_date") <= F.to_date(instant(end))) if dated else metrics
+    return metrics

@@ -1,0 +1,42 @@
+"""Joins of a fact side that may be dominated by few keys with a lookup that has one row per key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot if it holds more than one part in this many of all fact rows.
+HOT_PARTS = 1000
+
+_PIECES, _PIECE = "__pieces", "__piece"
+
+
+def hot_keys(facts: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
+    """(key, pieces) of every key with more than 1/parts of the rows.
+
+    Fewer than ``parts`` keys can have such a share, whatever the data, so the
+    result is safe to broadcast. ``pieces`` is how many average shares the key
+    holds; over all hot keys they add up to less than ``2 * parts``.
+    """
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = facts.agg(F.count(F.lit(1)).alias("__total")).scalar()
+    share = F.col("__n") * F.lit(parts) / total
+    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias(_PIECES))
+
+
+def spread_left_join(
+    facts: DataFrame, lookup: DataFrame, key: str, row_id: str, parts: int = HOT_PARTS, how: str = "left"
+) -> DataFrame:
+    """Join facts to a lookup with unique keys, hot keys split over several tasks.
+
+    Rows of a hot key are dealt to its pieces by a hash of ``row_id`` and its one
+    lookup row is copied to each piece. Facts without a key match nothing and are
+    dealt out likewise. ``how`` is ``left`` or ``inner``.
+    """
+    hot = F.broadcast(hot_keys(facts, key, parts))
+    deal = F.xxhash64(row_id)
+    pieces = F.when(F.col(key).isNull(), parts).otherwise(F.coalesce(F.col(_PIECES), F.lit(1)))
+    dealt = facts.join(hot, key, "left").withColumn(_PIECE, F.pmod(deal, pieces).cast("int")).drop(_PIECES)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    copied = lookup.join(hot, key, "left").withColumn(_PIECE, F.explode(copies)).drop(_PIECES)
+    return dealt.join(copied, [key, _PIECE], how).drop(_PIECE)
