@@ -218,7 +218,8 @@ def order_match(spark, sf_dir):
 
 
 def continuity(spark, sf_dir):
-    return _plain(stock_continuity(_events(spark, sf_dir)))
+    found = stock_continuity(_events(spark, sf_dir))
+    return _plain(found.withColumn("is_continuous", F.col("is_continuous").cast("int")))
 
 
 def lag(spark, sf_dir):

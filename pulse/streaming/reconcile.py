@@ -30,7 +30,7 @@ def reconcile_payment_stream(
         F.col("total_amount").alias("order_amount"),
         F.col("currency").alias("order_currency"),
         F.col("user_id").alias("order_user_id"),
-        F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("bigint").alias("order_piece"),
+        F.explode(F.expr(f"sequence(0L, {pieces - 1}L)")).alias("order_piece"),
     )
     belongs = (
         (F.col("order_id") == F.col("order_key"))

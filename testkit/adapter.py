@@ -11,21 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.config import JobConfig
-from pulse.contract import EVENT_CONTRACT, PAYMENT_METHODS
+from pulse.contract import EVENT_CONTRACT
 from pulse.functions.columns import iso_utc, once
 from pulse.operators.normalize import normalize_events
 
-# Fixed values of the mapping: table event type -> contract event type.
-TYPE_OF = {
-    "view": "page_view",
-    "click": "add_to_cart",
-    "purchase": "order_created",
-    "signup": "payment_processed",
-    "error": "inventory_updated",
-}
-# Two neighbouring products share a category.
-CATEGORIES = ("electronics", "books", "fashion", "home", "health")
-
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -41,78 +30,65 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# Fixed values of the mapping, column by column; n is the event id, k the number in props.
+BASE = (
+    "event_id AS n",
+    "cast(event_id AS string) AS event_id",
+    "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' WHEN 'purchase' THEN 'order_created'"
+    " WHEN 'signup' THEN 'payment_processed' WHEN 'error' THEN 'inventory_updated' END AS event_type",
+    "cast(ts AS timestamp) AS event_at",
+    "cast(ts AS timestamp) + make_dt_interval(0, 0, 0, event_id % 21) AS produced_at",
+    "cast(user_id AS string) AS user_id",
+    "cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS k",
+    "value",
+)
+ENVELOPE = ("event_id", "event_type", "event_at", "produced_at", "user_id",
+            "concat('sess_', user_id) AS session_id", "'testdata' AS source")
+PAYLOAD = {
+    "page": "CASE WHEN event_type = 'page_view' THEN '/product' END",
+    "product_id": "CASE WHEN event_type IN ('page_view', 'add_to_cart', 'inventory_updated')"
+                  " THEN concat('prd_', 1001 + n % 10) END",
+    # Two neighbouring products share a category.
+    "category": "CASE WHEN event_type = 'page_view' THEN"
+                " element_at(array('electronics', 'books', 'fashion', 'home', 'health'), int(n % 10 div 2) + 1) END",
+    "referrer": "CASE WHEN event_type = 'page_view' THEN 'direct' END",
+    "quantity": "CASE WHEN event_type = 'add_to_cart' THEN 1 + k % 4 END",
+    "unit_price": "CASE WHEN event_type = 'add_to_cart' THEN value END",
+    "currency": "CASE WHEN event_type IN ('add_to_cart', 'order_created', 'payment_processed') THEN 'BRL' END",
+    "order_id": "CASE event_type WHEN 'order_created' THEN concat('ord_', n)"
+                " WHEN 'payment_processed' THEN concat('ord_', n - 1) END",
+    "items_count": "CASE WHEN event_type = 'order_created' THEN 1 + k % 5 END",
+    "total_amount": "CASE WHEN event_type = 'order_created' THEN value END",
+    "channel": "CASE WHEN event_type = 'order_created' THEN 'web' END",
+    "payment_id": "CASE WHEN event_type = 'payment_processed' THEN concat('pay_', n) END",
+    "payment_method": "CASE WHEN event_type = 'payment_processed' THEN"
+                      " element_at(array('credit_card', 'pix', 'debit_card', 'wallet', 'boleto'), int(n % 5) + 1) END",
+    "payment_status": "CASE WHEN event_type = 'payment_processed' THEN"
+                      " CASE WHEN k < 82 THEN 'approved' WHEN k < 94 THEN 'declined' ELSE 'pending' END END",
+    "amount": "CASE WHEN event_type = 'payment_processed' THEN value END",
+    "warehouse_id": "CASE WHEN event_type = 'inventory_updated' THEN concat('wh_0', 1 + n % 3) END",
+    "delta_qty": "CASE WHEN event_type = 'inventory_updated' THEN k - 50 END",
+    "stock_after": "CASE WHEN event_type = 'inventory_updated' THEN k END",
+    "reason": "CASE WHEN event_type = 'inventory_updated' THEN 'adjustment' END",
+}
 
 
 def event_fields(events: DataFrame) -> DataFrame:
-    """Envelope and payload columns, times still as ISO-8601 text."""
-    event_id = F.col("event_id")
-    event_type = F.element_at(
-        F.create_map(*[F.lit(x) for pair in TYPE_OF.items() for x in pair]), F.col("event_type")
-    )
-    ts = F.col("ts").cast("timestamp")
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    product = F.concat(F.lit("prd_"), (1001 + event_id % 10).cast("string"))
-    base = events.select(
-        event_id.cast("string").alias("event_id"),
-        event_type.alias("event_type"),
-        iso_utc(ts).alias("event_time"),
-        iso_utc(ts + F.make_dt_interval(secs=event_id % 21)).alias("producer_time"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.concat(F.lit("sess_"), F.col("user_id").cast("string")).alias("session_id"),
-        F.lit("testdata").alias("source"),
-        event_id.alias("n"),
-        k.alias("k"),
-        "value",
-        product.alias("product"),
-    )
-    n, k, value, product = F.col("n"), F.col("k"), F.col("value"), F.col("product")
-
-    def only(*types: str):
-        return lambda column: F.when(F.col("event_type").isin(*types), column)
-
-    view, cart, order = only("page_view"), only("add_to_cart"), only("order_created")
-    payment, stock = only("payment_processed"), only("inventory_updated")
-    status = F.when(k < 82, "approved").when(k < 94, "declined").otherwise("pending")
-    payload = {
-        "page": view(F.lit("/product")),
-        "product_id": only("page_view", "add_to_cart", "inventory_updated")(product),
-        "category": view(_pick(CATEGORIES, F.floor(n % 10 / 2))),
-        "referrer": view(F.lit("direct")),
-        "quantity": cart(1 + k % 4),
-        "unit_price": cart(value),
-        "currency": only("add_to_cart", "order_created", "payment_processed")(F.lit("BRL")),
-        "order_id": F.when(F.col("event_type") == "order_created", F.concat(F.lit("ord_"), n))
-        .when(F.col("event_type") == "payment_processed", F.concat(F.lit("ord_"), n - 1)),
-        "items_count": order(1 + k % 5),
-        "total_amount": order(value),
-        "channel": order(F.lit("web")),
-        "payment_id": payment(F.concat(F.lit("pay_"), n)),
-        "payment_method": payment(_pick(PAYMENT_METHODS, n % 5)),
-        "payment_status": payment(status),
-        "amount": payment(value),
-        "warehouse_id": stock(F.format_string("wh_%02d", 1 + n % 3)),
-        "delta_qty": stock(k - 50),
-        "stock_after": stock(k),
-        "reason": stock(F.lit("adjustment")),
-    }
-    types = {f.name: f.spark_type for f in EVENT_CONTRACT.payload_fields}
-    return base.select(
-        *[f.name for f in EVENT_CONTRACT.envelope],
-        *[payload[name].cast(kind).alias(name) for name, kind in types.items()],
-    )
+    """Envelope and payload columns, times as ISO-8601 text."""
+    columns = [f"{sql} AS {name}" for name, sql in PAYLOAD.items()]
+    mapped = events.selectExpr(*BASE).selectExpr(*ENVELOPE, *columns)
+    times = {"event_time": iso_utc(F.col("event_at")), "producer_time": iso_utc(F.col("produced_at"))}
+    return mapped.withColumns(times).select(*EVENT_CONTRACT.flat_names)
 
 
-def json_value(fields: DataFrame) -> Column:
-    names = [f.name for f in EVENT_CONTRACT.payload_fields]
-    payload = F.struct(*names).alias("payload")
-    return F.to_json(F.struct(*[f.name for f in EVENT_CONTRACT.envelope], payload))
+def json_value() -> Column:
+    envelope = ", ".join(f.name for f in EVENT_CONTRACT.envelope)
+    return F.expr(f"to_json(struct({envelope}, struct({', '.join(PAYLOAD)}) AS payload))")
 
 
 def as_records(fields: DataFrame) -> DataFrame:
     """Broker records of the events; the JSON text is built once per event."""
-    return once(fields, "json", json_value(fields)).select(
+    return once(fields, "json", json_value()).select(
         F.col("user_id").cast("binary").alias("key"),
         F.col("json").cast("binary").alias("value"),
         F.lit("events.raw").alias("topic"),
@@ -128,7 +104,6 @@ def event_records(events: DataFrame) -> DataFrame:
 
 def flat_events(events: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """Normalised events without the JSON round trip."""
-    broker = {"kafka_key": F.col("user_id"), "kafka_topic": F.lit("events.raw"), "kafka_partition": F.lit(0),
-              "kafka_offset": F.col("event_id").cast("bigint"),
-              "kafka_timestamp": F.try_to_timestamp("producer_time")}
-    return normalize_events(event_fields(events).withColumns(broker), config)
+    broker = ("user_id AS kafka_key", "'events.raw' AS kafka_topic", "0 AS kafka_partition",
+              "bigint(event_id) AS kafka_offset", "try_to_timestamp(producer_time) AS kafka_timestamp")
+    return normalize_events(event_fields(events).selectExpr(*broker, "*"), config)

@@ -59,7 +59,7 @@ def faulty_values(events: DataFrame) -> DataFrame:
             ).otherwise(F.col("warehouse_id")),
         }
     )
-    texted = once(changed, "json", json_value(changed))
+    texted = once(changed, "json", json_value())
     text = F.col("json")
     fault = F.col("fault")
     value = (

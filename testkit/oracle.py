@@ -17,10 +17,12 @@ base AS (
 ),
 ev AS (
     SELECT CAST(n AS VARCHAR) AS event_id, n, k, event_type, event_ts, producer_ts,
-           strftime(event_ts, CASE WHEN date_part('microsecond', event_ts) % 1000000 = 0
-               THEN '%Y-%m-%dT%H:%M:%S+00:00' ELSE '%Y-%m-%dT%H:%M:%S.%f+00:00' END) AS event_time,
-           strftime(producer_ts, CASE WHEN date_part('microsecond', producer_ts) % 1000000 = 0
-               THEN '%Y-%m-%dT%H:%M:%S+00:00' ELSE '%Y-%m-%dT%H:%M:%S.%f+00:00' END) AS producer_time,
+           CASE WHEN date_part('microsecond', event_ts) % 1000000 = 0
+                THEN strftime(event_ts, '%Y-%m-%dT%H:%M:%S+00:00')
+                ELSE strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS event_time,
+           CASE WHEN date_part('microsecond', producer_ts) % 1000000 = 0
+                THEN strftime(producer_ts, '%Y-%m-%dT%H:%M:%S+00:00')
+                ELSE strftime(producer_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS producer_time,
            user_id, 'sess_' || user_id AS session_id, 'testdata' AS source,
            CASE WHEN event_type = 'page_view' THEN '/product' END AS page,
            CASE WHEN event_type IN ('page_view', 'add_to_cart', 'inventory_updated')
@@ -234,7 +236,7 @@ ORACLE = {
             SELECT product_id, producer_ts AS moved_at, event_id, warehouse_id, delta_qty, stock_after,
                    lag(stock_after) OVER (PARTITION BY product_id ORDER BY producer_ts, event_id) AS previous_stock
             FROM ev WHERE event_type = 'inventory_updated')
-        SELECT *, previous_stock + delta_qty = stock_after AS is_continuous FROM moves""",
+        SELECT *, CAST(previous_stock + delta_qty = stock_after AS INTEGER) AS is_continuous FROM moves""",
     "producer_lag": f"""WITH {EV}, d AS (SELECT {DAY}, CAST(n % 21 AS DOUBLE) AS lag FROM ev)
         SELECT window_start, window_end, count(*) AS n_events, round(avg(lag), 6) AS avg_lag, max(lag) AS max_lag
         FROM d GROUP BY window_start, window_end""",
@@ -289,5 +291,16 @@ ORACLE = {
     "stream_metrics": f"""WITH {BY_MINUTE} SELECT {METRIC} FROM metrics
         WHERE metric_name <> 'active_users_per_minute'
           AND window_end <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev)""",
+    # Matches within the interval bound come at once, orphans when the watermark has passed their bound.
+    "stream_payments": f"""WITH {PAYMENTS}, bounded AS (
+            SELECT p.event_id, p.order_id, o.order_ts, p.event_ts,
+                   CASE WHEN o.order_ts IS NULL THEN 'orphan'
+                        WHEN p.amount = o.order_amount AND p.currency = o.order_currency
+                             AND p.user_id = o.order_user_id THEN 'match' ELSE 'mismatch' END AS status
+            FROM payments p LEFT JOIN orders_seen o ON p.order_id = o.order_id
+             AND o.order_ts BETWEEN p.event_ts - INTERVAL 1 HOUR AND p.event_ts + INTERVAL 1 MINUTE)
+        SELECT event_id, order_id, order_ts, status FROM bounded
+        WHERE status <> 'orphan' OR event_ts + INTERVAL 1 MINUTE
+            < (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev)""",
     "stream_dedup": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
 }
