@@ -300,8 +300,8 @@ def stream_payments(spark, sf_dir):
     """Stream-stream reconciliation; payments whose bound the watermark has passed, and all matches."""
     configure(spark, CONFIG)
     root = scratch_dir(spark, "stream-payments")
-    events = flat_events(stream_events(spark, sf_dir), CONFIG)
-    reconciled = reconcile_payment_stream(events, before="1 hour", after="1 minute")
+    payments, orders = (flat_events(stream_events(spark, sf_dir), CONFIG) for _ in range(2))
+    reconciled = reconcile_payment_stream(payments, orders, before="1 hour", after="1 minute")
     _drain(reconciled, f"{root}/out", f"{root}/checkpoint")
     return _plain(spark.read.parquet(f"{root}/out").select("event_id", "order_id", "order_ts", "status"))
 

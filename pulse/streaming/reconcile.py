@@ -10,21 +10,30 @@ from pulse.operators.reconcile import compare_with_order, payment_facts
 
 
 def reconcile_payment_stream(
-    events: DataFrame, before: str = "1 hour", after: str = "1 minute", pieces: int = 8
+    payment_events: DataFrame,
+    order_events: DataFrame,
+    before: str = "1 hour",
+    after: str = "1 minute",
+    pieces: int = 8,
 ) -> DataFrame:
     """Payments with their order, matches at once, orphans when their time is over.
 
-    ``events`` is a stream of normalised events with its watermark set. An order
-    belongs to a payment if it happened at most ``before`` earlier or ``after``
-    later (both times lag independently); the bound on both sides lets Spark drop
-    state. A payment without an order comes out once the watermark has passed its
-    bound. Payments are dealt over ``pieces`` tasks by their id and orders copied
-    to each, so that one much-referenced order is not one task; a running query
-    cannot find out which keys are hot. Repeated orders repeat matches: put
+    Both sides are streams from `normalize_events`, normalised separately even if
+    they read the same topic: two branches of one stream would share one watermark
+    node, and Spark would keep the mark of either branch instead of the lower one.
+    The watermark then follows the slower of orders and payments; other events do
+    not move it, as the filters on event type run below it.
+
+    An order belongs to a payment if it happened at most ``before`` earlier or
+    ``after`` later (both times lag independently); the bound on both sides lets
+    Spark drop state. A payment without an order comes out once the watermark has
+    passed its bound. Payments are dealt over ``pieces`` tasks by their id and orders
+    copied to each, so that one much-referenced order is not one task; a running
+    query cannot find out which keys are hot. Repeated orders repeat matches: put
     `dedup_events` first where the source delivers more than once.
     """
-    payments = payment_facts(events).withColumn("piece", F.pmod(F.xxhash64("event_id"), F.lit(pieces)))
-    orders = events.filter(is_type("order_created") & F.col("order_id").isNotNull()).select(
+    payments = payment_facts(payment_events).withColumn("piece", F.pmod(F.xxhash64("event_id"), F.lit(pieces)))
+    orders = order_events.filter(is_type("order_created") & F.col("order_id").isNotNull()).select(
         F.col("order_id").alias("order_key"),
         F.col("event_ts").alias("order_ts"),
         F.col("total_amount").alias("order_amount"),

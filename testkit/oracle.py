@@ -291,7 +291,8 @@ ORACLE = {
     "stream_metrics": f"""WITH {BY_MINUTE} SELECT {METRIC} FROM metrics
         WHERE metric_name <> 'active_users_per_minute'
           AND window_end <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev)""",
-    # Matches within the interval bound come at once, orphans when the watermark has passed their bound.
+    # Matches within the interval bound come at once, orphans when the watermark has passed their bound;
+    # it follows the slower of the two sides.
     "stream_payments": f"""WITH {PAYMENTS}, bounded AS (
             SELECT p.event_id, p.order_id, o.order_ts, p.event_ts,
                    CASE WHEN o.order_ts IS NULL THEN 'orphan'
@@ -301,6 +302,7 @@ ORACLE = {
              AND o.order_ts BETWEEN p.event_ts - INTERVAL 1 HOUR AND p.event_ts + INTERVAL 1 MINUTE)
         SELECT event_id, order_id, order_ts, status FROM bounded
         WHERE status <> 'orphan' OR event_ts + INTERVAL 1 MINUTE
-            < (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev)""",
+            < (SELECT date_trunc('millisecond', least(max(event_ts) FILTER (WHERE event_type = 'order_created'),
+                   max(event_ts) FILTER (WHERE event_type = 'payment_processed'))) - INTERVAL 2 MINUTE FROM ev)""",
     "stream_dedup": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
 }
