@@ -5,24 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.functions.columns import is_type
+from pulse.functions.columns import event_identity, is_type
 
 
-def stock_continuity(events: DataFrame, slice_length: str = "10 minutes") -> DataFrame:
+def stock_continuity(events: DataFrame, slice_length: str = "1 minute") -> DataFrame:
     """Each inventory event with the product's previous level and whether the delta explains the new one.
 
     Events are ordered by producer time (event time where there is none), then id,
-    across warehouses. A product's
-    history is cut into slices of producer time, so the rows one task sorts are
-    bounded by a product's rate and not by the length of the table. Within a slice
-    the previous level is a `lag`; the first event of a slice takes the last level
-    of the product's previous slice, from a table of one row per product and slice.
+    across warehouses. A product's history is cut into slices of that time, so the
+    rows one task sorts are bounded by a product's rate and not by the length of the
+    table. Within a slice the previous level is a `lag`; the first event of a slice
+    takes the last level of the product's previous slice, from a table of one row per
+    product and slice. An event that names no product has no previous level.
     """
     moves = events.withColumn("moved_at", F.coalesce("producer_ts", "event_ts")).filter(
         is_type("inventory_updated")
     )
     moves = moves.select(
         "product_id",
+        F.coalesce(F.concat(F.lit("product/"), "product_id"), event_identity()).alias("series"),
         F.window("moved_at", slice_length).start.alias("slice"),
         "moved_at",
         "event_id",
@@ -30,25 +31,22 @@ def stock_continuity(events: DataFrame, slice_length: str = "10 minutes") -> Dat
         "delta_qty",
         "stock_after",
     )
-    in_slice = Window.partitionBy("product_id", "slice").orderBy("moved_at", "event_id")
-    over_slices = Window.partitionBy("product_id").orderBy("slice")
+    in_slice = Window.partitionBy("series", "slice").orderBy("moved_at", "event_id")
+    over_slices = Window.partitionBy("series").orderBy("slice")
 
     last_levels = (
-        moves.groupBy("product_id", "slice")
+        moves.groupBy("series", "slice")
         .agg(F.max(F.struct("moved_at", "event_id", "stock_after")).alias("last"))
-        .select("product_id", "slice", F.lag("last.stock_after").over(over_slices).alias("carried"))
+        .select("series", "slice", F.lag("last.stock_after").over(over_slices).alias("carried"))
     )
     lagged = moves.withColumns(
         {"in_slice": F.lag("stock_after").over(in_slice), "position": F.row_number().over(in_slice)}
     )
-    same_slice = F.col("m.product_id").eqNullSafe(F.col("l.product_id")) & F.col("m.slice").eqNullSafe(F.col("l.slice"))
     previous = F.when(F.col("position") == 1, F.col("carried")).otherwise(F.col("in_slice"))
+    # Keyed like the window, so the join needs no further shuffle of the events.
     return (
-        lagged.alias("m")
-        .join(last_levels.alias("l"), same_slice, "left")
-        .select(
-            F.col("m.product_id").alias("product_id"), "moved_at", "event_id", "warehouse_id", "delta_qty",
-            "stock_after", previous.alias("previous_stock"),
-        )
+        lagged.join(last_levels, ["series", "slice"], "left")
+        .select("product_id", "moved_at", "event_id", "warehouse_id", "delta_qty", "stock_after",
+                previous.alias("previous_stock"))
         .withColumn("is_continuous", F.col("previous_stock") + F.col("delta_qty") == F.col("stock_after"))
     )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.config import JobConfig
 from pulse.contract import DOMAIN_TOPICS, EXPECTED_MIX
+from pulse.functions.columns import event_identity
 
 
 def producer_lag(events: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
@@ -58,12 +59,6 @@ def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -
     )
 
 
-def event_identity() -> Column:
-    """The event id; a record without one is identified by its place in the broker."""
-    place = F.concat_ws("/", F.lit("record"), "kafka_topic", "kafka_partition", "kafka_offset")
-    return F.coalesce(F.concat(F.lit("event/"), F.col("event_id")), place)
-
-
 def dedup_events(events: DataFrame) -> DataFrame:
     """One row per event id.
 

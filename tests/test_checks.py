@@ -125,6 +125,11 @@ def test_continuity_does_not_depend_on_the_slices(spark, slice_length):
     assert found == expected
 
 
+def test_moves_without_a_product_have_no_previous_level(spark):
+    rows = events(spark, *[move(i, None, f"2026-03-07T18:00:0{i}Z", 0, 5) for i in range(3)])
+    assert [r.previous_stock for r in stock_continuity(rows).collect()] == [None] * 3
+
+
 def test_continuity_keeps_moves_without_a_producer_time(spark):
     rows = events(spark, move(1, "a", "2026-03-07T18:00:00Z", 5, 5),
                   {**move(2, "a", "2026-03-07T18:00:01Z", 1, 6), "producer_time": "soon"})
