@@ -79,7 +79,7 @@ def _plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, TimestampType):
             column = column.cast("timestamp_ntz")
         elif field.dataType.typeName() == "double":
-            column = F.round(column, 6)
+            column = F.round(column, 6) + F.lit(0.0)  # no negative zero
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -259,7 +259,8 @@ def archive(spark, sf_dir):
 
 
 def _archive_counts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy("verdict", "event_date").agg(
+    day = F.col("event_date").cast("string").alias("event_date")
+    return spark.read.parquet(path).groupBy("verdict", day).agg(
         F.count(F.lit(1)).alias("n_records"), F.count("raw_json").alias("n_raw")
     )
 

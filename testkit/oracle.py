@@ -140,9 +140,8 @@ faulty AS (
 
 ARCHIVE = f"""WITH {FAULTY}
 SELECT CASE WHEN reason_code IS NULL THEN 'valid' ELSE 'rejected' END AS verdict,
-       CASE WHEN n % {PERIOD} IN (0, 7, 10, 11)
-            THEN CAST(TIMESTAMP '2024-01-01 00:00:00' + n * INTERVAL 60 SECOND AS DATE)
-            ELSE CAST(event_ts AS DATE) END AS event_date,
+       strftime(CASE WHEN n % {PERIOD} IN (0, 7, 10, 11) THEN TIMESTAMP '2024-01-01 00:00:00' + n * INTERVAL 60 SECOND
+                     ELSE event_ts END, '%Y-%m-%d') AS event_date,
        count(*) AS n_records, count(reason_code) AS n_raw
 FROM faulty GROUP BY ALL"""
 
@@ -246,7 +245,7 @@ ORACLE = {
         counted AS (SELECT event_type, count(*) AS n_events FROM ev GROUP BY event_type)
         SELECT x.event_type, coalesce(n_events, 0) AS n_events,
                round(coalesce(n_events, 0)::DOUBLE / (SELECT count(*) FROM ev), 6) AS share, expected_share,
-               round(coalesce(n_events, 0)::DOUBLE / (SELECT count(*) FROM ev) - expected_share, 6) AS deviation
+               round(coalesce(n_events, 0)::DOUBLE / (SELECT count(*) FROM ev) - expected_share, 6) + 0 AS deviation
         FROM expected x LEFT JOIN counted c ON x.event_type = c.event_type""",
     "dedup_events": f"""WITH {EV}, twice AS (SELECT * FROM ev UNION ALL SELECT * FROM ev),
         numbered AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts) AS copy FROM twice)
@@ -277,8 +276,8 @@ ORACLE = {
             FROM metrics
             WINDOW recent AS (PARTITION BY metric_name, dimension_key, dimension_value ORDER BY window_start
                 RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 1 SECOND PRECEDING))
-        SELECT {METRIC}, n_history, round(mean, 6) AS mean, round(deviation, 6) AS deviation,
-               round(CASE WHEN deviation > 1e-9 THEN (metric_value - mean) / deviation END, 6) AS z_score
+        SELECT {METRIC}, n_history, round(mean, 6) + 0 AS mean, round(deviation, 6) + 0 AS deviation,
+               round(CASE WHEN deviation > 1e-9 THEN (metric_value - mean) / deviation END, 6) + 0 AS z_score
         FROM scored""",
     "alerts": f"""WITH {BY_MINUTE}, rules(metric_name, low, high, severity) AS (VALUES
             ('payment_success_rate', 0.5::DOUBLE, NULL::DOUBLE, 'critical'),
