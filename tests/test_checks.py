@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from builders import as_set, event, events
 from conftest import SF_DIR
-from pulse.config import JobConfig
 from pulse.contract import EVENT_TYPES
 from pulse.functions.skew import hot_keys, spread_left_join
 from pulse.operators.continuity import stock_continuity

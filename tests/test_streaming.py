@@ -5,7 +5,7 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from builders import as_set, event, records, values
+from builders import event, records, values
 from conftest import SMALL_DIR
 from pulse.config import JobConfig
 from pulse.contract import RECORD_SCHEMA
