@@ -38,6 +38,18 @@ from testkit.adapter import event_records, flat_events, read_events, stream_even
 from testkit.faults import faulty_records
 from testkit.scratch import scratch_dir
 
+try:  # the operators for training-data pipelines are a separate part that may be absent
+    import corpus_pipeline
+    from pulse.llm.oracles import ORACLES as LLM_ORACLES
+    from pulse.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "pulse.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_ORACLES = LLM_ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 CONFIG = JobConfig()
 DAILY = JobConfig(window_duration="1 day", slide_duration="1 day")
 SLIDING = JobConfig(window_duration="5 minutes", slide_duration="1 minute")
@@ -383,10 +395,11 @@ def queries() -> dict[str, Query]:
         "stream_payments": stream_payments,
         "stream_dedup": stream_dedup,
         "stream_archive": stream_archive,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from testkit.oracle import ORACLE
 
-    return dict(ORACLE)
+    return ORACLE | LLM_ORACLES
