@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pulse.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 URL_FILTER = f"""
@@ -22,6 +24,76 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (host, path)
 """
 
+BREAKS = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def words_of(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), {UPPER_TO_LOWER})"
+    return f"list_filter(regexp_split_to_array({lowered}, {BREAKS}), lambda w: w <> '')"
+
+
+DECONTAMINATION = f"""
+WITH items AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item, {words_of("text")} AS words FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(13, len(words)) AS n,
+           array_to_string(list_slice(words, start + 1, start + least(13, len(words))), ' ') AS win
+    FROM items, unnest(range(0, greatest(len(words) - 12, 1))) AS t(start)
+    WHERE len(words) > 0),
+docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, {words_of("text")} AS words FROM documents),
+doc_windows AS (
+    SELECT row_no, start, n, array_to_string(list_slice(words, start + 1, start + n), ' ') AS win
+    FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(0, greatest(len(words) - n + 1, 0))) AS t(start)),
+hits AS (SELECT row_no, start, n, item FROM doc_windows JOIN windows USING (n, win)),
+words_hit AS (
+    SELECT row_no, count(DISTINCT pos) AS n_hit FROM hits, unnest(range(start, start + n)) AS t(pos) GROUP BY row_no),
+items_hit AS (
+    SELECT row_no, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+    FROM hits GROUP BY row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN words_hit USING (row_no) LEFT JOIN items_hit USING (row_no)
+"""
+
+
+def license_scan(phrases: tuple, templates: tuple, threshold: float) -> str:
+    """Every block of every template is intersected in full, without candidate search."""
+    listed = ", ".join(f"('{text}', '{label}', false)" for text, label in phrases)
+    listed += ", " + ", ".join(f"('{text}', '{label}', true)" for text, label in templates)
+    return f"""
+WITH entries(entry, label, is_template) AS (VALUES {listed}),
+entry_words AS (
+    SELECT label, is_template, string_split(entry, ' ') AS tokens, len(string_split(entry, ' ')) AS span FROM entries),
+docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, {words_of("text")} AS words FROM documents),
+places AS (
+    SELECT row_no, label, start FROM docs, entry_words, unnest(range(0, greatest(len(words) - span + 1, 0))) AS t(start)
+    WHERE NOT is_template AND words[start + 1] = tokens[1] AND list_slice(words, start + 1, start + span) = tokens),
+blocks AS (
+    SELECT row_no, label,
+           len(list_intersect(list_distinct(tokens), list_slice(words, start + 1, start + 2 * span)))
+           / len(list_distinct(tokens)) AS score
+    FROM docs, entry_words, unnest(range(0, len(words), span)) AS t(start) WHERE is_template),
+found AS (SELECT row_no, label, score FROM blocks WHERE score >= {threshold} - 1e-9),
+by_place AS (
+    SELECT row_no, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY row_no),
+by_label AS (
+    SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT row_no, label FROM places UNION ALL SELECT row_no, label FROM found) GROUP BY row_no),
+best AS (SELECT row_no, max(score) AS score FROM found GROUP BY row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE, 6) AS score
+FROM docs LEFT JOIN by_place USING (row_no) LEFT JOIN by_label USING (row_no) LEFT JOIN best USING (row_no)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_license_scan": license_scan(PHRASES, TEMPLATES, THRESHOLD),
+    "op4_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
 }

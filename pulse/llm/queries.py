@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.decontaminate import find_contamination, per_row
+from pulse.llm.licenses import scan_licenses
 from pulse.llm.packing import pack_documents
 from pulse.llm.sharding import shard_documents
 from pulse.llm.urls import judge_urls
@@ -25,11 +27,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _joined_labels(labels: Column) -> Column:
+    return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = per_row(scan_licenses(_table(spark, sf_dir, "documents")))
+    starts, base = F.col("places.start"), F.col("places.label")
+    best = F.coalesce(F.array_max(F.col("blocks.score")), F.lit(0.0))
+    return found.select(
+        F.col("__key").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        _joined_labels(base).alias("base_labels"),
+        _joined_labels(F.concat(base, F.col("blocks.label"))).alias("labels"),
+        F.round(F.when(F.size("places") > 0, 1.0).otherwise(best), 6).alias("score"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = per_row(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+    return found.select(
+        F.col("__key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -39,7 +66,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op3_sharding": op3_sharding,
+    "op4_decontamination": op4_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
 }
