@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulse.llm.decontaminate import find_contamination, per_row
 from pulse.llm.licenses import scan_licenses
 from pulse.llm.packing import pack_documents
+from pulse.llm.quality import judge_quality
 from pulse.llm.sharding import shard_documents
 from pulse.llm.urls import judge_urls
 
@@ -57,6 +58,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *measures, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
 }
