@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.chat import format_conversations, read_loss, read_turns
 from pulse.llm.decontaminate import find_contamination, per_row
 from pulse.llm.licenses import scan_licenses
 from pulse.llm.packing import pack_documents
@@ -64,6 +65,35 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *measures, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant")
+        .alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    windows = format_conversations(given.unionByName(planted))
+    turns = F.transform(read_turns(F.col("formatted"), F.col("n_repeated")),
+                        lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = windows.select(
+        "key", "conv", "window", F.size(turns).alias("n"), F.array_join(turns, "").alias("turns"),
+        read_loss(F.col("formatted"), F.col("loss")).alias("loss"), F.char_length("formatted").alias("chars"),
+    )
+    # The contract asks for one digest of a whole conversation, which one row has to hold.
+    whole = read.groupBy("key").agg(
+        F.first("conv").alias("conv_id"), F.sum("n").cast("long").alias("n_turns"),
+        F.array_sort(F.collect_list(F.struct("window", "turns", "loss"))).alias("parts"),
+        F.sum("chars").cast("long").alias("formatted_chars"),
+    )
+    loss = F.array_join(F.col("parts.loss"), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join(F.col("parts.turns"), ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -77,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op8_chat_format": op8_chat_format,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
 }
