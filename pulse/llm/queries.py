@@ -13,6 +13,7 @@ from pulse.llm.licenses import scan_licenses
 from pulse.llm.packing import pack_documents
 from pulse.llm.quality import judge_quality
 from pulse.llm.sharding import shard_documents
+from pulse.llm.toxicity import judge_toxicity, train_toxicity
 from pulse.llm.urls import judge_urls
 
 SHARDS = 24
@@ -65,6 +66,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *measures, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return judge_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
