@@ -5,18 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulse.llm.decontaminate import drop_contaminated
+from pulse.llm.linededup import drop_repeated_lines
+from pulse.llm.neardup import keep_one_of_each
 from pulse.llm.packing import pack_documents
 from pulse.llm.shared import written
+from pulse.llm.toxicity import drop_toxic, train_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain, trained on the labelled ones, does not reject."""
+    return drop_toxic(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that occur earlier; documents of nothing else go, and ``n_chars`` follows the text."""
+    kept = drop_repeated_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated with benchmark passages."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents with their places in training sequences."""
     return pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("packing", packing),
 ]
 

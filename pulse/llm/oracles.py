@@ -92,8 +92,39 @@ FROM docs LEFT JOIN by_place USING (row_no) LEFT JOIN by_label USING (row_no) LE
 """
 
 
+LINE_DEDUP = f"""
+WITH lines AS (
+    SELECT doc_id, line - 1 AS line, string_split(text, chr(10))[line] AS content
+    FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(line)),
+worded AS (SELECT doc_id, line, {words_of("content")} AS words FROM lines),
+sets AS (
+    SELECT doc_id, line, list_sort(list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+           lambda i: array_to_string(list_slice(words, i, i + 4), ' ')))) AS tokens
+    FROM worded WHERE len(words) > 0),
+first AS (SELECT tokens, min(struct_pack(d := doc_id, l := line)) AS place FROM sets GROUP BY tokens),
+numbered AS (SELECT row_number() OVER () AS id, tokens, place FROM first),
+spread AS (SELECT id, unnest(tokens) AS token FROM numbered),
+pairs AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM spread a JOIN spread b ON a.token = b.token AND a.id <> b.id
+          GROUP BY a.id, b.id),
+alike AS (
+    SELECT DISTINCT x.id FROM pairs JOIN numbered x ON x.id = a JOIN numbered y ON y.id = b
+    WHERE y.place < x.place AND shared >= 0.8 * (len(x.tokens) + len(y.tokens) - shared) - 1e-9),
+gone AS (
+    SELECT doc_id, line FROM sets JOIN numbered USING (tokens) LEFT JOIN alike USING (id)
+    WHERE alike.id IS NOT NULL OR struct_pack(d := doc_id, l := line) <> place),
+by_doc AS (
+    SELECT l.doc_id, count(g.line) AS n_removed, string_agg(g.line::VARCHAR, ',' ORDER BY l.line) AS removed_lines,
+           string_agg(CASE WHEN g.line IS NULL THEN content END, chr(10) ORDER BY l.line) AS kept
+    FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id)
+SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(removed_lines, '') AS removed_lines, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text
+FROM documents LEFT JOIN by_doc USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(PHRASES, TEMPLATES, THRESHOLD),
+    "op2_line_dedup": LINE_DEDUP,
     "op4_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
 }

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pulse.llm.chat import format_conversations, read_loss, read_turns
 from pulse.llm.decontaminate import find_contamination, per_row
 from pulse.llm.licenses import scan_licenses
+from pulse.llm.linededup import dedup_lines
+from pulse.llm.neardup import near_duplicates
 from pulse.llm.packing import pack_documents
 from pulse.llm.quality import judge_quality
 from pulse.llm.sharding import shard_documents
@@ -47,6 +49,15 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    return dedup_lines(docs).select(
+        "doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"),
+        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"), "text",
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -66,6 +77,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *measures, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return judge_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
@@ -110,9 +126,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
     "op9_url_filter": op9_url_filter,
