@@ -325,25 +325,27 @@ def without_lines(text: Column, lines: Column) -> Column:
     return F.array_join(F.filter(parts, lambda part, i: ~F.array_contains(lines, i)), "\n")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with shortened texts, and ``removed_lines`` and ``removed_by`` (null where nothing went)."""
-    gone = written(removed_lines(docs, key, text, threshold), "removed")
-    loses = maybe_member(docs, members(gone), key)
+def _shortened(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """The documents with shortened texts and ``__lines, __by`` (null where nothing went)."""
+    gone = written(removed_lines(docs, key, text, threshold), "removed").toDF("__number", "__lines", "__by")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn("__loses", maybe_member(docs, members(gone.select(F.col("__number").alias("key"))), key))
     number = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
-    columns = [c for c in docs.columns if c not in ("removed_lines", "removed_by")]
-    marked = docs.select(*columns, loses.alias("__loses"))
-    joined = marked.filter("__loses").withColumn("__number", number).join(
-        gone.select(F.col("key").alias("__number"), F.col("lines").alias("removed_lines"), F.col("by_keys").alias("removed_by")),
-        "__number", "left")
-    short = F.when(F.col("removed_lines").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("removed_lines")))
-    changed = joined.withColumn(text, short).select(*columns, "removed_lines", "removed_by")
+    joined = marked.filter("__loses").withColumn("__number", number).join(gone, "__number", "left")
+    short = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("__lines")))
+    changed = joined.withColumn(text, short).select(*columns, "__lines", "__by")
     same = marked.filter(~F.col("__loses")).select(
-        *columns, F.lit(None).cast("array<int>").alias("removed_lines"), F.lit(None).cast("array<bigint>").alias("removed_by"))
+        *columns, F.lit(None).cast("array<int>").alias("__lines"), F.lit(None).cast("array<bigint>").alias("__by"))
     return changed.unionByName(same)
 
 
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with shortened texts, and ``removed_lines`` and ``removed_by`` (null where nothing went)."""
+    plain = docs.drop("removed_lines", "removed_by")
+    return _shortened(plain, key, text, threshold).withColumnsRenamed({"__lines": "removed_lines", "__by": "removed_by"})
+
+
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents without repeated lines and with their own columns; one that has only such lines goes."""
-    kept = dedup_lines(docs, key, text, threshold)
-    left = F.col("removed_lines").isNull() | F.col(text).rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
-    return kept.filter(left).select(*docs.columns)
+    left = F.col("__lines").isNull() | F.col(text).rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
+    return _shortened(docs, key, text, threshold).filter(left).drop("__lines", "__by")

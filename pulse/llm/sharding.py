@@ -70,26 +70,26 @@ def grown_tree(tree: Node, weight: float = 1.0) -> Node:
     return Node(tree.name, (*tree.children, Node(f"region-of-{number}", (rack,))))
 
 
-def _draw(key: list[Column], node: Node) -> Column:
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(node.name), *key), 11)
-    return -F.log((bits.cast("double") + F.lit(0.5)) / F.lit(float(2**53))) / F.lit(float(node.weight))
-
-
 def with_shard(df: DataFrame, keys: list[str], tree: Node, name: str) -> DataFrame:
     """Append the shard that each row's key descends to."""
-    key, at = [F.col(k) for k in keys], f"__at_{name}"
-    found = df.withColumn(at, F.lit(tree.name))
-    for nodes in tree.inner_levels():
-        step = F.col(at)
-        for node in nodes:
-            drawn = F.array_min(F.array(*[
-                F.struct(_draw(key, child).alias("draw"), F.lit(child.name).alias("child"))
-                for child in node.children if child.weight > 0
-            ]))
-            step = F.when(F.col(at) == node.name, drawn["child"]).otherwise(step)
-        found = found.withColumn(at, step)
+    key, levels = [F.col(k) for k in keys], tree.inner_levels()
+    below = F.create_map(*[x for nodes in levels for node in nodes for x in (
+        F.lit(node.name),
+        F.array(*[F.struct(F.lit(child.name).alias("name"), F.lit(float(child.weight)).alias("weight"))
+                  for child in node.children if child.weight > 0]),
+    )])
+
+    def draw(child: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(child["name"], *key), 11)
+        uniform = (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**53))
+        return F.struct((-F.log(uniform) / child["weight"]).alias("draw"), child["name"].alias("name"))
+
+    at = F.lit(tree.name)
+    for _ in levels:
+        drawn = F.array_min(F.transform(F.try_element_at(below, at), draw))
+        at = F.coalesce(drawn["name"], at)  # a shard has nothing below it
     number = F.create_map(*[F.lit(x) for leaf in tree.leaves() for x in (leaf.name, leaf.shard)])
-    return found.withColumn(name, number[F.col(at)].cast("int")).drop(at)
+    return df.withColumn(name, F.try_element_at(number, at).cast("int"))
 
 
 def shard_documents(
