@@ -8,7 +8,9 @@ texts. The last category decides; its threshold maximises F1 of the
 out-of-fold probabilities and is one half at least.
 
 Features are the distinct words of a text and their first 3 to 6 characters, so inflected
-forms share a stem. The ``MAX_FEATURES`` that speak most for a toxic text are kept.
+forms share a stem. The ``MAX_FEATURES`` that speak most for a toxic text are kept, each with the
+lower confidence limit of its log odds. Three measures of a text join them: the strongest
+word, the sum over distinct words and the sum over all words for each hundred.
 
 Fitting uses a bounded sample, the ``MAX_LABELLED`` labelled documents whose ids have the
 smallest hashes: their texts are written once, the feature counts are aggregated by Spark,
@@ -24,6 +26,7 @@ rejected; an empty table gives an empty result. Further columns are kept and not
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,6 +61,10 @@ def text_features(text: str | None) -> set[str]:
     return {f for word in set(WORD.findall((text or "").lower())) for f in word_features(word)}
 
 
+#: Numbers of the kept features of a text, and its measures.
+Hit = tuple[list[int], list[float]]
+MEASURES = 3
+
 # ---- linear models -----------------------------------------------------------------------------
 
 
@@ -125,26 +132,31 @@ class Chain:
     """Fitted models in chain order."""
 
     names: list[str]
-    features: dict[str, int]
+    features: dict[str, float]
     weights: list[np.ndarray]
     threshold: float
 
-    def probabilities(self, hits: list[list[int]]) -> np.ndarray:
+    def probabilities(self, hits: list[Hit]) -> np.ndarray:
         """A row per text and a column per category."""
-        row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-        feature = np.array([f for h in hits for f in h], np.int64)
-        dense = np.empty((len(hits), 0))
+        row, feature, dense = _columns(hits)
         for weights in self.weights:
             rows = Rows(row, feature, dense, len(self.features))
             dense = np.column_stack([dense, sigmoid(rows.times(weights))])
-        return dense
+        return dense[:, MEASURES:]
+
 
+def _columns(hits: list[Hit]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row = np.repeat(np.arange(len(hits)), [len(features) for features, _ in hits])
+    feature = np.array([f for features, _ in hits for f in features], np.int64)
+    return row, feature, np.array([measures for _, measures in hits], float).reshape(-1, MEASURES)
 
-def fit_chain(hits: list[list[int]], labels: np.ndarray, folds: np.ndarray, features: list[str], names: list[str]) -> Chain:
+
+def fit_chain(
+    hits: list[Hit], labels: np.ndarray, folds: np.ndarray, features: dict[str, float], names: list[str]
+) -> Chain:
     """``labels`` has a column per category; ``folds`` the fold of each row."""
-    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-    feature = np.array([f for h in hits for f in h], np.int64)
-    dense, weights, held_out = np.empty((len(hits), 0)), [], np.zeros(len(hits))
+    row, feature, dense = _columns(hits)
+    weights, held_out = [], np.zeros(len(hits))
     for y in labels.T.astype(float):
         rows, held_out = Rows(row, feature, dense, len(features)), np.zeros(len(hits))
         for fold in range(FOLDS):
@@ -154,7 +166,7 @@ def fit_chain(hits: list[list[int]], labels: np.ndarray, folds: np.ndarray, feat
         weights.append(fit_logistic(rows, y))
         dense = np.column_stack([dense, held_out])
     threshold = best_threshold(held_out, labels[:, -1])
-    return Chain(names, {f: i for i, f in enumerate(features)}, weights, threshold)
+    return Chain(names, features, weights, threshold)
 
 
 # ---- Spark -------------------------------------------------------------------------------------
@@ -171,11 +183,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, cat
     return joined.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(FOLDS)).cast("int"))
 
 
-def select_features(sample: DataFrame, label: str, max_features: int) -> list[str]:
+def select_features(sample: DataFrame, label: str, max_features: int) -> dict[str, float]:
     """The features that speak most for a toxic text, beyond what chance would give.
 
     A feature is kept if its log-likelihood ratio is above that of the luckiest of as many
     meaningless ones; the order is by share of toxic documents times log ratio of the shares.
+    Its value is the lower limit of its log odds, 0 at least.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,7 +208,7 @@ def select_features(sample: DataFrame, label: str, max_features: int) -> list[st
     totals = sample.agg(F.sum(label), F.count(F.lit(1))).first()
     bad, fine = totals[0] or 0, totals[1] - (totals[0] or 0)
     if not bad or not fine:
-        return []
+        return {}
     counts = sample.select("text", F.col(label).alias("label")).mapInPandas(counted, "feature string, bad long, fine long")
     totalled = counts.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"))
     rate, seen = bad / (bad + fine), F.col("bad") + F.col("fine")
@@ -210,30 +223,40 @@ def select_features(sample: DataFrame, label: str, max_features: int) -> list[st
     share = F.col("bad") / F.lit(bad)
     score = share * F.log(share / ((F.col("fine") + F.lit(0.5)) / F.lit(fine)))
     found = likely.filter(F.col("ratio") > tested).withColumn("score", score)
-    return [r["feature"] for r in found.orderBy(F.desc("score"), "feature").limit(max_features).collect()]
+    best = found.orderBy(F.desc("score"), "feature").limit(max_features).collect()
+
+    def strength(n: int, other: int) -> float:
+        odds = np.log((n + 0.5) / (other + 0.5)) - np.log(bad / fine)
+        return float(max(0.0, odds - 1.64 * np.sqrt(1 / (n + 0.5) + 1 / (other + 0.5))))
+
+    return {r["feature"]: strength(r["bad"], r["fine"]) for r in best}
 
 
 class Hits:
-    """Kept features of texts, with a bounded cache by word."""
+    """Kept features and measures of texts, with a bounded cache by word."""
 
-    def __init__(self, features: dict[str, int]) -> None:
-        self.features, self.by_word = features, {}
+    def __init__(self, features: dict[str, float]) -> None:
+        self.number, self.strength = {f: i for i, f in enumerate(features)}, list(features.values())
+        self.by_word: dict[str, tuple[tuple[int, ...], float]] = {}
 
-    def of_word(self, word: str) -> tuple[int, ...]:
+    def of_word(self, word: str) -> tuple[tuple[int, ...], float]:
         if len(self.by_word) > HELD:
             self.by_word.clear()
-        found = self.by_word[word] = tuple(self.features[f] for f in word_features(word) if f in self.features)
+        hits = tuple(self.number[f] for f in word_features(word) if f in self.number)
+        found = self.by_word[word] = (hits, max((self.strength[i] for i in hits), default=0.0))
         return found
 
-    def of_text(self, text: str | None) -> list[int]:
-        known, found = self.by_word, set()
-        for word in set(WORD.findall(text.lower())) if text else ():
-            hits = known.get(word)
-            if hits is None:
-                hits = self.of_word(word)
+    def of_text(self, text: str | None) -> Hit:
+        known, found, strongest, distinct, every, n_words = self.by_word, set(), 0.0, 0.0, 0.0, 0
+        for word, count in Counter(WORD.findall(text.lower())).items() if text else ():
+            n_words += count
+            hits, strength = known.get(word) or self.of_word(word)
             if hits:
                 found.update(hits)
-        return sorted(found)
+                strongest = max(strongest, strength)
+                distinct += strength
+                every += strength * count
+        return sorted(found), [strongest, float(np.log1p(distinct)), float(np.log1p(every * 100 / (n_words + 20)))]
 
 
 def train_toxicity(
@@ -243,18 +266,18 @@ def train_toxicity(
     sample = written(labelled_sample(docs, labels, key, text, categories, max_labelled), "labelled")
     columns = [f"c{i}" for i in range(len(categories))]
     features = select_features(sample, columns[-1], max_features)
-    number = {f: i for i, f in enumerate(features)}
 
-    @F.pandas_udf("array<int>")
-    def hits_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hits = Hits(number)
+    @F.pandas_udf("features array<int>, measures array<double>")
+    def hits_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hits = Hits(features)
         for texts in batches:
-            yield pd.Series([hits.of_text(t if isinstance(t, str) else None) for t in texts], dtype=object)
+            found = [hits.of_text(t if isinstance(t, str) else None) for t in texts]
+            yield pd.DataFrame(found, columns=["features", "measures"])
 
     rows = sample.select(hits_of("text").alias("hits"), "fold", *columns).collect()
     table = np.array([[r[c] for c in columns] for r in rows], np.int64).reshape(-1, len(columns))
     folds = np.array([r["fold"] for r in rows], np.int64)
-    return fit_chain([list(r["hits"]) for r in rows], table, folds, features, [name for name, _ in categories])
+    return fit_chain([(r["hits"]["features"], r["hits"]["measures"]) for r in rows], table, folds, features, [name for name, _ in categories])
 
 
 def toxicity_of(docs: DataFrame, chain: Chain, text: Column) -> Column:
