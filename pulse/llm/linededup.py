@@ -35,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.membership import LAST_KEY, key_numbers, maybe_member, members
 from pulse.llm.shared import numbered, written
 from pulse.llm.shingles import Sketch, chunks, distinct, mix, shingles, sketch_of, text_buffer
 
 THRESHOLD = 0.8
-LAST_KEY = (1 << 63) - 1
 #: Prefix entries that a task holds before it deals them out.
 HELD_ENTRIES = 1 << 20
 #: Shingles of the corpus for each bucket of the prefix join: about a quarter of them arrive, some 20 MB.
@@ -78,16 +78,12 @@ def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return line[starts], sizes, mix(names[0]), mix(names[1])
 
 
-def _key_numbers(column: pa.Array) -> np.ndarray:
-    return column.fill_null(LAST_KEY).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def occurrences(docs: DataFrame) -> DataFrame:
     """``name1, name2, key, line, again`` of every line with words; ``again`` if the document had the set before."""
 
     def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = _key_numbers(batch.column(0))
+            keys = key_numbers(batch.column(0))
             for row, number, line, value in line_sets(batch.column(1)):
                 at, _, one, two = set_names(line, value)
                 order = np.lexsort((at, one, row[at]))
@@ -166,7 +162,7 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
     def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, held, size = Sketch(shared.value), [], 0
         for batch in batches:
-            keys = _key_numbers(batch.column(0))
+            keys = key_numbers(batch.column(0))
             for lines in line_sets(batch.column(1)):
                 held.append(prefix_entries(*lines, keys, sketch, threshold))
                 size += len(held[-1])
@@ -212,35 +208,10 @@ def possible(a: str, b: str, threshold: float) -> Column:
 # ---- verification ------------------------------------------------------------------------------
 
 
-def _hash_of_key(keys: np.ndarray) -> np.ndarray:
-    return mix(keys.view(np.uint64) + np.uint64(1))
-
-
-def members(keys: DataFrame) -> Sketch:
-    """A fixed-size filter of keys: it may let others through, but keeps none of these out."""
-    return sketch_of(keys.select(F.col("key").cast("long")).distinct(), lambda batch: [_hash_of_key(_key_numbers(batch.column(0)))])
-
-
-def maybe_member(docs: DataFrame, filter_: Sketch, key: str) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(filter_.cells)
-
-    @F.arrow_udf("boolean")
-    def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cells = shared.value
-        for keys in batches:
-            hashes = _hash_of_key(_key_numbers(keys))
-            found = np.ones(len(hashes), bool)
-            for row in range(len(cells)):
-                found &= cells[row][Sketch._cell(row, hashes)] > 0
-            yield pa.array(found)
-
-    return known(F.col(key).cast("long"))
-
-
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``key, line, text`` of the listed ``key, line``; ``docs`` has ``key, text`` with integer keys."""
     wanted = lines.groupBy("key").agg(F.collect_set("line").alias("lines"))
-    chosen = docs.filter(maybe_member(docs, members(wanted), "key")).join(wanted, "key")
+    chosen = docs.filter(maybe_member(members(wanted.select("key")), F.col("key"), docs)).join(wanted, "key")
     parts = F.split("text", "\n")
     picked = F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(parts, i).alias("text")))
     return chosen.select("key", F.explode(picked).alias("l")).select("key", "l.line", "l.text").dropDuplicates(["key", "line"])
@@ -329,7 +300,7 @@ def _shortened(docs: DataFrame, key: str, text: str, threshold: float) -> DataFr
     """The documents with shortened texts and ``__lines, __by`` (null where nothing went)."""
     gone = written(removed_lines(docs, key, text, threshold), "removed").toDF("__number", "__lines", "__by")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("__loses", maybe_member(docs, members(gone.select(F.col("__number").alias("key"))), key))
+    marked = docs.withColumn("__loses", maybe_member(members(gone.select("__number")), F.col(key), docs))
     number = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
     joined = marked.filter("__loses").withColumn("__number", number).join(gone, "__number", "left")
     short = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("__lines")))

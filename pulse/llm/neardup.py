@@ -10,10 +10,13 @@ Signatures are improved consistent weighted samples: per hash function each shin
 their weighted Jaccard similarity. Bands of ``ROWS`` samples make candidates, and each candidate
 pair is verified by the exact weighted Jaccard similarity of the whole texts.
 
-Equal texts are one node from the start. Within a band, nodes are not paired with each other:
-each is verified against the band's leaders (the smallest by a few orders). Nodes that match no
-leader choose new leaders among themselves, more each time, until none is left, so every node
-of a band ends up verified against a leader or is one. Verified pairs are links; classes are
+Equal texts are one node from the start. Nodes of a band are not paired with each other: each
+is verified against the band's hub, the node with most company in all its bands, which is where
+the text that others derive from stands out. Only nodes without a link go on, in stricter
+bands of ``STRICT_ROWS`` samples that texts of middling similarity rarely share: there each of
+them is verified against all others of its band, a few at a time, until it matches. The
+distance ``1 - similarity`` is a metric, so pairs whose distances to a common hub differ too
+much are passed over, which is exact. Verified pairs are links; classes are
 their connected components, found by label propagation on tables in the shared folder.
 
 Defined cases: a null text is an empty one; texts without words are near-duplicates of equal
@@ -25,20 +28,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.membership import maybe_member, members
 from pulse.llm.shared import written
 from pulse.llm.shingles import Sketch, chunks, distinct, mix, shingles, sketch_of, text_buffer
 
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
+STRICT_BANDS, STRICT_ROWS = 32, 10
 IDF_FLOOR = 0.9
-#: Leaders per band in the first round and at most; each round doubles them.
-LEADERS, MOST_LEADERS = 1, 16
+#: Nodes of a strict band that are verified against the others in one round.
+LEADERS = 8
 
 _TABLE_BITS = 16
 _random = np.random.default_rng(19970402)
@@ -47,7 +53,7 @@ _SIZE = 1 << _TABLE_BITS
 _R = _random.gamma(2.0, 1.0, _SIZE).astype(np.float32)
 _LOG_C = np.log(_random.gamma(2.0, 1.0, _SIZE)).astype(np.float32)
 _BETA = _random.random(_SIZE).astype(np.float32)
-_FUNCTION = _random.integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
+_FUNCTION = _random.integers(1, 1 << 63, max(BANDS * ROWS, STRICT_BANDS * STRICT_ROWS), np.uint64) | np.uint64(1)
 
 
 # ---- weights and signatures --------------------------------------------------------------------
@@ -79,11 +85,11 @@ def signatures(row: np.ndarray, hashes: np.ndarray, weight: np.ndarray, n_functi
     return row[starts], samples
 
 
-def band_hashes(samples: np.ndarray) -> np.ndarray:
+def band_hashes(samples: np.ndarray, rows: int) -> np.ndarray:
     """One signed 64-bit number per band; those of different bands differ."""
-    bands = samples.reshape(len(samples), -1, ROWS)
+    bands = samples.reshape(len(samples), -1, rows)
     total = np.zeros(bands.shape[:2], np.uint64)
-    for k in range(ROWS):
+    for k in range(rows):
         total = mix(total + bands[:, :, k])
     return mix(total + np.arange(bands.shape[1], dtype=np.uint64)).view(np.int64)
 
@@ -113,9 +119,9 @@ def _node(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("node")
 
 
-def band_table(docs: DataFrame, text: str, sketch: Sketch, documents: int) -> DataFrame:
-    """Distinct ``band, node``; a band's hash says which band it is."""
-    shared = docs.sparkSession.sparkContext.broadcast((sketch.cells, documents))
+def band_table(texts: DataFrame, sketch: Sketch, documents: int, bands: int, rows: int) -> DataFrame:
+    """``band, node`` of ``node, text``; a band's hash says which band it is."""
+    shared = texts.sparkSession.sparkContext.broadcast((sketch.cells, documents))
 
     def sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, documents = shared.value
@@ -124,16 +130,22 @@ def band_table(docs: DataFrame, text: str, sketch: Sketch, documents: int) -> Da
             for start, _, row, value, tf in weighted_shingles(batch.column(1)):
                 if not len(row):
                     continue
-                own, samples = signatures(row, value, weights(value, tf, sketch, documents), BANDS * ROWS)
-                nodes = batch.column(0).take(pa.array(np.repeat(own + start, BANDS)))
-                yield pa.RecordBatch.from_arrays([pa.array(band_hashes(samples).ravel()), nodes], ["band", "node"])
+                own, samples = signatures(row, value, weights(value, tf, sketch, documents), bands * rows)
+                nodes = batch.column(0).take(pa.array(np.repeat(own + start, bands)))
+                yield pa.RecordBatch.from_arrays([pa.array(band_hashes(samples, rows).ravel()), nodes], ["band", "node"])
 
-    rows = docs.select(_node(text), F.col(text).cast("string")).mapInArrow(sampled, "band long, node binary")
-    return rows.groupBy("band", "node").agg(F.count(F.lit(1)).alias("n")).drop("n")
+    return texts.mapInArrow(sampled, "band long, node binary")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, sketch: Sketch, documents: int, threshold: float) -> DataFrame:
-    """``node, leader, similar`` of every pair, from the whole texts."""
+def shared_bands(bands: DataFrame) -> DataFrame:
+    """The distinct rows of bands with several nodes."""
+    number = F.xxhash64("node")
+    several = bands.groupBy("band").agg(F.min(number).alias("low"), F.max(number).alias("high")).filter("low <> high")
+    return bands.join(several.select("band"), "band").distinct()
+
+
+def verify(pairs: DataFrame, texts: DataFrame, sketch: Sketch, documents: int) -> DataFrame:
+    """``node, leader, similarity`` of every pair, from the whole texts."""
     shared = pairs.sparkSession.sparkContext.broadcast((sketch.cells, documents))
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,61 +166,80 @@ def verify(pairs: DataFrame, texts: DataFrame, sketch: Sketch, documents: int, t
                 leaders, number = np.unique(np.array(part.column(1).to_pylist(), object), return_inverse=True)
                 first = {n: i for i, n in reversed(list(enumerate(number.tolist())))}
                 of_leader = sets(part.column(3).take(pa.array([first[n] for n in range(len(leaders))])))
-                similar = [weighted_jaccard(own, of_leader[n]) >= threshold
-                           for own, n in zip(sets(part.column(2)), number.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(similar)],
-                                                 ["node", "leader", "similar"])
+                found = [weighted_jaccard(own, of_leader[n]) for own, n in zip(sets(part.column(2)), number.tolist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.float64())],
+                                                 ["node", "leader", "similarity"])
 
     leaders = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
     joined = pairs.join(texts, "node").join(leaders, "leader")
     return joined.select("node", "leader", "text", "leader_text").mapInArrow(
-        compared, "node binary, leader binary, similar boolean"
+        compared, "node binary, leader binary, similarity double"
     )
 
 
-def links(docs: DataFrame, key: str, text: str, sketch: Sketch, documents: int, threshold: float) -> DataFrame | None:
-    """Verified ``node, leader`` pairs, enough to connect every class."""
-    bands = band_table(docs, text, sketch, documents)
-    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("one"))
-    shared = sizes.filter("n > 1").select("band")
-    open_ = written(bands.join(shared, "band"), "bands")
-    if not open_.take(1):
-        return None
-    # One row stands for all with the same text.
-    wanted = open_.select("node").distinct()
+def texts_of(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """``node, text`` of the listed nodes, one row for all documents with the same text."""
     rows = docs.select(F.col(key).alias("key"), _node(text), F.col(text).cast("string").alias("text"))
-    firsts = docs.select(F.col(key).alias("key"), _node(text)).groupBy("node").agg(F.min("key").alias("key"))
-    chosen = firsts.join(wanted, "node").select(F.col("node").alias("w_node"), F.col("key").alias("w_key"))
+    listed = maybe_member(members(nodes.select(F.xxhash64("node"))), F.xxhash64("node"), docs)
+    firsts = rows.groupBy("node").agg(F.min("key").alias("w_key")).join(nodes, "node").withColumnRenamed("node", "w_node")
     same = (F.col("node") == F.col("w_node")) & F.col("key").eqNullSafe(F.col("w_key"))
-    texts = written(rows.join(chosen, same, "left_semi").select("node", "text"), "texts")
-    texts = texts.dropDuplicates(["node"]) if _has_repeats(texts) else texts
+    texts = written(rows.filter(listed).join(firsts, same, "left_semi").select("node", "text"), "texts")
+    repeated = texts.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
+    return texts.dropDuplicates(["node"]) if repeated else texts
+
 
-    found, leaders = [], LEADERS
+def links(docs: DataFrame, key: str, text: str, sketch: Sketch, documents: int, threshold: float) -> DataFrame | None:
+    """Verified ``node, leader`` pairs."""
+    rows = docs.select(_node(text), F.col(text).cast("string").alias("text"))
+    bands = written(shared_bands(written(band_table(rows, sketch, documents, BANDS, ROWS), "bands")), "shared")
+    if not bands.take(1):
+        return None
+    texts = texts_of(docs, bands.select("node").distinct(), key, text)
+
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    company = bands.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("company"))
+    hubs = bands.join(company, "node").groupBy("band").agg(
+        F.max_by("node", F.struct("company", "node")).alias("leader"))
+    pairs = bands.join(hubs, "band").filter("node <> leader").select("node", "leader").distinct()
+    checked = written(verify(pairs, texts, sketch, documents), "checked")
+    found = checked.filter(F.col("similarity") >= threshold).select("node", "leader")
+    linked = found.select("node").union(found.select("leader")).distinct()
+    alone = written(bands.select("node").distinct().join(linked, "node", "left_anti"), "alone")
+    if alone.take(1):
+        near = bands.join(bands.join(alone, "node", "left_semi").select("band").distinct(), "band", "left_semi")
+        strict = band_table(texts.join(near.select("node").distinct(), "node", "left_semi"), sketch, documents,
+                            STRICT_BANDS, STRICT_ROWS)
+        found = found.unionByName(_strict_links(strict, alone, checked, texts, sketch, documents, threshold))
+    return found.distinct()
+
+
+def _strict_links(strict, alone, checked, texts, sketch: Sketch, documents: int, threshold: float) -> DataFrame:
+    """Links of the nodes ``alone``, each verified against the others of its strict bands until it matches."""
+    main = checked.groupBy("node").agg(F.max_by("leader", "similarity").alias("hub"), F.max("similarity").alias("to_hub"))
+    self_ = checked.select(F.col("leader").alias("node"), F.col("leader").alias("hub"), F.lit(1.0).alias("to_hub")).distinct()
+    main = main.unionByName(self_.join(main, "node", "left_anti"))
+    bands = shared_bands(strict).join(main, "node", "left")
+    open_ = written(bands.join(alone.withColumn("alone", F.lit(True)), "node", "left").fillna(False, ["alone"]), "strict")
+    found = []
     while True:
-        orders = [F.min_by("node", F.xxhash64(F.lit(i), "node")) for i in range(1, leaders)]
-        chosen = open_.groupBy("band").agg(F.array_distinct(F.array(F.min("node"), *orders)).alias("leaders"))
-        led = open_.join(chosen, "band").select("band", "node", F.explode("leaders").alias("leader"))
-        pairs = led.filter("node <> leader").select("node", "leader").distinct()
-        checked = written(verify(pairs, texts, sketch, documents, threshold), "checked")
-        found.append(checked.filter("similar").select("node", "leader"))
-        # A node stays in a band if it neither was a leader there nor matched one.
-        done = led.join(checked, ["node", "leader"], "left").filter(
-            (F.col("node") == F.col("leader")) | F.coalesce("similar", F.lit(False))
-        ).select("band", "node").distinct()
-        rest = open_.join(done, ["band", "node"], "left_anti")
-        more = rest.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-        open_ = written(rest.join(more, "band"), "bands")
+        orders = [F.min_by("node", F.xxhash64(F.lit(i), "node")) for i in range(LEADERS)]
+        chosen = open_.filter("alone").groupBy("band").agg(F.array_distinct(F.array(*orders)).alias("leaders"))
+        led = chosen.select("band", F.explode("leaders").alias("leader"))
+        places = open_.select(F.col("band"), F.col("node").alias("leader"), F.col("hub").alias("l_hub"), F.col("to_hub").alias("l_to_hub"))
+        led = led.join(places, ["band", "leader"])
+        apart = F.coalesce((F.col("hub") == F.col("l_hub")) & (F.abs(F.col("to_hub") - F.col("l_to_hub")) > 1 - threshold + 1e-6), F.lit(False))
+        pairs = open_.join(led, "band").filter((F.col("node") != F.col("leader")) & ~apart).select(
+            F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
+        similar = written(verify(pairs, texts, sketch, documents).filter(F.col("similarity") >= threshold), "matches")
+        found.append(similar.select("node", "leader"))
+        matched = similar.select("node").union(similar.select("leader")).distinct().withColumn("matched", F.lit(True))
+        were = led.select("band", F.col("leader").alias("node"), F.lit(True).alias("led"))
+        rest = open_.join(matched, "node", "left").join(were, ["band", "node"], "left").filter(F.col("led").isNull())
+        still = rest.withColumn("alone", F.col("alone") & F.col("matched").isNull()).select(*open_.columns)
+        wanted = still.groupBy("band").agg(F.max("alone").alias("any"), F.count(F.lit(1)).alias("n")).filter("any AND n > 1")
+        open_ = written(still.join(wanted.select("band"), "band", "left_semi"), "strict")
         if not open_.take(1):
-            break
-        leaders = min(leaders * 2, MOST_LEADERS)
-    together = found[0]
-    for more in found[1:]:
-        together = together.unionByName(more)
-    return together.distinct()
-
-
-def _has_repeats(texts: DataFrame) -> bool:
-    return bool(texts.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1))
+            return reduce(DataFrame.unionByName, found)
 
 
 def components(edges: DataFrame) -> DataFrame:

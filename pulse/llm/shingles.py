@@ -125,17 +125,17 @@ class Sketch:
         self.cells = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64) if cells is None else cells
 
     @staticmethod
-    def _cell(row: int, values: np.ndarray) -> np.ndarray:
+    def cell(row: int, values: np.ndarray) -> np.ndarray:
         return ((values >> np.uint64(64 - SKETCH_BITS * (row + 1))) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
     def add(self, values: np.ndarray) -> None:
         for row in range(SKETCH_ROWS):
-            self.cells[row] += np.bincount(self._cell(row, values), minlength=1 << SKETCH_BITS)
+            self.cells[row] += np.bincount(self.cell(row, values), minlength=1 << SKETCH_BITS)
 
     def counts(self, values: np.ndarray) -> np.ndarray:
         found = None
         for row, cells in enumerate(self.cells):
-            own = cells[self._cell(row, values)]
+            own = cells[self.cell(row, values)]
             noise = (cells.sum() - own) / (len(cells) - 1)
             found = own - noise if found is None else np.minimum(found, own - noise)
         return np.maximum(found, 1.0)
