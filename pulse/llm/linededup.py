@@ -12,8 +12,8 @@ positional bound (what the two orders can still have in common after the token)
 then verified on the whole lines. Tokens that only one line has are dropped on arrival.
 
 The lines of a token are ranked by position. Each is compared with the first one, those
-that matched nothing with the next two, the next four and so on until it matches or has met all
-earlier lines of all its tokens, so no pair is lost and a group of similar lines costs
+that matched nothing with the next three, the next twelve and so on until they match or have
+met all earlier lines of all their tokens, so no pair is lost and a group of similar lines costs
 about one comparison for each.
 
 Texts of lines to be verified, and documents that lose lines, are found by a join on the key; a
@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.membership import LAST_KEY, key_numbers, maybe_member, members
+from pulse.llm.membership import LAST_KEY, contained, hash_keys, key_numbers, maybe_member, members
 from pulse.llm.shared import numbered, written
-from pulse.llm.shingles import Sketch, chunks, distinct, mix, shingles, sketch_of, text_buffer
+from pulse.llm.shingles import Sketch, added_up, chunks, distinct, distinct_tokens, mix, shingles, text_buffer
 
 THRESHOLD = 0.8
 #: Prefix entries that a task holds before it deals them out.
@@ -67,7 +67,7 @@ def line_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         own, bounds = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
         if len(own):
             cuts, row, number = line_offsets(own, bounds)
-            yield row + start, number, *distinct(*shingles(own, cuts))[:2]
+            yield row + start, number, *distinct_tokens(*shingles(own, cuts))
 
 
 def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,13 +78,20 @@ def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return line[starts], sizes, mix(names[0]), mix(names[1])
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``name1, name2, key, line, again`` of every line with words; ``again`` if the document had the set before."""
+def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
+    """``name1, name2, key, line, again`` of every line with words, and the counts of all their tokens.
+
+    ``again`` says that the document had the set before. Both come from one pass: a task ends
+    with the slices of its counts.
+    """
+    columns = ["name1", "name2", "key", "line", "again"]
 
     def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = Sketch()
         for batch in batches:
             keys = key_numbers(batch.column(0))
             for row, number, line, value in line_sets(batch.column(1)):
+                sketch.add(value)
                 at, _, one, two = set_names(line, value)
                 order = np.lexsort((at, one, row[at]))
                 again = np.zeros(len(at), bool)
@@ -92,10 +99,16 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 again[a] = (row[at[a]] == row[at[b]]) & (one[a] == one[b]) & (two[a] == two[b])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys[row[at]]),
-                     pa.array(number[at].astype(np.int32)), pa.array(again)],
-                    ["name1", "name2", "key", "line", "again"])
+                     pa.array(number[at].astype(np.int32)), pa.array(again),
+                     pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], [*columns, "slice", "cells"])
+        for part in sketch.slices():
+            empty = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*empty, *part.columns], [*columns, "slice", "cells"])
 
-    return docs.mapInArrow(named, "name1 long, name2 long, key long, line int, again boolean")
+    both = written(docs.mapInArrow(
+        named, "name1 long, name2 long, key long, line int, again boolean, slice int, cells binary"), "occurrences")
+    sketch = added_up(both.filter(F.col("slice").isNotNull()).select("slice", "cells"))
+    return both.filter(F.col("slice").isNull()).select(*columns), sketch
 
 
 # ---- prefix join -------------------------------------------------------------------------------
@@ -110,7 +123,9 @@ _ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("line", "
 
 def prefix_entries(row, number, line, value, keys, sketch: Sketch, threshold: float) -> np.ndarray:
     """An ``_ENTRY`` for each token in the prefix of each line."""
-    order = np.lexsort((value, sketch.counts(value).astype(np.int64), line))
+    # Counts by powers of two above their noise; equal classes keep the order of the hashes. The keys are nearly sorted.
+    common = np.log2(1 + sketch.counts(value) / (8 * (sketch.noise() + 1))).astype(np.int64)
+    order = np.argsort(line * 64 + common, kind="stable")
     line, value = line[order], value[order]
     at, sizes, name, _ = set_names(line, value)
     place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -210,11 +225,25 @@ def possible(a: str, b: str, threshold: float) -> Column:
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``key, line, text`` of the listed ``key, line``; ``docs`` has ``key, text`` with integer keys."""
-    wanted = lines.groupBy("key").agg(F.collect_set("line").alias("lines"))
-    chosen = docs.filter(maybe_member(members(wanted.select("key")), F.col("key"), docs)).join(wanted, "key")
-    parts = F.split("text", "\n")
-    picked = F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(parts, i).alias("text")))
-    return chosen.select("key", F.explode(picked).alias("l")).select("key", "l.line", "l.text").dropDuplicates(["key", "line"])
+    shared = docs.sparkSession.sparkContext.broadcast(members(lines.select("key", "line")).cells)
+
+    def picked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = key_numbers(batch.column(0))
+            data, offsets = text_buffer(batch.column(1))
+            for start, stop in chunks(offsets):
+                own, bounds = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
+                if not len(own):
+                    continue
+                cuts, row, number = line_offsets(own, bounds)
+                at = np.flatnonzero(contained(shared.value, hash_keys(keys[row + start], number)))
+                texts = [own[cuts[i] : cuts[i + 1]].tobytes().decode() for i in at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[row[at] + start]), pa.array(number[at].astype(np.int32)), pa.array(texts, pa.string())],
+                    ["key", "line", "text"])
+
+    found = docs.mapInArrow(picked, "key long, line int, text string")
+    return found.join(lines, ["key", "line"], "left_semi").dropDuplicates(["key", "line"])
 
 
 def verify_lines(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -251,14 +280,9 @@ def jaccard_at_least(a: pa.Array, b: pa.Array, threshold: float) -> np.ndarray:
 # ---- operator ----------------------------------------------------------------------------------
 
 
-def similar_lines(docs: DataFrame, threshold: float) -> DataFrame:
+def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
     """``key, line, by_key, by_line``: lines that are similar to an earlier one of another set, with one such line."""
-
-    def of_batch(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, _, _, value in line_sets(batch.column(1)):
-            yield value
-
-    found = written(shared_tokens(docs, sketch_of(docs, of_batch), threshold), "tokens")
+    found = written(shared_tokens(docs, sketch, threshold), "tokens")
     ordered = written(found.repartitionByRange("token", "key", "line").sortWithinPartitions("token", "key", "line"), "ranked")
     ranked = written(numbered(ordered, "token", "rank"), "postings")
     texts = written(line_texts(docs, ranked.select("key", "line").distinct()), "lines")
@@ -274,18 +298,18 @@ def similar_lines(docs: DataFrame, threshold: float) -> DataFrame:
             similar.select("key", "line").distinct(), ["key", "line"], "left_anti"), "open")
         if not open_.take(1):
             return reduce(DataFrame.unionByName, matches)
-        low, high = high, 2 * high + 1
+        low, high = high, 4 * high
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, lines, by_keys`` of every document that loses lines: their numbers and the keys of earlier lines."""
     plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("key"), F.col(text).cast("string").alias("text"))
-    seen = written(occurrences(plain), "occurrences")
+    seen, sketch = occurrences(plain)
     first = seen.filter(~F.col("again")).groupBy("name1", "name2").agg(
         F.min("key").alias("by_key"), F.min_by("line", "key").alias("by_line"), F.count(F.lit(1)).alias("n"))
     again = seen.filter("again").select("key", "line", F.col("key").alias("by_key"))
     copies = seen.filter(~F.col("again")).join(first.filter("n > 1"), ["name1", "name2"]).filter("key <> by_key")
-    similar = similar_lines(plain, threshold).select("key", "line", "by_key")
+    similar = similar_lines(plain, sketch, threshold).select("key", "line", "by_key")
     gone = again.unionByName(copies.select("key", "line", "by_key")).unionByName(similar)
     return gone.groupBy("key").agg(F.array_sort(F.collect_set("line")).alias("lines"),
                                    F.array_sort(F.collect_set("by_key")).alias("by_keys"))

@@ -16,16 +16,26 @@ LAST_KEY = (1 << 63) - 1
 
 
 def key_numbers(column: pa.Array) -> np.ndarray:
-    return column.fill_null(LAST_KEY).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.cast(pa.int64()).fill_null(LAST_KEY).to_numpy(zero_copy_only=False)
 
 
-def _hashes(keys: np.ndarray) -> np.ndarray:
-    return mix(keys.view(np.uint64) + np.uint64(1))
+def hash_keys(*columns: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        total = mix(total + column.astype(np.int64).view(np.uint64) + np.uint64(1))
+    return total
 
 
 def members(keys: DataFrame) -> Sketch:
-    """The filter of the only column's keys. It may let others through, but keeps none of these out."""
-    return sketch_of(keys, lambda batch: [_hashes(key_numbers(batch.column(0)))])
+    """The filter of all columns' integer keys together. It may let others through, but keeps none of these out."""
+    return sketch_of(keys, lambda batch: [hash_keys(*map(key_numbers, batch.columns))])
+
+
+def contained(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    found = np.ones(len(hashes), bool)
+    for row in range(len(cells)):
+        found &= cells[row][Sketch.cell(row, hashes)] > 0
+    return found
 
 
 def maybe_member(filter_: Sketch, key: Column, rows: DataFrame) -> Column:
@@ -34,12 +44,7 @@ def maybe_member(filter_: Sketch, key: Column, rows: DataFrame) -> Column:
 
     @F.arrow_udf("boolean")
     def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cells = shared.value
         for keys in batches:
-            hashes = _hashes(key_numbers(keys))
-            found = np.ones(len(hashes), bool)
-            for row in range(len(cells)):
-                found &= cells[row][Sketch.cell(row, hashes)] > 0
-            yield pa.array(found)
+            yield pa.array(contained(shared.value, hash_keys(key_numbers(keys))))
 
     return known(key.cast("long"))

@@ -12,6 +12,7 @@ SHINGLE_WORDS = 5
 #: Bytes of text that are worked on at once; a longer text is one piece of work.
 CHUNK_BYTES = 1 << 20
 SKETCH_BITS, SKETCH_ROWS, SLICE_CELLS = 18, 2, 1 << 13
+SLICE_SCHEMA = "slice int, cells binary"
 
 _random = np.random.default_rng(20240229)
 #: Lower-cased byte of a word, 0 for what separates words: all of ASCII but letters and digits.
@@ -111,6 +112,19 @@ def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row[new], value[new], np.diff(np.append(new, len(row)))
 
 
+def distinct_tokens(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, token)`` sorted and without repeats; a token is a value's first 44 bits, so one plain sort does.
+
+    For at most 2**20 rows. Within a row of a million shingles two would share a token with a probability of 3 %.
+    """
+    if not len(row):
+        return row, value
+    packed = (row.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+    packed.sort()
+    packed = packed[np.concatenate([[True], packed[1:] != packed[:-1]])]
+    return (packed >> np.uint64(44)).astype(np.int64), packed << np.uint64(20)
+
+
 # ---- counts ------------------------------------------------------------------------------------
 
 
@@ -132,6 +146,14 @@ class Sketch:
         for row in range(SKETCH_ROWS):
             self.cells[row] += np.bincount(self.cell(row, values), minlength=1 << SKETCH_BITS)
 
+    def slices(self) -> Iterator[pa.RecordBatch]:
+        """What a task hands on to `added_up`."""
+        return _slices(self.cells.reshape(-1, SLICE_CELLS), range(self.cells.size // SLICE_CELLS))
+
+    def noise(self) -> float:
+        """Standard deviation of an estimate of a rare value."""
+        return float(np.sqrt(self.cells[0].sum() / self.cells.shape[1]))
+
     def counts(self, values: np.ndarray) -> np.ndarray:
         found = None
         for row, cells in enumerate(self.cells):
@@ -149,7 +171,13 @@ def sketch_of(rows: DataFrame, values_of) -> Sketch:
         for batch in batches:
             for values in values_of(batch):
                 sketch.add(values)
-        yield from _slices(sketch.cells.reshape(-1, SLICE_CELLS), range(sketch.cells.size // SLICE_CELLS))
+        yield from sketch.slices()
+
+    return added_up(rows.mapInArrow(counted, SLICE_SCHEMA))
+
+
+def added_up(slices: DataFrame) -> Sketch:
+    """The sum of sketches that tasks have yielded as ``slice, cells``."""
 
     def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -159,9 +187,8 @@ def sketch_of(rows: DataFrame, values_of) -> Sketch:
                 own += np.frombuffer(cells.as_buffer(), np.int32)
         yield from _slices(np.array(list(sums.values()), np.int64), list(sums), np.int64)
 
-    schema = "slice int, cells binary"
-    slices = SKETCH_ROWS * (1 << SKETCH_BITS) // SLICE_CELLS
-    merged = rows.mapInArrow(counted, schema).repartition(slices, "slice").mapInArrow(added, schema)
+    n_slices = SKETCH_ROWS * (1 << SKETCH_BITS) // SLICE_CELLS
+    merged = slices.repartition(n_slices, "slice").mapInArrow(added, SLICE_SCHEMA)
     sketch = Sketch()
     flat = sketch.cells.reshape(-1, SLICE_CELLS)
     for r in merged.collect():  # a fixed number of cells, whatever the input
