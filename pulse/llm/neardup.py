@@ -13,8 +13,8 @@ pair is verified by the exact weighted Jaccard similarity of the whole texts.
 Equal texts are one node from the start. Nodes of a band are not paired with each other: each
 is verified against the band's hub, the node with most company in all its bands, which is where
 the text that others derive from stands out. Only nodes without a link go on, in stricter
-bands of ``STRICT_ROWS`` samples that texts of middling similarity rarely share: there each of
-them is verified against all others of its band, a few at a time, until it matches. The
+bands of ``STRICT_ROWS`` samples that texts of middling similarity rarely share: there one of
+them for each band, and then each that is left, is verified against all others of its bands. The
 distance ``1 - similarity`` is a metric, so pairs whose distances to a common hub differ too
 much are passed over, which is exact. Verified pairs are links; classes are
 their connected components, found by label propagation on tables in the shared folder.
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +42,6 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 STRICT_BANDS, STRICT_ROWS = 32, 10
 IDF_FLOOR = 0.9
-#: Nodes of a strict band that are verified against the others in one round.
-LEADERS = 8
 
 _TABLE_BITS = 16
 _random = np.random.default_rng(19970402)
@@ -214,32 +211,28 @@ def links(docs: DataFrame, key: str, text: str, sketch: Sketch, documents: int,
 
 
 def _strict_links(strict, alone, checked, texts, sketch: Sketch, documents: int, threshold: float) -> DataFrame:
-    """Links of the nodes ``alone``, each verified against the others of its strict bands until it matches."""
+    """Links of the nodes ``alone`` in their strict bands."""
     main = checked.groupBy("node").agg(F.max_by("leader", "similarity").alias("hub"), F.max("similarity").alias("to_hub"))
     self_ = checked.select(F.col("leader").alias("node"), F.col("leader").alias("hub"), F.lit(1.0).alias("to_hub")).distinct()
     main = main.unionByName(self_.join(main, "node", "left_anti"))
-    bands = shared_bands(strict).join(main, "node", "left")
+    bands = shared_bands(written(strict, "bands")).join(main, "node", "left")
     open_ = written(bands.join(alone.withColumn("alone", F.lit(True)), "node", "left").fillna(False, ["alone"]), "strict")
-    found = []
-    while True:
-        orders = [F.min_by("node", F.xxhash64(F.lit(i), "node")) for i in range(LEADERS)]
-        chosen = open_.filter("alone").groupBy("band").agg(F.array_distinct(F.array(*orders)).alias("leaders"))
-        led = chosen.select("band", F.explode("leaders").alias("leader"))
-        places = open_.select(F.col("band"), F.col("node").alias("leader"), F.col("hub").alias("l_hub"), F.col("to_hub").alias("l_to_hub"))
-        led = led.join(places, ["band", "leader"])
-        apart = F.coalesce((F.col("hub") == F.col("l_hub")) & (F.abs(F.col("to_hub") - F.col("l_to_hub")) > 1 - threshold + 1e-6), F.lit(False))
-        pairs = open_.join(led, "band").filter((F.col("node") != F.col("leader")) & ~apart).select(
-            F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
-        similar = written(verify(pairs, texts, sketch, documents).filter(F.col("similarity") >= threshold), "matches")
-        found.append(similar.select("node", "leader"))
-        matched = similar.select("node").union(similar.select("leader")).distinct().withColumn("matched", F.lit(True))
-        were = led.select("band", F.col("leader").alias("node"), F.lit(True).alias("led"))
-        rest = open_.join(matched, "node", "left").join(were, ["band", "node"], "left").filter(F.col("led").isNull())
-        still = rest.withColumn("alone", F.col("alone") & F.col("matched").isNull()).select(*open_.columns)
-        wanted = still.groupBy("band").agg(F.max("alone").alias("any"), F.count(F.lit(1)).alias("n")).filter("any AND n > 1")
-        open_ = written(still.join(wanted.select("band"), "band", "left_semi"), "strict")
-        if not open_.take(1):
-            return reduce(DataFrame.unionByName, found)
+    same_hub = F.coalesce(F.col("a.hub") == F.col("b.hub"), F.lit(False))
+    apart = same_hub & (F.abs(F.col("a.to_hub") - F.col("b.to_hub")) > 1 - threshold + 1e-6)
+
+    def matches(one: DataFrame, others: DataFrame) -> DataFrame:
+        met = one.alias("a").join(others.alias("b"), F.col("a.band") == F.col("b.band"))
+        pairs = met.filter((F.col("a.node") != F.col("b.node")) & ~apart).select(
+            F.least("a.node", "b.node").alias("node"), F.greatest("a.node", "b.node").alias("leader")).distinct()
+        similar = verify(pairs, texts, sketch, documents).filter(F.col("similarity") >= threshold)
+        return written(similar.select("node", "leader"), "matches")
+
+    # One node of each band first: a group of similar ones is then done. The others meet all of their band.
+    chosen = open_.filter("alone").groupBy("band").agg(F.min("node").alias("node"))
+    first = matches(open_.join(chosen, ["band", "node"], "left_semi"), open_)
+    done = first.select("node").union(first.select("leader")).distinct()
+    rest = open_.filter("alone").join(done, "node", "left_anti").join(chosen, ["band", "node"], "left_anti")
+    return first.unionByName(matches(rest, open_))
 
 
 def components(edges: DataFrame) -> DataFrame:

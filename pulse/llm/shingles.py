@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 SHINGLE_WORDS = 5
 #: Bytes of text that are worked on at once; a longer text is one piece of work.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SKETCH_BITS, SKETCH_ROWS, SLICE_CELLS = 18, 2, 1 << 13
 SLICE_SCHEMA = "slice int, cells binary"
 
