@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.membership import LAST_KEY, contained, hash_keys, key_numbers, maybe_member, members
-from pulse.llm.shared import numbered, written
+from pulse.llm.shared import numbered, workspace, written
 from pulse.llm.shingles import Sketch, added_up, chunks, distinct, distinct_tokens, mix, shingles, text_buffer
 
 THRESHOLD = 0.8
@@ -304,6 +304,11 @@ def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, lines, by_keys`` of every document that loses lines: their numbers and the keys of earlier lines."""
     plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("key"), F.col(text).cast("string").alias("text"))
+    with workspace(docs.sparkSession):
+        return written(_removed_lines(plain, threshold), "removed", keep=True)
+
+
+def _removed_lines(plain: DataFrame, threshold: float) -> DataFrame:
     seen, sketch = occurrences(plain)
     first = seen.filter(~F.col("again")).groupBy("name1", "name2").agg(
         F.min("key").alias("by_key"), F.min_by("line", "key").alias("by_line"), F.count(F.lit(1)).alias("n"))
@@ -322,7 +327,7 @@ def without_lines(text: Column, lines: Column) -> Column:
 
 def _shortened(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """The documents with shortened texts and ``__lines, __by`` (null where nothing went)."""
-    gone = written(removed_lines(docs, key, text, threshold), "removed").toDF("__number", "__lines", "__by")
+    gone = removed_lines(docs, key, text, threshold).toDF("__number", "__lines", "__by")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("__loses", maybe_member(members(gone.select("__number")), F.col(key), docs))
     number = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))

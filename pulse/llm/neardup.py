@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.membership import maybe_member, members
-from pulse.llm.shared import written
+from pulse.llm.shared import workspace, written
 from pulse.llm.shingles import Sketch, chunks, distinct, mix, shingles, sketch_of, text_buffer
 
 THRESHOLD = 0.8
@@ -265,17 +265,19 @@ def near_duplicates(
         for _, _, _, value, _ in weighted_shingles(batch.column(0)):
             yield value
 
-    documents = docs.count()
-    sketch = sketch_of(docs.select(F.col(text).cast("string")), of_batch)
-    edges = links(docs, key, text, sketch, documents, threshold)
     rows = docs.select(key, _node(text))
-    firsts = rows.groupBy("node").agg(F.min(key).alias("first"))
-    if edges is None:
-        classes = firsts.select("node", F.col("first").alias("class_id"))
-    else:
-        labelled = firsts.join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        smallest = labelled.groupBy("label").agg(F.min("first").alias("class_id"))
-        classes = labelled.join(smallest, "label").select("node", "class_id")
+    with workspace(docs.sparkSession):
+        documents = docs.count()
+        sketch = sketch_of(docs.select(F.col(text).cast("string")), of_batch)
+        edges = links(docs, key, text, sketch, documents, threshold)
+        firsts = rows.groupBy("node").agg(F.min(key).alias("first"))
+        if edges is None:
+            classes = firsts.select("node", F.col("first").alias("class_id"))
+        else:
+            labelled = firsts.join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
+            smallest = labelled.groupBy("label").agg(F.min("first").alias("class_id"))
+            classes = labelled.join(smallest, "label").select("node", "class_id")
+        classes = written(classes, "classes", keep=True)
     return rows.join(classes, "node").select(key, "node", "class_id")
 
 
@@ -283,7 +285,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     """One document of every class, with all its columns: the one with the smallest key."""
     classes = near_duplicates(docs, key, text, threshold)
     chosen = written(classes.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy(
-        F.col("node").alias("__node"), F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")), "kept")
+        F.col("node").alias("__node"), F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")), "kept", keep=True)
     mine = docs.withColumn("__of", _node(text))
     same = (F.col("__of") == F.col("__node")) & F.col(key).eqNullSafe(F.col("__key"))
     kept = mine.join(chosen.drop("__rows"), same, "left_semi").drop("__of")

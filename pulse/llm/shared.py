@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +22,33 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str, rows_per_file: int = 1_000_000) -> DataFrame:
+_workspaces: list[str] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Tables written within, except those to be kept, are removed at its end.
+
+    For the part of an operator that runs at once: what it returns may read kept tables only.
+    """
+    folder = f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
+    _workspaces.append(folder)
+    try:
+        yield
+    finally:
+        _workspaces.pop()
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False, rows_per_file: int = 1_000_000) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here and a lost executor costs nothing.
 
-    The files stay, as the result may be read at any later time; the folder's owner clears it.
+    Outside a workspace, or with ``keep``, the files stay, as the result may be read at
+    any later time; the folder's owner clears it.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    root = shared_folder(df.sparkSession) if keep or not _workspaces else _workspaces[-1]
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

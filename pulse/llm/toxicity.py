@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.shared import written
+from pulse.llm.shared import workspace, written
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 1_000
@@ -263,7 +263,12 @@ def train_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", categories=CATEGORIES,
     max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES,
 ) -> Chain:
-    sample = written(labelled_sample(docs, labels, key, text, categories, max_labelled), "labelled")
+    with workspace(docs.sparkSession):
+        sample = written(labelled_sample(docs, labels, key, text, categories, max_labelled), "labelled")
+        return _train(sample, categories, max_features)
+
+
+def _train(sample: DataFrame, categories, max_features: int) -> Chain:
     columns = [f"c{i}" for i in range(len(categories))]
     features = select_features(sample, columns[-1], max_features)
 
