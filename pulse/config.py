@@ -55,6 +55,8 @@ class JobConfig:
             "spark.sql.streaming.stateStore.providerClass":
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+            # Of a repeated key the last value counts, as in a typed decode.
+            "spark.sql.variant.allowDuplicateKeys": "true",
             # The JVM leaves methods above 8000 bytes of byte code uncompiled; wide decodes reach that.
             "spark.sql.codegen.hugeMethodLimit": "8000",
         }

@@ -50,9 +50,13 @@ def iso_utc(ts: Column) -> Column:
 
 
 def event_identity() -> Column:
-    """The event id; a record without one is identified by its place in the broker."""
+    """The event id; a record without one is identified by its place in the broker.
+
+    Null for a record that has neither, as one read from files: it is like no other record.
+    """
     place = F.concat_ws("/", F.lit("record"), "kafka_topic", "kafka_partition", "kafka_offset")
-    return F.coalesce(F.concat(F.lit("event/"), F.col("event_id")), place)
+    placed = F.when(F.col("kafka_offset").isNotNull(), place)
+    return F.coalesce(F.concat(F.lit("event/"), F.col("event_id")), placed)
 
 
 def as_utc(moment: datetime) -> datetime:
@@ -67,13 +71,18 @@ def instant(moment: datetime) -> Column:
     return F.timestamp_micros(F.lit(micros))
 
 
+def utc_day(ts: Column) -> Column:
+    """The day in UTC, whatever the zone of the session."""
+    return F.to_date(F.to_utc_timestamp(ts, F.current_timezone()))
+
+
 def between_instants(metrics: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
-    """Windows starting within [start, end]; a day partition, if any, is narrowed along with it."""
+    """Windows starting within [start, end]; a day partition, which is in UTC, is narrowed along with it."""
     dated = "window_date" in metrics.columns
     if start is not None:
         metrics = metrics.filter(F.col("window_start") >= instant(start))
-        metrics = metrics.filter(F.col("window_date") >= F.to_date(instant(start))) if dated else metrics
+        metrics = metrics.filter(F.col("window_date") >= F.lit(as_utc(start).date())) if dated else metrics
     if end is not None:
         metrics = metrics.filter(F.col("window_start") <= instant(end))
-        metrics = metrics.filter(F.col("window_date") <= F.to_date(instant(end))) if dated else metrics
+        metrics = metrics.filter(F.col("window_date") <= F.lit(as_utc(end).date())) if dated else metrics
     return metrics

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.functions.columns import event_identity, is_type
+from pulse.functions.columns import is_type
 
 
 def stock_continuity(events: DataFrame, slice_length: str = "1 minute") -> DataFrame:
@@ -23,7 +23,6 @@ def stock_continuity(events: DataFrame, slice_length: str = "1 minute") -> DataF
     )
     moves = moves.select(
         "product_id",
-        F.coalesce(F.concat(F.lit("product/"), "product_id"), event_identity()).alias("series"),
         F.window("moved_at", slice_length).start.alias("slice"),
         "moved_at",
         "event_id",
@@ -31,22 +30,25 @@ def stock_continuity(events: DataFrame, slice_length: str = "1 minute") -> DataF
         "delta_qty",
         "stock_after",
     )
-    in_slice = Window.partitionBy("series", "slice").orderBy("moved_at", "event_id")
-    over_slices = Window.partitionBy("series").orderBy("slice")
+    nameless = moves.filter(F.col("product_id").isNull()).drop("slice").withColumn(
+        "previous_stock", F.lit(None).cast("int"))
+    moves = moves.filter(F.col("product_id").isNotNull())
+    in_slice = Window.partitionBy("product_id", "slice").orderBy("moved_at", "event_id")
+    over_slices = Window.partitionBy("product_id").orderBy("slice")
 
     last_levels = (
-        moves.groupBy("series", "slice")
+        moves.groupBy("product_id", "slice")
         .agg(F.max(F.struct("moved_at", "event_id", "stock_after")).alias("last"))
-        .select("series", "slice", F.lag("last.stock_after").over(over_slices).alias("carried"))
+        .select("product_id", "slice", F.lag("last.stock_after").over(over_slices).alias("carried"))
     )
     lagged = moves.withColumns(
         {"in_slice": F.lag("stock_after").over(in_slice), "position": F.row_number().over(in_slice)}
     )
     previous = F.when(F.col("position") == 1, F.col("carried")).otherwise(F.col("in_slice"))
     # Keyed like the window, so the join needs no further shuffle of the events.
+    named = lagged.join(last_levels, ["product_id", "slice"], "left").select(
+        "product_id", "moved_at", "event_id", "warehouse_id", "delta_qty", "stock_after", previous.alias("previous_stock"))
     return (
-        lagged.join(last_levels, ["series", "slice"], "left")
-        .select("product_id", "moved_at", "event_id", "warehouse_id", "delta_qty", "stock_after",
-                previous.alias("previous_stock"))
+        named.unionByName(nameless)
         .withColumn("is_continuous", F.col("previous_stock") + F.col("delta_qty") == F.col("stock_after"))
     )

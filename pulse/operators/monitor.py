@@ -59,16 +59,25 @@ def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -
     )
 
 
-def dedup_events(events: DataFrame) -> DataFrame:
-    """One row per event id.
+def dedup_events(events: DataFrame, always_placed: bool = False) -> DataFrame:
+    """One row per event id: the first by broker time and place. Records without id or place all stay.
 
-    On a stream, ids are remembered for the watermark delay. A batch aggregates
-    map-side first, so a heavily repeated id is one row per task in the shuffle.
+    On a stream, ids are remembered for the watermark delay and the first to arrive stays. A batch
+    aggregates map-side first, so a heavily repeated id is one row per task in the
+    shuffle. ``always_placed`` says that every record has a broker place, as from Kafka, and
+    spares the second read for records without any.
     """
     keyed = events.withColumn("__identity", event_identity())
+    known = keyed.filter(F.col("__identity").isNotNull())
     if events.isStreaming:
-        return keyed.dropDuplicatesWithinWatermark(["__identity"]).drop("__identity")
-    return keyed.dropDuplicates(["__identity"]).drop("__identity")
+        once = known.dropDuplicatesWithinWatermark(["__identity"]).drop("__identity")
+    else:
+        order = F.struct("kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset")
+        first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in events.columns]), order).alias("first")
+        once = known.groupBy("__identity").agg(first).select("first.*")
+    if always_placed:
+        return once
+    return once.unionByName(keyed.filter(F.col("__identity").isNull()).drop("__identity"))
 
 
 def route_topics(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.columns import is_type
-from pulse.functions.skew import HOT_PARTS, spread_left_join
 
 # What a matched payment must have in common with its order.
 COMPARED = {"amount": "order_amount", "currency": "order_currency", "user_id": "order_user_id"}
@@ -35,14 +34,15 @@ def payment_facts(events: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_payments(events: DataFrame, parts: int = HOT_PARTS) -> DataFrame:
+def reconcile_payments(events: DataFrame) -> DataFrame:
     """Every payment with its order, if any, and how the two compare.
 
+    Orders are one row per id, so a much-referenced order is large on the payments' side
+    only, which adaptive execution splits. Two reads of the events, one for each side.
     ``status`` is ``orphan`` (no such order), ``match`` or ``mismatch``;
     ``differences`` names what differs.
     """
-    joined = spread_left_join(payment_facts(events), order_facts(events), "order_id", "event_id", parts)
-    return compare_with_order(joined)
+    return compare_with_order(payment_facts(events).join(order_facts(events), "order_id", "left"))
 
 
 def compare_with_order(joined: DataFrame) -> DataFrame:
@@ -59,12 +59,11 @@ def _verdict(differences: Column) -> Column:
     return F.when(differences == "", "match").otherwise("mismatch")
 
 
-def payment_orphans(events: DataFrame, parts: int = HOT_PARTS) -> DataFrame:
+def payment_orphans(events: DataFrame) -> DataFrame:
     """Payments whose order was never seen."""
-    return reconcile_payments(events, parts).filter("status = 'orphan'").select(payment_facts(events).columns)
+    return reconcile_payments(events).filter("status = 'orphan'").select(payment_facts(events).columns)
 
 
-def payment_matches(events: DataFrame, parts: int = HOT_PARTS) -> DataFrame:
+def payment_matches(events: DataFrame) -> DataFrame:
     """Payments whose order exists, with the comparison."""
-    joined = spread_left_join(payment_facts(events), order_facts(events), "order_id", "event_id", parts, "inner")
-    return compare_with_order(joined)
+    return compare_with_order(payment_facts(events).join(order_facts(events), "order_id"))

@@ -29,7 +29,8 @@ def check_contract(records: DataFrame, contract: Contract = EVENT_CONTRACT) -> D
     """Broker columns, raw text, ``violations``, ``is_valid`` and the flat event columns.
 
     The flat columns hold values of the declared type or null; they are complete
-    for valid records.
+    for valid records. Of a repeated key the last value counts if the session has the
+    job's settings (`configure`); without them such a text is ``malformed_json``.
     """
     text = with_broker_columns(records).select(*broker_columns(), F.col("value").cast("string").alias("raw_json"))
     kinds = ", ".join(f"{name} variant" for name in [*_names(contract.envelope), "payload"])
@@ -42,11 +43,12 @@ def check_contract(records: DataFrame, contract: Contract = EVENT_CONTRACT) -> D
     looked_up = decoded.select(
         *text.columns,
         F.json_object_keys("raw_json").alias("keys"),
+        _is_one_document("raw_json").alias("well_formed"),
         "found.payload",
         F.try_variant_get("found.payload", "$", "map<string,variant>").alias("payload_map"),
         *[F.schema_of_variant(F.col("found")[name]).alias(_kind_name(name)) for name in _names(contract.envelope)],
         *[F.col("typed")[name].alias(name) for name in _names(contract.envelope)],
-        *[F.col("typed")["payload"][name].alias(name) for name in _names(contract.payload_fields)],
+        *[_typed_value(f).alias(f.name) for f in contract.payload_fields],
     ).withColumns(
         {
             _kind_name(name): F.schema_of_variant(F.try_element_at("payload_map", F.lit(name)))
@@ -89,8 +91,8 @@ def violations(contract: Contract) -> Column:
     reasons = F.array_except(reasons, F.array(F.lit(None).cast("string")))
     return (
         F.when(~F.coalesce(has_content(F.col("raw_json")), F.lit(False)), _one("empty_value"))
+        .when(~F.col("well_formed"), _one("malformed_json"))
         .when(F.col("keys").isNotNull(), reasons)
-        .when(F.try_parse_json("raw_json").isNull(), _one("malformed_json"))
         .otherwise(_one("not_an_object"))
     )
 
@@ -116,6 +118,8 @@ def field_violation(field: Field) -> Column:
     kind, value = F.col(_kind_name(field.name)), F.col(field.name)
     broken = F.when(kind.isNull(), F.lit(f"missing:{field.name}") if field.required else F.lit(None))
     broken = broken.when(~_kind_matches(field.kind, kind), F.lit(f"type:{field.name}"))
+    if field.kind == "integer":
+        broken = broken.when((kind != "BIGINT") & value.isNull(), F.lit(f"type:{field.name}"))  # it has a fraction
     if field.kind == "timestamp":
         well_formed = value.rlike(DATE_TIME) & event_timestamp(value).isNotNull()
         return broken.when(~well_formed, F.lit(f"timestamp:{field.name}"))
@@ -124,6 +128,8 @@ def field_violation(field: Field) -> Column:
     measured, rule = (F.length(value), "length") if field.kind == "string" else (value, "range")
     # A number too large for the declared type has the right JSON type and no typed value.
     outside = value.isNull()
+    if field.kind == "number":
+        outside = outside | (F.abs(value) == float("inf"))  # beyond what a double holds
     if field.low is not None:
         outside = outside | (measured < field.low)
     if field.high is not None:
@@ -139,9 +145,31 @@ def _kind_name(field: str) -> str:
     return f"kind_of_{field}"
 
 
+def _is_one_document(name: str) -> Column:
+    """Whether the whole text is one JSON document.
+
+    The parser stops after the first document. So the text is put into an array before a number
+    that stands for it: only if it is one complete element is that number the second one.
+    """
+    mark = F.xxhash64(name)
+    array = F.try_parse_json(F.concat(F.lit("["), F.col(name), F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.coalesce(F.try_variant_get(array, "$[1]", "bigint") == mark, F.lit(False))
+
+
+def _typed_value(field: Field) -> Column:
+    """The payload value as declared; an integer may be written with a fraction of zero."""
+    typed = F.col("typed")["payload"][field.name]
+    if field.kind != "integer":
+        return typed
+    number = F.try_variant_get("found.payload", f"$.{field.name}", "double")
+    whole = F.when(number == F.floor(number), number.try_cast(field.spark_type))
+    return F.coalesce(typed, whole)
+
+
 def _kind_matches(declared: str, kind: Column) -> Column:
+    """``kind`` is the JSON type; whether a number without fraction is meant is left to its value."""
     if declared == "integer":
-        return kind == "BIGINT"
+        return (kind == "BIGINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE")
     if declared == "number":
         return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
     return kind == "STRING"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pulse.config import JobConfig
 from pulse.functions.columns import is_type
 
-# Below this a history is constant up to rounding and gives no score.
+# A deviation below this share of the mean is rounding noise of a constant history and gives no score.
 LEAST_DEVIATION = 1e-9
 SERIES = ("metric_name", "dimension_key", "dimension_value")
 
@@ -18,33 +19,32 @@ SERIES = ("metric_name", "dimension_key", "dimension_value")
 def funnel(events: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """Users per window who viewed, then added to cart, then ordered.
 
-    A step counts if its first occurrence in the window is not before the first
-    occurrence of the step before. Events fold to one row per window and user
-    map-side, so a very active user costs one row per task.
+    The steps are taken in turn: the first view, the first cart addition at or after it, the
+    first order at or after that. Each step folds to one row per window and user map-side
+    and is the small side of the next step's join, so a very active user costs one row
+    per task and is split where the joins meet it.
     """
-    def first(event_type: str):
-        return F.min(F.when(is_type(event_type), F.col("event_ts")))
-
-    users = (
-        events.filter(
-            F.col("event_type").isin("page_view", "add_to_cart", "order_created") & F.col("user_id").isNotNull()
-        )
-        .groupBy(F.window("event_ts", config.window_duration, config.slide_duration).alias("window"), "user_id")
-        .agg(
-            first("page_view").alias("viewed"),
-            first("add_to_cart").alias("carted"),
-            first("order_created").alias("ordered"),
-        )
-    )
-    reached_cart = F.coalesce(F.col("carted") >= F.col("viewed"), F.lit(False))
-    reached_order = reached_cart & F.coalesce(F.col("ordered") >= F.col("carted"), F.lit(False))
+    key = ["window", "user_id"]
+
+    def of_type(event_type: str) -> DataFrame:
+        return events.filter(is_type(event_type) & F.col("user_id").isNotNull()).select(
+            F.window("event_ts", config.window_duration, config.slide_duration).alias("window"), "user_id", "event_ts")
+
+    def first_after(event_type: str, before: DataFrame, name: str, reached: str) -> DataFrame:
+        later = of_type(event_type).join(before, key).filter(F.col("event_ts") >= F.col(reached))
+        return later.groupBy(*key).agg(F.min("event_ts").alias(name))
+
+    viewed = of_type("page_view").groupBy(*key).agg(F.min("event_ts").alias("viewed"))
+    carted = first_after("add_to_cart", viewed, "carted", "viewed")
+    ordered = first_after("order_created", carted, "ordered", "carted")
+    steps = [(viewed, "viewers"), (carted, "carters"), (ordered, "buyers")]
+    counted = reduce(DataFrame.unionByName, [s.select("window", F.lit(name).alias("step")) for s, name in steps])
+    # A window counts as soon as any event of the funnel lies in it.
+    others = reduce(DataFrame.unionByName, [of_type(t).select("window", F.lit("none").alias("step")) for t in
+                                            ("add_to_cart", "order_created")])
     return (
-        users.groupBy("window")
-        .agg(
-            F.count("viewed").alias("viewers"),
-            F.count_if(reached_cart).alias("carters"),
-            F.count_if(reached_order).alias("buyers"),
-        )
+        counted.unionByName(others).groupBy("window")
+        .agg(*[F.count_if(F.col("step") == name).alias(name) for _, name in steps])
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -82,7 +82,7 @@ def anomaly_scores(metrics: DataFrame, history: str = "30 minutes", slice_length
             "deviation": F.stddev_samp("metric_value").over(recent),
         }
     ).filter(F.col("slice") == own)
-    spread = F.when(F.col("deviation") > LEAST_DEVIATION, F.col("deviation"))
+    spread = F.when(F.col("deviation") > LEAST_DEVIATION * F.abs("mean"), F.col("deviation"))
     return scored.drop("slice").withColumn("z_score", (F.col("metric_value") - F.col("mean")) / spread)
 
 
@@ -101,14 +101,13 @@ def thresholds(spark: SparkSession, rules: Iterable[tuple[str, float | None, flo
 def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Metric rows outside the bounds of a rule.
 
-    ``rules`` is configuration built with `thresholds` from rows in the program,
-    never a table that grows with the data, hence the broadcast.
+    ``rules`` is a table like that of `thresholds`; how it is joined follows from its size.
     """
     breach = F.when(F.col("metric_value") < F.col("low"), "below").when(
         F.col("metric_value") > F.col("high"), "above"
     )
     return (
-        metrics.join(F.broadcast(rules), "metric_name")
+        metrics.join(rules, "metric_name")
         .withColumn("breach", breach)
         .filter(F.col("breach").isNotNull())
     )

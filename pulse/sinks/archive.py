@@ -6,23 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from pulse.functions.columns import event_timestamp
+from pulse.contract import EVENT_TYPES
+from pulse.functions.columns import event_timestamp, utc_day
 
-PARTITIONS = ("verdict", "event_date")
+PARTITIONS = ("verdict", "event_type_key", "event_date")
+#: Tasks that write one partition of a micro-batch at most.
+FILES_PER_PARTITION = 4
 
 
 def archive_rows(checked: DataFrame) -> DataFrame:
     """Output of `check_contract` with the partition columns.
 
-    The raw text is kept where the flat columns cannot stand for it, on rejects.
-    Rejects without a readable time go to the day the broker received them.
+    The raw text is kept on all. Valid events lie under their type and UTC day. Rejects, whose
+    own claims may be anything, lie under ``unknown`` unless they name a type of the
+    contract, and under the day the broker received them.
     """
-    day = F.coalesce(event_timestamp(F.col("event_time")), F.col("kafka_timestamp")).cast("date")
+    named = F.col("event_type").isin(*EVENT_TYPES)
     return checked.withColumns(
         {
             "verdict": F.when(F.col("is_valid"), "valid").otherwise("rejected"),
-            "event_date": day,
-            "raw_json": F.when(~F.col("is_valid"), F.col("raw_json")),
+            "event_type_key": F.when(named, F.col("event_type")).otherwise("unknown"),
+            "event_date": utc_day(F.when(F.col("is_valid"), event_timestamp(F.col("event_time"))).otherwise(
+                F.col("kafka_timestamp"))),
         }
     )
 
@@ -34,8 +39,11 @@ def write_archive(checked: DataFrame, path: str, mode: str = "append") -> None:
 
 def archive_writer(checked: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Streaming archive by the file sink, whose commit log makes it exactly-once."""
+    rows = archive_rows(checked)
+    # A task writes few partitions, and a partition has few files, however many tasks read.
+    part = F.pmod(F.xxhash64("raw_json"), F.lit(FILES_PER_PARTITION))
     return (
-        archive_rows(checked)
+        rows.repartition(*PARTITIONS, part)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*PARTITIONS)

@@ -31,9 +31,11 @@ def sink_options(config: JobConfig, with_topic: bool = True) -> dict[str, str]:
 def to_kafka_records(events: DataFrame, contract: Contract = EVENT_CONTRACT) -> DataFrame:
     """Flat events to (key, value): key is the user, value the JSON envelope.
 
-    A payload carries the fields of its own event type that have a value, so the
-    numeric defaults of normalised events do not leak into foreign payloads.
+    A payload carries the fields of its own event type that have a value. Events have to
+    be parsed ones: normalisation replaces absent numbers by 0, which would be published as data.
     """
+    if "payment_attempt_flag" in events.columns:
+        raise ValueError("normalised events hold 0 where a number was absent; publish parsed events")
     owners = {
         f.name: [event_type for event_type, fields in contract.payloads.items() if f.name in {g.name for g in fields}]
         for f in contract.payload_fields

@@ -1,28 +1,28 @@
 """The metric table: day partitions, sorted files, replay-safe streaming writes.
 
-Layout: ``<path>/window_date=<day>`` for batch loads, and below the day
-``run_id=<query>/batch_id=<n>`` for streams. A replayed micro-batch replaces the
-directories of its own id; a query with a new checkpoint has another run id and so
-never overwrites an older run.
+Layout: ``<path>/window_date=<day>/run_id=<run>/batch_id=<n>``, days in UTC. A batch load is
+a run with the batch id 0; a stream's run is its query. A replayed micro-batch replaces
+the directories of its own id; a query with a new checkpoint has another run id and
+so never overwrites an older run. Readers see the last processed version of a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime, timedelta
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from pulse.contract import METRIC_COLUMNS, METRIC_SCHEMA
-from pulse.functions.columns import as_utc, between_instants
+from pulse.functions.columns import between_instants, utc_day
 
 SORT_KEY = ("metric_name", "window_start", "dimension_key", "dimension_value")
-TABLE_SCHEMA = StructType([*METRIC_SCHEMA.fields, StructField("window_date", DateType())])
-# Ranges of more days than this are read by listing the whole table.
-MAX_LISTED_DAYS = 400
+PARTITIONS = ("window_date", "run_id", "batch_id")
+TABLE_SCHEMA = StructType([*METRIC_SCHEMA.fields, StructField("window_date", DateType()),
+                           StructField("run_id", StringType()), StructField("batch_id", LongType())])
+BATCH_RUN, COMPACTED_RUN = "load", "compacted"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -33,26 +33,27 @@ def table_rows(metrics: DataFrame) -> DataFrame:
     return metrics.select(*[value if name == "metric_value" else name for name in METRIC_COLUMNS])
 
 
-def write_metric_table(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Batch load. Overwriting replaces the days that occur in the rows, no others."""
-    dated = table_rows(metrics).withColumn("window_date", F.to_date("window_start"))
+def write_metric_table(metrics: DataFrame, path: str, mode: str = "overwrite", run_id: str = BATCH_RUN) -> None:
+    """Batch load. Overwriting replaces the run's days that occur in the rows, no others."""
+    dated = table_rows(metrics).withColumns(
+        {"window_date": utc_day(F.col("window_start")), "run_id": F.lit(run_id), "batch_id": F.lit(0)})
     (
         # Rebalancing gives a day few files of proper size and splits a day that is too large.
         dated.hint("rebalance", "window_date")
         .sortWithinPartitions("window_date", *SORT_KEY)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
 
-def metric_batch_writer(path: str, files_per_batch: int = 4) -> BatchWriter:
+def metric_batch_writer(path: str, files_per_day: int = 4) -> BatchWriter:
     """`foreachBatch` writer into the table.
 
     The batch is evaluated once, by its single write; an empty one writes no
-    partition. Its rows are those of the windows that closed, spread over
-    ``files_per_batch`` tasks and files.
+    partition. Its rows are dealt by day, each day to ``files_per_day`` tasks at most, so
+    a backlog of many days is written by many tasks and a day never has many files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -61,18 +62,18 @@ def metric_batch_writer(path: str, files_per_batch: int = 4) -> BatchWriter:
             raise RuntimeError("the metric table writer has to run inside a streaming query")
         (
             table_rows(batch)
-            .repartition(files_per_batch)
             .withColumns(
                 {
-                    "window_date": F.to_date("window_start"),
+                    "window_date": utc_day(F.col("window_start")),
                     "run_id": F.lit(run_id),
                     "batch_id": F.lit(batch_id),
                 }
             )
+            .repartition("window_date", F.pmod(F.xxhash64(*SORT_KEY), F.lit(files_per_day)))
             .sortWithinPartitions("window_date", *SORT_KEY)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_date", "run_id", "batch_id")
+            .partitionBy(*PARTITIONS)
             .parquet(path)
         )
 
@@ -82,6 +83,7 @@ def metric_batch_writer(path: str, files_per_batch: int = 4) -> BatchWriter:
 def jdbc_batch_writer(options: Mapping[str, str], num_partitions: int = 4) -> BatchWriter:
     """`foreachBatch` writer into an external OLAP table, from the executors.
 
+    ``num_partitions`` is how many connections the server is to have at once.
     At-least-once: a replayed batch is appended again. The JDBC driver has to be on
     the class path.
     """
@@ -94,39 +96,60 @@ def jdbc_batch_writer(options: Mapping[str, str], num_partitions: int = 4) -> Ba
 
 
 def read_metric_table(
-    spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None
+    spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None, every_version: bool = False
 ) -> DataFrame:
-    """The table, or its windows starting within [start, end].
+    """The table, or its windows starting within [start, end], each in its last version.
 
-    A bounded range lists only the directories of its days, so a dashboard refresh
-    does not get slower as the table grows.
+    A range reads the directories of its UTC days only. A path that does not exist is an error
+    for any range.
     """
-    reader = spark.read.schema(TABLE_SCHEMA).option("basePath", path)
-    days = _days(start, end)
-    location = path if days is None else f"{path}/window_date={{{','.join(days)}}}"
-    try:
-        rows = reader.parquet(location)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND" or days is None:
-            raise
-        rows = spark.createDataFrame([], TABLE_SCHEMA)
-    return between_instants(rows.select(*METRIC_COLUMNS, "window_date"), start, end)
-
-
-def _days(start: datetime | None, end: datetime | None) -> list[str] | None:
-    if start is None or end is None:
-        return None
-    first, last = as_utc(start).date(), as_utc(end).date()
-    count = max((last - first).days, 0) + 1
-    if count > MAX_LISTED_DAYS:
-        return None
-    return [(first + timedelta(days=i)).isoformat() for i in range(count)]
+    rows = spark.read.schema(TABLE_SCHEMA).option("basePath", path).parquet(path)
+    ranged = between_instants(rows, start, end)
+    if every_version:
+        return ranged.select(*METRIC_COLUMNS, *PARTITIONS)
+    latest = latest_version(ranged)
+    return latest.withColumn("window_date", utc_day(F.col("window_start")))
 
 
 def latest_version(metrics: DataFrame) -> DataFrame:
-    """One row per window and series, the last processed: for tables that hold several runs."""
+    """One row per window and series, the last processed and of equal times the largest value.
+
+    For rows of several runs or batches.
+    """
     key = ["window_start", "window_end", "metric_name", "dimension_key", "dimension_value"]
     return metrics.groupBy(*key).agg(
-        F.max_by("metric_value", "processed_at").alias("metric_value"),
+        F.max_by("metric_value", F.struct("processed_at", "metric_value")).alias("metric_value"),
         F.max("processed_at").alias("processed_at"),
     ).select(*METRIC_COLUMNS)
+
+
+def compact_metric_table(spark: SparkSession, path: str, before: date) -> int:
+    """Put the runs and batches of every UTC day before ``before`` into one run; the number of days.
+
+    For days that are closed: nobody may write to them meanwhile. The compacted rows are
+    written first and the other runs removed then, so a reader sees every window at any
+    time, and a compaction that was interrupted is finished by the next one.
+    """
+    rows = spark.read.schema(TABLE_SCHEMA).option("basePath", path).parquet(path).filter(F.col("window_date") < F.lit(before))
+    parts = rows.select(*PARTITIONS).distinct()
+    old = [r for r in parts.collect() if r["run_id"] != COMPACTED_RUN]  # directories of the table, not rows
+    days = sorted({r["window_date"] for r in old})
+    if not days:
+        return 0
+    latest = latest_version(rows.filter(F.col("window_date").isin(*days)))
+    # What is read may lie in the directories that are replaced, hence the new batch id.
+    batches = parts.filter(F.col("run_id") == COMPACTED_RUN).agg(F.max("batch_id")).first()[0]
+    dated = latest.withColumns({"window_date": utc_day(F.col("window_start")), "run_id": F.lit(COMPACTED_RUN),
+                                "batch_id": F.lit(0 if batches is None else batches + 1)})
+    dated.hint("rebalance", "window_date").sortWithinPartitions("window_date", *SORT_KEY).write.mode("append").partitionBy(
+        *PARTITIONS).parquet(path)
+    compacted = [r for r in parts.filter(F.col("window_date").isin(*days)).collect()
+                 if r["run_id"] != COMPACTED_RUN or r["batch_id"] <= (-1 if batches is None else batches)]
+    for r in compacted:
+        _remove(spark, f"{path}/window_date={r['window_date']}/run_id={r['run_id']}/batch_id={r['batch_id']}")
+    return len(days)
+
+
+def _remove(spark: SparkSession, directory: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

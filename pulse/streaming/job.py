@@ -54,7 +54,7 @@ def start_metrics(
 
 def run(config: JobConfig, spark: SparkSession | None = None) -> int:
     """Run until the query ends. 0 on a regular end or an interrupt, 1 on failure."""
-    query = None
+    query, own = None, spark is None
     try:
         spark = spark or SparkSession.builder.appName(config.app_name).getOrCreate()
         query = start_metrics(read_kafka_stream(configure(spark, config), config), config)
@@ -70,7 +70,7 @@ def run(config: JobConfig, spark: SparkSession | None = None) -> int:
     finally:
         if query is not None and query.isActive:
             query.stop()
-        if spark is not None:
+        if own and spark is not None:
             spark.stop()
 
 

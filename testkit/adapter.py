@@ -47,10 +47,8 @@ ENVELOPE = ("event_id", "event_type", "event_at", "produced_at", "user_id",
 PAYLOAD = {
     "page": "CASE WHEN event_type = 'page_view' THEN '/product' END",
     "product_id": "CASE WHEN event_type IN ('page_view', 'add_to_cart', 'inventory_updated')"
-                  " THEN concat('prd_', 1001 + n % 10) END",
-    # Two neighbouring products share a category.
-    "category": "CASE WHEN event_type = 'page_view' THEN"
-                " element_at(array('electronics', 'books', 'fashion', 'home', 'health'), int(n % 10 div 2) + 1) END",
+                  " THEN concat('item-', n % 13) END",
+    "category": "CASE WHEN event_type = 'page_view' THEN concat('shelf-', n % 3) END",
     "referrer": "CASE WHEN event_type = 'page_view' THEN 'direct' END",
     "quantity": "CASE WHEN event_type = 'add_to_cart' THEN 1 + k % 4 END",
     "unit_price": "CASE WHEN event_type = 'add_to_cart' THEN value END",

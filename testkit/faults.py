@@ -29,6 +29,14 @@ FAULTS = {
     12: "null_referrer",
     13: "payload_text",
     14: "far_integer",
+    15: "trailing_text",
+    16: "two_documents",
+    17: "whole_decimal",
+    18: "infinite_number",
+    19: "missing_field",
+    20: "negative_stock",
+    21: "two_faults",
+    22: "repeated_key",
 }
 
 
@@ -49,7 +57,10 @@ def faulty_values(events: DataFrame) -> DataFrame:
         {
             "user_id": F.when(F.col("fault") == "without_user", None).otherwise(F.col("user_id")),
             "event_type": on("unknown_type", F.lit("refund"), "event_type"),
-            "session_id": on("empty_session", F.lit(""), "session_id"),
+            "session_id": F.when(F.col("fault").isin("empty_session", "two_faults"), "").otherwise(F.col("session_id")),
+            "product_id": F.when(F.col("fault") != "missing_field", F.col("product_id")).when(
+                F.col("fault").isNull(), F.col("product_id")),
+            "stock_after": on("negative_stock", -F.col("stock_after") - 1, "stock_after"),
             "event_time": on("bad_time", F.lit("yesterday"), "event_time"),
             "unit_price": negated("unit_price"),
             "total_amount": negated("total_amount"),
@@ -64,7 +75,7 @@ def faulty_values(events: DataFrame) -> DataFrame:
     fault = F.col("fault")
     value = (
         F.when(fault == "truncated", F.substring(text, 1, 60))
-        .when(fault == "extra_key", F.concat(F.lit('{"extra":1,'), F.substring(text, 2, 1_000_000)))
+        .when(fault.isin("extra_key", "two_faults"), F.concat(F.lit('{"extra":1,'), F.expr("substring(json, 2)")))
         .when(fault == "numeric_source", F.replace(text, F.lit('"source":"testdata"'), F.lit('"source":7')))
         .when(fault == "extra_payload_key", F.replace(text, F.lit('"payload":{'), F.lit('"payload":{"note":"x",')))
         .when(fault == "empty_text", F.lit(" "))
@@ -72,6 +83,11 @@ def faulty_values(events: DataFrame) -> DataFrame:
         .when(fault == "null_referrer", F.replace(text, F.lit('"referrer":"direct"'), F.lit('"referrer":null')))
         .when(fault == "payload_text", F.regexp_replace(text, r'"payload":\{.*\}\}$', '"payload":"none"}'))
         .when(fault == "far_integer", F.regexp_replace(text, r'"(quantity|items_count|stock_after)":\d+', '"$1":99999999999'))
+        .when(fault == "trailing_text", F.concat(text, F.lit(" and more")))
+        .when(fault == "two_documents", F.concat(text, text))
+        .when(fault == "whole_decimal", F.regexp_replace(text, r'"(quantity|items_count|stock_after)":(\d+)', '"$1":$2.0'))
+        .when(fault == "infinite_number", F.regexp_replace(text, r'"(unit_price|total_amount|amount)":[0-9.E-]+', '"$1":1e400'))
+        .when(fault == "repeated_key", F.replace(text, F.lit('"source":"testdata"'), F.lit('"source":"x","source":"testdata"')))
         .otherwise(text)
     )
     return texted.select("event_id", "event_type", value.alias("value"))

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-from pulse.streaming.paths import shared_root
-
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared one; a temporary one only for a local session without any."""
-    local = spark.sparkContext.master.startswith("local")
-    if local and not spark.conf.get("spark.checkpoint.dir", None):
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared one, or below the warehouse where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")  # as `configure` sets it
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

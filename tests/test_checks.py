@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from builders import as_set, event, events
 from conftest import SF_DIR
 from pulse.contract import EVENT_TYPES
-from pulse.functions.skew import hot_keys, spread_left_join
 from pulse.operators.continuity import stock_continuity
 from pulse.operators.monitor import dedup_events, event_mix, producer_lag, route_topics
 from pulse.operators.reconcile import payment_matches, payment_orphans, reconcile_payments
@@ -26,39 +25,6 @@ def payment(payment_id, order_id, amount=10.0, user="u", at="2026-03-07T18:00:05
                  user_id=user, event_id=f"p-{payment_id}")
 
 
-def test_hot_keys_are_few_and_found(spark):
-    keys = ["hot"] * 400 + [f"k{i}" for i in range(600)] + [None] * 200
-    facts = spark.createDataFrame([(k,) for k in keys], "k string")
-    assert {(r.k, r["__pieces"]) for r in hot_keys(facts, "k", 10).collect()} == {("hot", 4)}
-    assert hot_keys(facts, "k", 1200).count() < 1200
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("parts", [1, 7, 1000])
-def test_spread_join_equals_the_plain_join(spark, how, parts):
-    rng = random.Random(3)
-    rows = [(i, rng.choice(["hot", "hot", None, f"k{rng.randint(0, 40)}"])) for i in range(500)]
-    facts = spark.createDataFrame(rows, "id int, k string")
-    lookup = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(20)], "k string, v int")
-    spread = spread_left_join(facts, lookup, "k", "id", parts, how).select("id", "k", "v")
-    plain = facts.join(lookup, "k", how).select("id", "k", "v")
-    assert spread.exceptAll(plain).count() == 0 and plain.exceptAll(spread).count() == 0
-
-
-def test_a_hot_order_is_spread_over_tasks(spark):
-    facts = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    lookup = facts.select("k").distinct().withColumn("v", F.lit(1))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = spread_left_join(facts, lookup, "k", "id", 100).withColumn("task", F.spark_partition_id())
-        hot = [r["count"] for r in joined.filter("k = 'hot'").groupBy("task").count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(hot) == 1334 and len(hot) == 8 and max(hot) < 400
-
-
 def test_reconciliation_by_hand(spark):
     rows = events(
         spark,
@@ -81,9 +47,8 @@ def test_reconciliation_against_brute_force_with_a_hot_order(spark):
     paid = [("o0" if rng.random() < 0.4 else f"o{rng.randint(0, 30)}", float(rng.randint(0, 15))) for _ in range(200)]
     rows = events(spark, *orders, *[payment(f"p{i}", o, a) for i, (o, a) in enumerate(paid)])
     expected = Counter("orphan" if int(o[1:]) >= 15 else "match" if a == float(o[1:]) else "mismatch" for o, a in paid)
-    for parts in (3, 1000):
-        found = Counter(r.status for r in reconcile_payments(rows, parts).select("status").collect())
-        assert found == expected
+    found = Counter(r.status for r in reconcile_payments(rows).select("status").collect())
+    assert found == expected
 
 
 def test_matched_and_orphaned_payments_of_the_table(spark):
@@ -98,6 +63,25 @@ def move(i, product, at, delta, stock, warehouse="wh_01"):
                                            "warehouse_id": warehouse}, event_id=f"{i:05d}")
 
 
+def test_moves_without_product_or_id_have_no_previous_level(spark):
+    rows = events(spark, *[event("inventory_updated", f"2026-03-07T18:00:0{i}Z", {"product_id": None, "stock_after": 10 + i},
+                                 event_id=None) for i in range(3)])
+    assert [r.previous_stock for r in stock_continuity(rows).collect()] == [None] * 3
+
+
+def test_records_without_id_and_place_are_not_duplicates(spark):
+    rows = events(spark, *[event(event_id=None, user_id=str(i)) for i in range(5)]).withColumn(
+        "kafka_offset", F.lit(None).cast("bigint"))
+    assert dedup_events(rows).count() == 5
+
+
+def test_the_earliest_copy_stays(spark):
+    rows = events(spark, event(user_id="late"), event(user_id="early"), event(user_id="later"))
+    placed = rows.withColumn("kafka_timestamp", F.expr(
+        "timestamp_seconds(CASE user_id WHEN 'early' THEN 1 WHEN 'late' THEN 2 ELSE 3 END)"))
+    assert [r.user_id for r in dedup_events(placed).collect()] == ["early"]
+
+
 def test_continuity_by_hand(spark):
     rows = events(
         spark,

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from unittest.mock import MagicMock
 
 import pytest
@@ -135,7 +138,9 @@ def test_a_new_checkpoint_does_not_overwrite_the_old_run(replay):
     replay.run()
     replay.run(config=JobConfig(app_name="second", checkpoint_dir=str(replay.root / "other")))
     assert values(replay.rows(), "events_per_minute") == {("18:00", "page_view"): 1.0}
-    assert replay.rows().filter("metric_name = 'events_per_minute'").count() == 2
+    every = read_metric_table(replay.spark, replay.table, every_version=True)
+    assert every.filter("metric_name = 'events_per_minute'").count() == 2
+    assert replay.rows().filter("metric_name = 'events_per_minute'").count() == 1
 
 
 def test_stream_dedup_across_batches(spark, replay):
@@ -190,7 +195,15 @@ def test_exit_codes(monkeypatch, end, code):
     monkeypatch.setattr(job, "read_kafka_stream", lambda spark, config: None)
     monkeypatch.setattr(job, "start_metrics", lambda records, config: query)
     assert job.run(JobConfig(), session) == code
-    session.stop.assert_called_once()
+    session.stop.assert_not_called()  # it is the caller's
+
+
+@pytest.mark.parametrize("arguments, code", [(["--help"], 0), (["--shuffle-partitions", "none"], 2), (["--shuffle-partitions", "0"], 1)])
+def test_the_entry_file_starts(arguments, code):
+    entry = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "run_metrics_job.py")
+    ended = subprocess.run([sys.executable, entry, *arguments], capture_output=True, text=True, cwd="/tmp", timeout=120)
+    assert ended.returncode == code, ended.stderr
+    assert "ModuleNotFoundError" not in ended.stderr
 
 
 def test_command_line(monkeypatch):

@@ -50,6 +50,13 @@ CASES = [
     (event("add_to_cart", payload={"quantity": 101}), ["range:quantity"]),
     (event("add_to_cart", payload={"quantity": 99999999999}), ["range:quantity"]),
     (event("add_to_cart", payload={"quantity": 2.5}), ["type:quantity"]),
+    (event("add_to_cart", payload={"quantity": 3.0}), []),
+    (text(event("add_to_cart")).replace("12.25", "1e400"), ["range:unit_price"]),
+    (text(event()) + " and more", ["malformed_json"]),
+    (text(event()) + text(event()), ["malformed_json"]),
+    (text(event()) + "] [", ["malformed_json"]),
+    (text(event()).replace('"page": ', '"page": "x", "page": '), []),
+    (text(event()).replace('"user_id": ', '"user_id": "x", "user_id": '), []),
     (event("add_to_cart", payload={"quantity": "2"}), ["type:quantity"]),
     (event("add_to_cart", payload={"quantity": True}), ["type:quantity"]),
     (event("add_to_cart", payload={"unit_price": 80}), []),
