@@ -12,8 +12,8 @@ positional bound (what the two orders can still have in common after the token)
 then verified on the whole lines. Tokens that only one line has are dropped on arrival.
 
 The lines of a token are ranked by position. Each is compared with the first one, those
-that matched nothing with the next three, the next twelve and so on until they match or have
-met all earlier lines of all their tokens, so no pair is lost and a group of similar lines costs
+that matched nothing with the next fifteen, and those that still have no match with all earlier
+lines of all their tokens, so no pair is lost and a group of similar lines costs
 about one comparison for each.
 
 Texts of lines to be verified, and documents that lose lines, are found by a join on the key; a
@@ -46,6 +46,8 @@ HELD_ENTRIES = 1 << 20
 BUCKET_SHINGLES = 2_000_000
 #: A token of more lines than this is dealt out by its lines as well, so that no bucket has to hold them all.
 HOT_TOKEN = 100_000
+#: Lines of a token that are tried after the first one and before all the others.
+NEXT_RANKS = 16
 
 
 # ---- lines of a batch --------------------------------------------------------------------------
@@ -298,7 +300,7 @@ def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
             similar.select("key", "line").distinct(), ["key", "line"], "left_anti"), "open")
         if not open_.take(1):
             return reduce(DataFrame.unionByName, matches)
-        low, high = high, 4 * high
+        low, high = high, NEXT_RANKS if high == 1 else 1 << 62
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
