@@ -227,7 +227,7 @@ def possible(a: str, b: str, threshold: float) -> Column:
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``key, line, text`` of the listed ``key, line``; ``docs`` has ``key, text`` with integer keys."""
-    shared = docs.sparkSession.sparkContext.broadcast(members(lines.select("key", "line")).cells)
+    shared = docs.sparkSession.sparkContext.broadcast(members(lines.select("key", "line")))
 
     def picked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
