@@ -12,12 +12,15 @@ pair is verified by the exact weighted Jaccard similarity of the whole texts.
 
 Equal texts are one node from the start. Nodes of a band are not paired with each other: each
 is verified against the band's hub, the node with most company in all its bands, which is where
-the text that others derive from stands out. Only nodes without a link go on, in stricter
+the text that others derive from stands out. Nodes without a link go on in stricter
 bands of ``STRICT_ROWS`` samples that texts of middling similarity rarely share: there one of
-them for each band, and then each that is left, is verified against all others of its bands. The
-distance ``1 - similarity`` is a metric, so pairs whose distances to a common hub differ too
-much are passed over, which is exact. Verified pairs are links; classes are
-their connected components, found by label propagation on tables in the shared folder.
+them for each band, and then each that is left, is verified against all others of its bands. At
+last every pair of a band whose nodes lie in different components by then is verified, so no
+link between two nodes of a band is missing where it would join classes. Two exact bounds rule
+pairs out before: the distance ``1 - similarity`` is a metric, so distances to a common
+hub may not differ too much, and shingles that one node alone has are shared with no other.
+Verified pairs are links; classes are their connected components, found by label propagation on
+tables in the shared folder.
 
 Defined cases: a null text is an empty one; texts without words are near-duplicates of equal
 texts only; a class is named by its smallest key (null only if all are); rows with equal
@@ -201,38 +204,109 @@ def links(docs: DataFrame, key: str, text: str, sketch: Sketch, documents: int,
     checked = written(verify(pairs, texts, sketch, documents), "checked")
     found = checked.filter(F.col("similarity") >= threshold).select("node", "leader")
     linked = found.select("node").union(found.select("leader")).distinct()
-    alone = written(bands.select("node").distinct().join(linked, "node", "left_anti"), "alone")
+    opened = written(_several_labels(bands, found), "opened")
+    if not opened.take(1):
+        return found
+    # What is open by now is the most that the later steps look at: links only join labels.
+    bounds = written(_bounds(checked, texts.join(opened.select("node").distinct(), "node", "left_semi"), sketch, documents), "bounds")
+    able = bounds.filter(F.col("common") >= F.col("total") * (threshold - 1e-6)).select("node")
+    alone = written(able.join(linked, "node", "left_anti"), "alone")
     if alone.take(1):
         near = bands.join(bands.join(alone, "node", "left_semi").select("band").distinct(), "band", "left_semi")
-        strict = band_table(texts.join(near.select("node").distinct(), "node", "left_semi"), sketch, documents,
-                            STRICT_BANDS, STRICT_ROWS)
-        found = found.unionByName(_strict_links(strict, alone, checked, texts, sketch, documents, threshold))
-    return found.distinct()
-
+        nodes = near.select("node").distinct().join(able, "node", "left_semi")
+        strict = band_table(texts.join(nodes, "node", "left_semi"), sketch, documents, STRICT_BANDS, STRICT_ROWS)
+        tried = _strict_pairs(strict, alone, bounds, texts, sketch, documents, threshold)
+        found = found.unionByName(tried.filter(F.col("similarity") >= threshold).select("node", "leader"))
+        checked = checked.unionByName(tried)
+    opened = opened.select("band", "node").join(able, "node", "left_semi")
+    last = verify(_pairs_between(_several_labels(opened, found), bounds, checked, threshold), texts, sketch, documents)
+    return found.unionByName(written(last, "checked").filter(F.col("similarity") >= threshold).select("node", "leader")).distinct()
+
+
+def _several_labels(bands: DataFrame, found: DataFrame) -> DataFrame:
+    """``band, node, label, side`` of bands whose nodes lie in several components; ``side`` is false in a band's largest one."""
+    labelled = written(bands.join(components(found), "node", "left").select(
+        "band", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    counts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    several = counts.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("most"),
+                                         F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    return labelled.join(several, "band").select("band", "node", "label", (F.col("label") != F.col("most")).alias("side"))
+
+
+def _bounds(checked: DataFrame, texts: DataFrame, sketch: Sketch, documents: int) -> DataFrame:
+    """``node, hub, to_hub, total, common`` of the texts: the most similar hub, all weight and that of shingles not its own."""
+    shared = texts.sparkSession.sparkContext.broadcast((sketch.cells, documents))
+    columns = ["node", "high", "low", "hash", "weight"]
 
-def _strict_links(strict, alone, checked, texts, sketch: Sketch, documents: int, threshold: float) -> DataFrame:
-    """Links of the nodes ``alone`` in their strict bands."""
+    def weighed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each shingle, and one with the node for the whole text."""
+        cells, documents = shared.value
+        sketch = Sketch(cells)
+        for batch in batches:
+            halves = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 2)
+            for start, stop, row, value, tf in weighted_shingles(batch.column(1)):
+                weight = weights(value, tf, sketch, documents).astype(float)
+                total = np.bincount(row, weight, stop - start)
+                for nodes, half, hashes, own in (
+                    (pa.nulls(len(row), pa.binary()), halves[row + start], pa.array(value.view(np.int64)), weight),
+                    (batch.column(0).slice(start, stop - start), halves[start:stop], pa.nulls(stop - start, pa.int64()), total),
+                ):
+                    yield pa.RecordBatch.from_arrays(
+                        [nodes, *(pa.array(np.ascontiguousarray(half[:, i])) for i in range(2)), hashes, pa.array(own)], columns)
+
+    both = written(texts.select("node", "text").mapInArrow(
+        weighed, "node binary, high long, low long, hash long, weight double"), "weights")
+    # A shingle that is counted once has the one row whose values are the smallest.
+    once = both.filter("hash IS NOT NULL").groupBy("hash").agg(
+        F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("high", "low", "weight"))).filter("n = 1")
+    own = once.groupBy("high", "low").agg(F.sum("weight").alias("own"))
+    totals = both.filter("node IS NOT NULL").select("node", "high", "low", F.col("weight").alias("total"))
+    common = totals.join(own, ["high", "low"], "left").select(
+        "node", "total", (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("common"))
     main = checked.groupBy("node").agg(F.max_by("leader", "similarity").alias("hub"), F.max("similarity").alias("to_hub"))
     self_ = checked.select(F.col("leader").alias("node"), F.col("leader").alias("hub"), F.lit(1.0).alias("to_hub")).distinct()
-    main = main.unionByName(self_.join(main, "node", "left_anti"))
-    bands = shared_bands(written(strict, "bands")).join(main, "node", "left")
-    open_ = written(bands.join(alone.withColumn("alone", F.lit(True)), "node", "left").fillna(False, ["alone"]), "strict")
+    return common.join(main.unionByName(self_.join(main, "node", "left_anti")), "node", "left")
+
+
+def _possible(threshold: float) -> Column:
+    """Whether the bounds of ``a`` and ``b`` leave the similarity open."""
     same_hub = F.coalesce(F.col("a.hub") == F.col("b.hub"), F.lit(False))
     apart = same_hub & (F.abs(F.col("a.to_hub") - F.col("b.to_hub")) > 1 - threshold + 1e-6)
+    most = F.least("a.common", "b.common") * (1 + threshold) >= (F.col("a.total") + F.col("b.total")) * (threshold - 1e-6)
+    return ~apart & most
+
+
+def _unordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("node"), F.greatest(a, b).alias("leader")]
+
+
+def _strict_pairs(strict, alone, bounds, texts, sketch: Sketch, documents: int, threshold: float) -> DataFrame:
+    """Verified pairs, with similarity, of the nodes ``alone`` in their strict bands."""
+    bands = shared_bands(written(strict, "bands")).join(bounds, "node")
+    open_ = written(bands.join(alone.withColumn("alone", F.lit(True)), "node", "left").fillna(False, ["alone"]), "strict")
 
-    def matches(one: DataFrame, others: DataFrame) -> DataFrame:
+    def tried(one: DataFrame, others: DataFrame) -> DataFrame:
         met = one.alias("a").join(others.alias("b"), F.col("a.band") == F.col("b.band"))
-        pairs = met.filter((F.col("a.node") != F.col("b.node")) & ~apart).select(
-            F.least("a.node", "b.node").alias("node"), F.greatest("a.node", "b.node").alias("leader")).distinct()
-        similar = verify(pairs, texts, sketch, documents).filter(F.col("similarity") >= threshold)
-        return written(similar.select("node", "leader"), "matches")
+        pairs = met.filter((F.col("a.node") != F.col("b.node")) & _possible(threshold)).select(
+            *_unordered("a.node", "b.node")).distinct()
+        return written(verify(pairs, texts, sketch, documents), "tried")
 
-    # One node of each band first: a group of similar ones is then done. The others meet all of their band.
+    # One node of each band first: a group of similar ones is then linked. The others meet all of their band.
     chosen = open_.filter("alone").groupBy("band").agg(F.min("node").alias("node"))
-    first = matches(open_.join(chosen, ["band", "node"], "left_semi"), open_)
-    done = first.select("node").union(first.select("leader")).distinct()
-    rest = open_.filter("alone").join(done, "node", "left_anti").join(chosen, ["band", "node"], "left_anti")
-    return first.unionByName(matches(rest, open_))
+    first = tried(open_.join(chosen, ["band", "node"], "left_semi"), open_)
+    similar = first.filter(F.col("similarity") >= threshold)
+    linked = similar.select("node").union(similar.select("leader")).distinct()
+    rest = open_.filter("alone").join(linked, "node", "left_anti").join(chosen, ["band", "node"], "left_anti")
+    return first.unionByName(tried(rest, open_))
+
+
+def _pairs_between(opened: DataFrame, bounds: DataFrame, checked: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a band's nodes in different components that are not verified yet and that the bounds leave open."""
+    rows = written(opened.join(bounds, "node"), "between")
+    met = rows.filter("side").alias("a").join(rows.alias("b"), F.col("a.band") == F.col("b.band"))
+    pairs = met.filter((F.col("a.label") != F.col("b.label")) & _possible(threshold)).select(
+        *_unordered("a.node", "b.node")).distinct()
+    return pairs.join(checked.select(*_unordered("node", "leader")), ["node", "leader"], "left_anti")
 
 
 def components(edges: DataFrame) -> DataFrame:

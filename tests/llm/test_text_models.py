@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pulse.llm import quality, toxicity
+from pulse.llm import neardup, quality, toxicity
 from pulse.llm import queries as Q
 from pulse.llm.linededup import dedup_lines, drop_repeated_lines
 from pulse.llm.neardup import BANDS, ROWS, components, keep_one_of_each, near_duplicates, signatures, weighted_jaccard
@@ -175,6 +175,30 @@ def test_near_duplicate_groups_and_edge_rows(spark):
     assert sorted(repr(r["doc_id"]) for r in keep_one_of_each(repeated).collect()) == ["1", "3", "None"]
 
 
+def test_near_duplicates_link_linked_nodes_of_different_classes(spark, monkeypatch):
+    """B links to D and A to the hub H; only A and B, which meet in a band with H, join the two classes."""
+    rng = random.Random(11)
+    core, tail = sentence(rng, 400).split(), sentence(rng, 400).split()
+    h, a, b, d = ("\n".join(part) for part in (core, core[38:], core[68:] + tail[:24], core[68:] + tail[:60]))
+    texts = {"h": h, "a": a, "b": b, "d": d, "other": sentence(rng, 300)}
+    sets = {k: set(shingle_list(t)) for k, t in texts.items()}
+    assert jaccard(sets["a"], sets["h"]) >= 0.85 and jaccard(sets["a"], sets["b"]) >= 0.85 and jaccard(sets["b"], sets["d"]) >= 0.85
+    assert max(jaccard(sets["b"], sets["h"]), jaccard(sets["a"], sets["d"]), jaccard(sets["h"], sets["d"])) < 0.79
+
+    def bands(texts, sketch, documents, n, rows):
+        met = {"h": (1, 2, 3, 4), "a": (1, 2, 3), "b": (1, 2, 5), "d": (5,), "other": (4,)} if rows == ROWS else {}
+        nodes = spark.createDataFrame([(k, band) for k, own in met.items() for band in own], "k string, band long")
+        names = spark.createDataFrame(list(all_texts.items()), "k string, text string")
+        return nodes.join(names, "k").select("band", neardup._node("text"))
+
+    all_texts = texts
+    monkeypatch.setattr(neardup, "band_table", bands)
+    docs = table(spark, list(texts.values()))
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4}
+    assert sorted(r["doc_id"] for r in keep_one_of_each(docs).collect()) == [0, 4]
+
+
 def test_samples_agree_as_often_as_weighted_similarity_says():
     rng = np.random.default_rng(2)
     hashes = np.sort(rng.integers(0, 1 << 63, 600, np.uint64))
