@@ -12,7 +12,8 @@ all chosen cutoffs keep their promise. Where no cutoff passes, the rule rejects
 The labelled documents are split by a hash: from one half come the candidate cutoffs
 (quantiles of the bad documents' measurements), the other half is the holdout. Both enter as
 counts on a fixed grid of values, so all labelled rows count and the driver sees at most
-strata x rules x grid rows. Strata beyond ``max_strata`` most frequent ones share one.
+strata x rules x grid rows. All strata but the ``max_strata`` with most labelled rows share
+one: their counts are added up, and its cutoffs hold for each of them, labelled or not.
 
 Defined cases: a null or empty text has no words and fails the base rule; a document
 without label, or with a null one, is not used for cutoffs; a document labelled twice counts
@@ -39,6 +40,8 @@ SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 _BLANK = str.maketrans("", "", " \t\n\v\f\r")
 #: Cells of the grid on which the values of a rule are counted.
 GRID = 400
+#: Stands for all strata that have none of their own.
+OTHERS = object()
 
 
 @dataclass(frozen=True)
@@ -159,8 +162,11 @@ def _cell(rule: Rule) -> Column:
 def choose_cutoffs(
     measured: DataFrame, labels: DataFrame, key: str, label: str = "quality", rules=RULES,
     max_false_rejection: float = 0.02, delta: float = 0.05, max_strata: int = 64,
-) -> dict[tuple[str | None, str], int]:
-    """Grid cells by (stratum, rule); ``None`` in a key's stratum is the null stratum."""
+) -> dict[tuple[str | object | None, str], int]:
+    """Grid cells by (stratum, rule), ``GRID`` where a rule rejects nothing.
+
+    ``None`` in a key's stratum is the null stratum, ``OTHERS`` what the strata that are not listed share.
+    """
     judged = labels.select(F.col(key).alias("__id"), F.col(label).cast("int").alias("good")).filter("good IN (0, 1)")
     # Labels are fewer than documents; a label of a document that is listed twice applies to both rows.
     rows = measured.filter(~base_failed()).join(judged, F.col(key) == F.col("__id"))
@@ -170,11 +176,14 @@ def choose_cutoffs(
         "stratum", "good", "half", "c.rule", "c.cell"
     ).agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.filter(F.col("rule") == rules[0].name).groupBy("stratum").agg(F.sum("n").alias("size"))
-    largest = sizes.orderBy(F.desc("size"), "stratum").limit(max_strata)
-    kept = counts.join(F.broadcast(largest), counts["stratum"].eqNullSafe(largest["stratum"]), "left_semi").collect()
+    largest = sizes.orderBy(F.desc("size"), "stratum").limit(max_strata).select(
+        F.col("stratum").alias("named"), F.lit(True).alias("own"))
+    shared = counts.join(F.broadcast(largest), F.col("stratum").eqNullSafe(F.col("named")), "left").fillna(False, ["own"])
+    kept = shared.groupBy("own", "named", "good", "half", "rule", "cell").agg(F.sum("n").alias("n")).collect()
     grids: dict[tuple, np.ndarray] = {}
     for r in kept:
-        grid = grids.setdefault((r["stratum"], r["rule"]), np.zeros((2, 2, GRID + 1), np.int64))
+        name = r["named"] if r["own"] else OTHERS
+        grid = grids.setdefault((name, r["rule"]), np.zeros((2, 2, GRID + 1), np.int64))
         grid[r["good"], r["half"], max(0, r["cell"])] += r["n"]
     chosen = {}
     for pair, grid in grids.items():
@@ -182,8 +191,7 @@ def choose_cutoffs(
         # Cutoffs just below quantiles of the bad documents, loose ones first.
         wanted = {max(0, int(np.quantile(bad, q)) - 1) for q in np.linspace(0.05, 0.95, 19)} if len(bad) else set()
         cell = choose_cell(grid[1, 1], sorted(wanted, reverse=True), max_false_rejection, delta / len(grids))
-        if cell is not None:
-            chosen[pair] = cell
+        chosen[pair] = GRID if cell is None else cell
     return chosen
 
 
@@ -199,8 +207,8 @@ def judge_quality(
     cutoffs = choose_cutoffs(measured, labels, key, rules=rules, **options)
     fails = []
     for rule in rules:
-        strata = [(s, cell) for (s, name), cell in cutoffs.items() if name == rule.name]
-        limit = F.lit(GRID)
+        strata = [(s, cell) for (s, name), cell in cutoffs.items() if name == rule.name and s is not OTHERS]
+        limit = F.lit(cutoffs.get((OTHERS, rule.name), GRID))
         for name, cell in strata:
             limit = F.when(F.col("stratum").eqNullSafe(F.lit(name)), cell).otherwise(limit)
         fails.append(F.when(_cell(rule) > limit, F.lit(rule.name)))

@@ -288,6 +288,18 @@ def test_quality_edge_rows(spark):
     assert plain == 0 and quality.judge_quality(docs.limit(0), labels).count() == 0
 
 
+def test_strata_beyond_the_largest_share_cutoffs(spark):
+    good, bad = " ".join(f"word{i}" for i in range(80)), " ".join(f"word{i}###" for i in range(80))
+    rows = [(i, good if i % 6 else bad, "big" if i < 2400 else f"tag{i % 40}") for i in range(4800)]
+    rows += [(5000, bad, "never labelled"), (5001, good, "never labelled")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 6 > 0)) for i in range(4800)], "doc_id bigint, quality int")
+    judged = quality.judge_quality(docs, labels, max_strata=1).collect()
+    assert len(judged) == len(rows) and not any(r["base_failed"] for r in judged)
+    texts = {i: t for i, t, _ in rows}
+    assert all(r["kept"] == (texts[r["doc_id"]] == good) for r in judged)
+
+
 # ---- toxicity ----------------------------------------------------------------------------------
 
 
