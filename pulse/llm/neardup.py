@@ -331,38 +331,44 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
-) -> DataFrame:
-    """``key, node, class_id`` of every row; ``class_id`` is the smallest key of the row's class."""
+def _classes(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """``node, label, class_id`` of every text; ``label`` tells classes apart whose smallest keys are equal."""
     def of_batch(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, _, value, _ in weighted_shingles(batch.column(0)):
             yield value
 
-    rows = docs.select(key, _node(text))
     with workspace(docs.sparkSession):
         documents = docs.count()
         sketch = sketch_of(docs.select(F.col(text).cast("string")), of_batch)
         edges = links(docs, key, text, sketch, documents, threshold)
-        firsts = rows.groupBy("node").agg(F.min(key).alias("first"))
+        firsts = docs.select(key, _node(text)).groupBy("node").agg(F.min(key).alias("first"))
         if edges is None:
-            classes = firsts.select("node", F.col("first").alias("class_id"))
+            classes = firsts.select("node", F.col("node").alias("label"), F.col("first").alias("class_id"))
         else:
             labelled = firsts.join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
             smallest = labelled.groupBy("label").agg(F.min("first").alias("class_id"))
-            classes = labelled.join(smallest, "label").select("node", "class_id")
-        classes = written(classes, "classes", keep=True)
-    return rows.join(classes, "node").select(key, "node", "class_id")
+            classes = labelled.join(smallest, "label").select("node", "label", "class_id")
+        return written(classes, "classes", keep=True)
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``key, node, class_id`` of every row; ``class_id`` is the smallest key of the row's class."""
+    return docs.select(key, _node(text)).join(_classes(docs, key, text, threshold), "node").select(key, "node", "class_id")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One document of every class, with all its columns: the one with the smallest key."""
-    classes = near_duplicates(docs, key, text, threshold)
-    chosen = written(classes.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy(
-        F.col("node").alias("__node"), F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")), "kept", keep=True)
+    """One document of every class, with all its columns: the one with the smallest key, then the smallest node."""
+    rows = docs.select(F.col(key).alias("__key"), _node(text).alias("__node"))
+    classes = _classes(docs, key, text, threshold).withColumnRenamed("node", "__node")
+    smallest = rows.join(classes, "__node").filter(F.col("__key").eqNullSafe(F.col("class_id"))).groupBy(
+        "label", "__node", "__key").agg(F.count(F.lit(1)).alias("__rows"))
+    first = F.min(F.struct("__node", "__key", "__rows")).alias("first")
+    chosen = written(smallest.groupBy("label").agg(first).select("first.*"), "kept", keep=True)
     mine = docs.withColumn("__of", _node(text))
     same = (F.col("__of") == F.col("__node")) & F.col(key).eqNullSafe(F.col("__key"))
-    kept = mine.join(chosen.drop("__rows"), same, "left_semi").drop("__of")
-    # Rows that share key and text, and null keys, can only be told apart by dropping repeats.
-    repeated = chosen.filter((F.col("__rows") > 1) | F.col("__key").isNull()).take(1)
-    return kept.dropDuplicates([key]) if repeated else kept
+    once = mine.join(chosen.filter("__rows = 1"), same, "left_semi")
+    # Rows that share key and text can only be told apart by dropping repeats.
+    several = mine.join(chosen.filter("__rows > 1"), same, "left_semi").dropDuplicates([key, "__of"])
+    return once.unionByName(several).drop("__of")

@@ -199,6 +199,17 @@ def test_near_duplicates_link_linked_nodes_of_different_classes(spark, monkeypat
     assert sorted(r["doc_id"] for r in keep_one_of_each(docs).collect()) == [0, 4]
 
 
+def test_one_of_each_class_where_classes_share_a_key(spark):
+    texts = ["first text without a key", "second one, of other words", "alpha beta gamma", "delta epsilon", "delta epsilon", "zeta eta"]
+    docs = table(spark, texts, [None, None, 7, 7, 7, 8])
+    kept = [(r["doc_id"], r["text"]) for r in keep_one_of_each(docs).collect()]
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in {*zip([None, None, 7, 7, 7, 8], texts)})
+    rng = random.Random(8)
+    base = sentence(rng, 200)
+    near = table(spark, [base, base + " more", base + " end", base], [None, None, None, None])
+    assert keep_one_of_each(near).count() == 1
+
+
 def test_samples_agree_as_often_as_weighted_similarity_says():
     rng = np.random.default_rng(2)
     hashes = np.sort(rng.integers(0, 1 << 63, 600, np.uint64))
