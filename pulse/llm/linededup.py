@@ -4,7 +4,7 @@ A line is the set of its 5-word shingles (a line of fewer words is one shingle).
 removed if an earlier line, by key and line number, has the same set or a Jaccard similarity of at
 least ``threshold``. Lines without words stay.
 
-Equal sets are found by grouping. For the rest, the tokens of a line are ordered by rarity over
+Equal sets are found by grouping on 128 bits, two independent hashes of the words. For the rest, the tokens of a line are ordered by rarity over
 all lines (counts from a sketch that every shingle enters, ties by hash). Two lines of
 the needed similarity share a token among the first ``n - ceil(threshold * n) + 1`` of each, so
 only these prefixes are dealt out by token. What meets there passes the length bound and the
@@ -62,22 +62,49 @@ def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return cuts, row, np.arange(len(starts)) - first
 
 
-def line_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per run of documents: row and number of each line, and ``(line, hash)`` of the distinct shingles."""
+def line_runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per run of documents: row and number of each line, the bytes and the offsets of the lines."""
     data, offsets = text_buffer(column)
     for start, stop in chunks(offsets):
         own, bounds = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
         if len(own):
             cuts, row, number = line_offsets(own, bounds)
-            yield row + start, number, *distinct_tokens(*shingles(own, cuts))
+            yield row + start, number, own, cuts
+
+
+def line_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per run of documents: row and number of each line, and ``(line, hash)`` of the distinct shingles."""
+    for row, number, own, cuts in line_runs(column):
+        yield row, number, *distinct_tokens(*shingles(own, cuts))
 
 
-def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(line, size, name1, name2)`` of each line that has words; the names stand for its set."""
+def line_names(own: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(line, name1, name2)`` of each line that has words, and all distinct shingles; the names are the identity of its set.
+
+    They come from two independent hashes of the words, 64 bits each.
+    """
+    line, value = shingles(own, cuts)
+    second = shingles(own, cuts, which=1)[1]
+    short = (line.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+    order = np.argsort(short)
+    same, differs = short[order[1:]] == short[order[:-1]], value[order[1:]] != value[order[:-1]]
+    if (same & differs).any():
+        order = np.lexsort((value, line))
+    line, value, second = line[order], value[order], second[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (value[1:] != value[:-1])
+    line, value, second = line[new], value[new], second[new]
+    if not len(line):
+        return line, value, second, value
+    starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    return line[starts], mix(np.add.reduceat(value, starts)), mix(np.add.reduceat(second, starts)), value
+
+
+def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(line, size, name)`` of each line that has tokens; the name tells the sets that share a token apart."""
     starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, len(line)))
-    names = [np.add.reduceat(v, starts) if len(starts) else v for v in (value, mix(value ^ np.uint64(0xA5A5A5A5)))]
-    return line[starts], sizes, mix(names[0]), mix(names[1])
+    return line[starts], sizes, mix(np.add.reduceat(value, starts) if len(starts) else value)
 
 
 def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
@@ -92,9 +119,9 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
         sketch = Sketch()
         for batch in batches:
             keys = key_numbers(batch.column(0))
-            for row, number, line, value in line_sets(batch.column(1)):
+            for row, number, own, cuts in line_runs(batch.column(1)):
+                at, one, two, value = line_names(own, cuts)
                 sketch.add(value)
-                at, _, one, two = set_names(line, value)
                 order = np.lexsort((at, one, row[at]))
                 again = np.zeros(len(at), bool)
                 a, b = order[1:], order[:-1]
@@ -129,7 +156,7 @@ def prefix_entries(row, number, line, value, keys, sketch: Sketch, threshold: fl
     common = np.log2(1 + sketch.counts(value) / (8 * (sketch.noise() + 1))).astype(np.int64)
     order = np.argsort(line * 64 + common, kind="stable")
     line, value = line[order], value[order]
-    at, sizes, name, _ = set_names(line, value)
+    at, sizes, name = set_names(line, value)
     place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = place < np.repeat(sizes - needed(sizes, threshold) + 1, sizes)
     entries = np.empty(int(inside.sum()), _ENTRY)

@@ -20,10 +20,14 @@ _BYTE = np.zeros(256, np.uint8)
 _BYTE[128:] = np.arange(128, 256)
 for _low, _high, _to in ((48, 58, 48), (97, 123, 97), (65, 91, 97)):
     _BYTE[_low:_high] = np.arange(_to, _to + _high - _low)
-_BYTE_VALUE = _random.integers(1, 1 << 63, 256, np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_PLACE = _random.integers(1, 1 << 63, 16, np.uint64) | np.uint64(1)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Two independent hashes: values of bytes, base, values of places.
+_BYTE_VALUE = [_random.integers(1, 1 << 63, 256, np.uint64)]
+_BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_PLACE = [_random.integers(1, 1 << 63, 16, np.uint64) | np.uint64(1)]
+_second = np.random.default_rng(20240301)
+_BYTE_VALUE.append(_second.integers(1, 1 << 63, 256, np.uint64))
+_PLACE.append(_second.integers(1, 1 << 63, 16, np.uint64) | np.uint64(1))
+_powers = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in _BASE]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,13 +39,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_table(n: int) -> list[np.ndarray]:
+def _power_table(n: int, which: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers[0]) < n:
+    powers = _powers[which]
+    if len(powers[0]) < n:
         size = max(n, CHUNK_BYTES * 2)
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _powers[i] = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base, np.uint64)]))
-    return _powers
+        for i, base in enumerate((_BASE[which], pow(_BASE[which], -1, 1 << 64))):
+            powers[i] = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base, np.uint64)]))
+    return powers
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +71,7 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         row = min(stop, rows)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hash)`` of every word, in order. A word never runs over a row's end."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -78,15 +83,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(inside & (~before | first[:-1]))
     after = np.concatenate([inside[1:], [False]])
     ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    power, inverse = _power_table(len(data) + 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_VALUE[low] * power[: len(data)], dtype=np.uint64)])
+    power, inverse = _power_table(len(data) + 1, which)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_VALUE[which][low] * power[: len(data)], dtype=np.uint64)])
     hashes = mix((total[ends] - total[starts]) * inverse[starts])
     return np.searchsorted(offsets, starts, "right") - 1, hashes
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingles(
+    data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS, which: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hash)`` of every run of ``size`` words; fewer words, but not none, are one shingle."""
-    row, word = word_hashes(data, offsets)
+    row, word = word_hashes(data, offsets, which)
     if not len(row):
         return row, word
     padded_row, padded = np.concatenate([row, np.full(size, -1)]), np.concatenate([word, np.zeros(size, np.uint64)])
@@ -97,7 +104,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -
     start = np.flatnonzero(whole | short)
     total = np.zeros(len(start), np.uint64)
     for k in range(size):
-        part = padded[start + k] * _PLACE[k]
+        part = padded[start + k] * _PLACE[which][k]
         total += part if k == 0 else np.where(padded_row[start + k] == row[start], part, np.uint64(0))
     return row[start], mix(total)
 

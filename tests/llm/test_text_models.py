@@ -131,6 +131,13 @@ def test_line_dedup_edge_rows(spark):
     assert dedup_lines(docs.limit(0)).count() == 0 and drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_with_like_hashes_stay(spark):
+    """The shingles of each pair agree in their first 44 bits."""
+    texts = ["w4334664\nw7541184", "w6930488\nw8376416\nw4827717", "w7584642", "w4334664 "]
+    found = {r["doc_id"]: r["removed_lines"] for r in dedup_lines(table(spark, texts)).collect()}
+    assert found == {0: None, 1: None, 2: None, 3: [0]}
+
+
 # ---- near-duplicates ---------------------------------------------------------------------------
 
 
