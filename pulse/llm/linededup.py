@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join.
 
 A line is the set of its 5-word shingles (a line of fewer words is one shingle). A line is
-removed if an earlier line, by key and line number, has the same set or a Jaccard similarity of at
+removed if an earlier line, by key, text and line number, has the same set or a Jaccard similarity of at
 least ``threshold``. Lines without words stay.
 
 Equal sets are found by grouping on 128 bits, two independent hashes of the words. For the rest, the tokens of a line are ordered by rarity over
@@ -19,8 +19,9 @@ about one comparison for each.
 Texts of lines to be verified, and documents that lose lines, are found by a join on the key; a
 fixed-size membership filter keeps most other documents out of the shuffle and drops none.
 
-Defined cases: the key is an integer, a null key counts as the last one; rows with equal key are
-copies of one document: a line's first occurrence stays in each; a null text stays null
+Defined cases: the key is an integer, a null key counts as the last one; rows with equal key and
+text (``body``, its 64-bit hash) are copies of one document: a line's first occurrence stays in each;
+rows with equal key and different texts are different documents, ordered by that hash; a null text stays null
 and has no lines; a document that loses every line has an empty text (or goes, see
 ``drop_repeated_lines``); an empty table gives an empty result; further columns are kept.
 """
@@ -48,6 +49,9 @@ BUCKET_SHINGLES = 2_000_000
 HOT_TOKEN = 100_000
 #: Lines of a token that are tried after the first one and before all the others.
 NEXT_RANKS = 16
+#: The place of a line, in the order of lines.
+PLACE = ["key", "body", "line"]
+BY_PLACE = [f"by_{c}" for c in PLACE]
 
 
 # ---- lines of a batch --------------------------------------------------------------------------
@@ -108,17 +112,17 @@ def set_names(line: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
-    """``name1, name2, key, line, again`` of every line with words, and the counts of all their tokens.
+    """``name1, name2, key, body, line, again`` of every line with words, and the counts of all their tokens.
 
     ``again`` says that the document had the set before. Both come from one pass: a task ends
     with the slices of its counts.
     """
-    columns = ["name1", "name2", "key", "line", "again"]
+    columns = ["name1", "name2", "key", "body", "line", "again"]
 
     def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch()
         for batch in batches:
-            keys = key_numbers(batch.column(0))
+            keys, bodies = key_numbers(batch.column(0)), key_numbers(batch.column(2))
             for row, number, own, cuts in line_runs(batch.column(1)):
                 at, one, two, value = line_names(own, cuts)
                 sketch.add(value)
@@ -127,15 +131,15 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
                 a, b = order[1:], order[:-1]
                 again[a] = (row[at[a]] == row[at[b]]) & (one[a] == one[b]) & (two[a] == two[b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys[row[at]]),
+                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys[row[at]]), pa.array(bodies[row[at]]),
                      pa.array(number[at].astype(np.int32)), pa.array(again),
                      pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], [*columns, "slice", "cells"])
         for part in sketch.slices():
-            empty = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())]
+            empty = [pa.nulls(len(part), t) for t in (*[pa.int64()] * 4, pa.int32(), pa.bool_())]
             yield pa.RecordBatch.from_arrays([*empty, *part.columns], [*columns, "slice", "cells"])
 
     both = written(docs.mapInArrow(
-        named, "name1 long, name2 long, key long, line int, again boolean, slice int, cells binary"), "occurrences")
+        named, "name1 long, name2 long, key long, body long, line int, again boolean, slice int, cells binary"), "occurrences")
     sketch = added_up(both.filter(F.col("slice").isNotNull()).select("slice", "cells"))
     return both.filter(F.col("slice").isNull()).select(*columns), sketch
 
@@ -147,10 +151,10 @@ def needed(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(n * threshold - 1e-9).astype(np.int64)
 
 
-_ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("line", "<i4"), ("n", "<i4"), ("place", "<i4")])
+_ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("body", "<i8"), ("line", "<i4"), ("n", "<i4"), ("place", "<i4")])
 
 
-def prefix_entries(row, number, line, value, keys, sketch: Sketch, threshold: float) -> np.ndarray:
+def prefix_entries(row, number, line, value, keys, bodies, sketch: Sketch, threshold: float) -> np.ndarray:
     """An ``_ENTRY`` for each token in the prefix of each line."""
     # Counts by powers of two above their noise; equal classes keep the order of the hashes. The keys are nearly sorted.
     common = np.log2(1 + sketch.counts(value) / (8 * (sketch.noise() + 1))).astype(np.int64)
@@ -161,6 +165,7 @@ def prefix_entries(row, number, line, value, keys, sketch: Sketch, threshold: fl
     inside = place < np.repeat(sizes - needed(sizes, threshold) + 1, sizes)
     entries = np.empty(int(inside.sum()), _ENTRY)
     for field, values in (("token", value), ("name", np.repeat(name, sizes)), ("key", np.repeat(keys[row[at]], sizes)),
+                          ("body", np.repeat(bodies[row[at]], sizes)),
                           ("line", np.repeat(number[at], sizes)), ("n", np.repeat(sizes, sizes)), ("place", place)):
         entries[field] = values[inside]
     return entries
@@ -168,7 +173,7 @@ def prefix_entries(row, number, line, value, keys, sketch: Sketch, threshold: fl
 
 def first_of_each(entries: np.ndarray) -> np.ndarray:
     """One entry per token and set, the earliest, sorted by token and name."""
-    order = np.lexsort((entries["line"], entries["key"], entries["name"], entries["token"]))
+    order = np.lexsort((entries["line"], entries["body"], entries["key"], entries["name"], entries["token"]))
     entries = entries[order]
     same = (entries["token"][1:] == entries["token"][:-1]) & (entries["name"][1:] == entries["name"][:-1])
     return entries[np.concatenate([[True], ~same])] if len(entries) else entries
@@ -176,16 +181,16 @@ def first_of_each(entries: np.ndarray) -> np.ndarray:
 
 def pack_entries(entries: np.ndarray) -> bytes:
     """Column by column and compressed; positions compress well, hashes do not."""
-    entries = entries[np.lexsort((entries["place"], entries["line"], entries["key"]))]
+    entries = entries[np.lexsort((entries["place"], entries["line"], entries["body"], entries["key"]))]
     parts = [np.diff(entries["key"], prepend=np.int64(0)).tobytes()]
-    parts += [np.ascontiguousarray(entries[f]).tobytes() for f in ("line", "n", "place", "token", "name")]
+    parts += [np.ascontiguousarray(entries[f]).tobytes() for f in ("body", "line", "n", "place", "token", "name")]
     return b"".join(len(c).to_bytes(4, "little") + c for c in
                     (pa.compress(p, codec="zstd", asbytes=True) for p in parts))
 
 
 def unpack_entries(packed: bytes, count: int) -> np.ndarray:
     entries, at = np.empty(count, _ENTRY), 0
-    for field in ("key", "line", "n", "place", "token", "name"):
+    for field in ("key", "body", "line", "n", "place", "token", "name"):
         size = int.from_bytes(packed[at : at + 4], "little")
         kind = _ENTRY[field]
         plain = pa.decompress(packed[at + 4 : at + 4 + size], decompressed_size=count * kind.itemsize, codec="zstd", asbytes=True)
@@ -196,7 +201,7 @@ def unpack_entries(packed: bytes, count: int) -> np.ndarray:
 
 
 def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
-    """``token, key, line, n, place`` of the first line of each set, for prefix tokens that several sets have.
+    """``token, key, body, line, n, place`` of the first line of each set, for prefix tokens that several sets have.
 
     Entries travel packed by bucket, a few large rows instead of many small ones.
     """
@@ -206,9 +211,9 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
     def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, held, size = Sketch(shared.value), [], 0
         for batch in batches:
-            keys = key_numbers(batch.column(0))
+            keys, bodies = key_numbers(batch.column(0)), key_numbers(batch.column(2))
             for lines in line_sets(batch.column(1)):
-                held.append(prefix_entries(*lines, keys, sketch, threshold))
+                held.append(prefix_entries(*lines, keys, bodies, sketch, threshold))
                 size += len(held[-1])
                 if size >= HELD_ENTRIES:
                     yield packed(first_of_each(np.concatenate(held)), sketch)
@@ -234,11 +239,11 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
             starts = np.flatnonzero(np.concatenate([[True], entries["token"][1:] != entries["token"][:-1]]))
             counts = np.diff(np.append(starts, len(entries)))
             entries = entries[np.repeat(counts > 1, counts)]
-        return pa.table({"token": entries["token"].astype(np.int64), "key": entries["key"], "line": entries["line"],
-                         "n": entries["n"], "place": entries["place"]})
+        return pa.table({"token": entries["token"].astype(np.int64), "key": entries["key"], "body": entries["body"],
+                         "line": entries["line"], "n": entries["n"], "place": entries["place"]})
 
     packed_rows = docs.mapInArrow(dealt, "bucket long, count long, entries binary")
-    return packed_rows.groupBy("bucket").applyInArrow(joined, "token long, key long, line int, n int, place int")
+    return packed_rows.groupBy("bucket").applyInArrow(joined, "token long, key long, body long, line int, n int, place int")
 
 
 def possible(a: str, b: str, threshold: float) -> Column:
@@ -253,44 +258,43 @@ def possible(a: str, b: str, threshold: float) -> Column:
 
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``key, line, text`` of the listed ``key, line``; ``docs`` has ``key, text`` with integer keys."""
-    shared = docs.sparkSession.sparkContext.broadcast(members(lines.select("key", "line")))
+    """``key, body, line, text`` of the listed ``key, body, line``; ``docs`` has ``key, text, body``."""
+    shared = docs.sparkSession.sparkContext.broadcast(members(lines.select(*PLACE)))
 
     def picked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = key_numbers(batch.column(0))
+            keys, bodies = key_numbers(batch.column(0)), key_numbers(batch.column(2))
             data, offsets = text_buffer(batch.column(1))
             for start, stop in chunks(offsets):
                 own, bounds = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
                 if not len(own):
                     continue
                 cuts, row, number = line_offsets(own, bounds)
-                at = np.flatnonzero(contained(shared.value, hash_keys(keys[row + start], number)))
+                at = np.flatnonzero(contained(shared.value, hash_keys(keys[row + start], bodies[row + start], number)))
                 texts = [own[cuts[i] : cuts[i + 1]].tobytes().decode() for i in at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[row[at] + start]), pa.array(number[at].astype(np.int32)), pa.array(texts, pa.string())],
-                    ["key", "line", "text"])
+                    [pa.array(keys[row[at] + start]), pa.array(bodies[row[at] + start]),
+                     pa.array(number[at].astype(np.int32)), pa.array(texts, pa.string())], [*PLACE, "text"])
 
-    found = docs.mapInArrow(picked, "key long, line int, text string")
-    return found.join(lines, ["key", "line"], "left_semi").dropDuplicates(["key", "line"])
+    found = docs.mapInArrow(picked, "key long, body long, line int, text string")
+    return found.join(lines, PLACE, "left_semi").dropDuplicates(PLACE)
 
 
 def verify_lines(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``key, line`` of pairs ``key, line, by_key, by_line`` with the needed Jaccard similarity."""
+    """``key, body, line, by_key, by_body, by_line`` of such pairs with the needed Jaccard similarity."""
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             similar = np.concatenate([np.zeros(0, bool), *(
-                jaccard_at_least(batch.column(4).slice(i, 2048), batch.column(5).slice(i, 2048), threshold)
+                jaccard_at_least(batch.column(6).slice(i, 2048), batch.column(7).slice(i, 2048), threshold)
                 for i in range(0, len(batch), 2048))])
             keep = pa.array(similar)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in range(4)],
-                                             ["key", "line", "by_key", "by_line"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in range(6)], [*PLACE, *BY_PLACE])
 
-    by = texts.select(F.col("key").alias("by_key"), F.col("line").alias("by_line"), F.col("text").alias("by_text"))
-    both = pairs.join(texts, ["key", "line"]).join(by, ["by_key", "by_line"])
-    return both.select("key", "line", "by_key", "by_line", "text", "by_text").mapInArrow(
-        compared, "key long, line int, by_key long, by_line int")
+    by = texts.toDF(*BY_PLACE, "by_text")
+    both = pairs.join(texts, PLACE).join(by, BY_PLACE)
+    return both.select(*PLACE, *BY_PLACE, "text", "by_text").mapInArrow(
+        compared, "key long, body long, line int, by_key long, by_body long, by_line int")
 
 
 def jaccard_at_least(a: pa.Array, b: pa.Array, threshold: float) -> np.ndarray:
@@ -310,43 +314,49 @@ def jaccard_at_least(a: pa.Array, b: pa.Array, threshold: float) -> np.ndarray:
 
 
 def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
-    """``key, line, by_key, by_line``: lines that are similar to an earlier one of another set, with one such line."""
+    """``key, body, line, by_key, by_body, by_line``: lines that are similar to an earlier one of another set, with one such line."""
     found = written(shared_tokens(docs, sketch, threshold), "tokens")
-    ordered = written(found.repartitionByRange("token", "key", "line").sortWithinPartitions("token", "key", "line"), "ranked")
+    ordered = written(found.repartitionByRange("token", *PLACE).sortWithinPartitions("token", *PLACE), "ranked")
     ranked = written(numbered(ordered, "token", "rank"), "postings")
-    texts = written(line_texts(docs, ranked.select("key", "line").distinct()), "lines")
+    texts = written(line_texts(docs, ranked.select(*PLACE).distinct()), "lines")
     matches, open_, low, high = [], ranked, 0, 1
     while True:
         first = ranked.filter((F.col("rank") >= low) & (F.col("rank") < high))
         pairs = open_.alias("a").join(first.alias("b"), F.col("a.token") == F.col("b.token")).filter(
             (F.col("b.rank") < F.col("a.rank")) & possible("a", "b", threshold)
-        ).select("a.key", "a.line", F.col("b.key").alias("by_key"), F.col("b.line").alias("by_line")).distinct()
+        ).select(*(f"a.{c}" for c in PLACE), *(F.col(f"b.{c}").alias(f"by_{c}") for c in PLACE)).distinct()
         similar = written(verify_lines(pairs, texts, threshold), "matches")
         matches.append(similar)
         open_ = written(open_.filter(F.col("rank") > high).join(
-            similar.select("key", "line").distinct(), ["key", "line"], "left_anti"), "open")
+            similar.select(*PLACE).distinct(), PLACE, "left_anti"), "open")
         if not open_.take(1):
             return reduce(DataFrame.unionByName, matches)
         low, high = high, NEXT_RANKS if high == 1 else 1 << 62
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``key, lines, by_keys`` of every document that loses lines: their numbers and the keys of earlier lines."""
-    plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("key"), F.col(text).cast("string").alias("text"))
+    """``key, body, lines, by_keys`` of every document that loses lines: their numbers and the keys of earlier lines."""
+    value = F.col(text).cast("string")
+    plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("key"), value.alias("text"),
+                        F.xxhash64(value).alias("body"))
     with workspace(docs.sparkSession):
         return written(_removed_lines(plain, threshold), "removed", keep=True)
 
 
 def _removed_lines(plain: DataFrame, threshold: float) -> DataFrame:
     seen, sketch = occurrences(plain)
-    first = seen.filter(~F.col("again")).groupBy("name1", "name2").agg(
-        F.min("key").alias("by_key"), F.min_by("line", "key").alias("by_line"), F.count(F.lit(1)).alias("n"))
-    again = seen.filter("again").select("key", "line", F.col("key").alias("by_key"))
-    copies = seen.filter(~F.col("again")).join(first.filter("n > 1"), ["name1", "name2"]).filter("key <> by_key")
-    similar = similar_lines(plain, sketch, threshold).select("key", "line", "by_key")
-    gone = again.unionByName(copies.select("key", "line", "by_key")).unionByName(similar)
-    return gone.groupBy("key").agg(F.array_sort(F.collect_set("line")).alias("lines"),
-                                   F.array_sort(F.collect_set("by_key")).alias("by_keys"))
+    names, new = ["name1", "name2"], seen.filter(~F.col("again"))
+    first = new.groupBy(*names).agg(F.min("key").alias("by_key"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = written(new.join(first.drop("n"), names), "copies")
+    # Rows of the first key: those of the first text's first line stay.
+    ties, place = copies.filter("key = by_key"), F.struct("body", "line")
+    stays = ties.groupBy(*names).agg(F.min(place).alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = seen.filter("again").withColumn("by_key", F.col("key"))
+    similar = similar_lines(plain, sketch, threshold)
+    parts = (gone, copies.filter("key <> by_key"), ties.join(stays.drop("n"), names).filter(place != F.col("stays")), similar)
+    gone = reduce(DataFrame.unionByName, (part.select(*PLACE, "by_key") for part in parts))
+    return gone.groupBy("key", "body").agg(F.array_sort(F.collect_set("line")).alias("lines"),
+                                           F.array_sort(F.collect_set("by_key")).alias("by_keys"))
 
 
 def without_lines(text: Column, lines: Column) -> Column:
@@ -356,11 +366,12 @@ def without_lines(text: Column, lines: Column) -> Column:
 
 def _shortened(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """The documents with shortened texts and ``__lines, __by`` (null where nothing went)."""
-    gone = removed_lines(docs, key, text, threshold).toDF("__number", "__lines", "__by")
+    gone = removed_lines(docs, key, text, threshold).toDF("__number", "__body", "__lines", "__by")
+    number, body = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)), F.xxhash64(F.col(text).cast("string"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("__loses", maybe_member(members(gone.select("__number")), F.col(key), docs))
-    number = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
-    joined = marked.filter("__loses").withColumn("__number", number).join(gone, "__number", "left")
+    marked = docs.withColumn("__loses", maybe_member(
+        members(gone.select(F.xxhash64("__number", "__body"))), F.xxhash64(number, body), docs))
+    joined = marked.filter("__loses").withColumns({"__number": number, "__body": body}).join(gone, ["__number", "__body"], "left")
     short = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("__lines")))
     changed = joined.withColumn(text, short).select(*columns, "__lines", "__by")
     same = marked.filter(~F.col("__loses")).select(

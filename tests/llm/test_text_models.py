@@ -138,6 +138,16 @@ def test_short_lines_with_like_hashes_stay(spark):
     assert found == {0: None, 1: None, 2: None, 3: [0]}
 
 
+def test_rows_of_one_key_with_different_texts_are_different_documents(spark):
+    texts = ["one two\nown of the first\nthree", "one two\nown of the second\nfour", "five\nsix\none two", "one two\nseven"]
+    for key in (None, 4):
+        found = dedup_lines(table(spark, [*texts, texts[0]], [key] * 4 + [key])).collect()
+        left = Counter(r["text"] for r in found)
+        lines = Counter(line for text in set(left) for line in text.split("\n"))
+        assert lines == Counter(["one two", "own of the first", "three", "own of the second", "four", "five", "six", "seven"])
+        assert sorted(left.values()) == [1, 1, 1, 2]  # copies of a row stay alike
+
+
 # ---- near-duplicates ---------------------------------------------------------------------------
 
 
