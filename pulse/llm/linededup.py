@@ -49,6 +49,8 @@ BUCKET_SHINGLES = 2_000_000
 HOT_TOKEN = 100_000
 #: Lines of a token that are tried after the first one and before all the others.
 NEXT_RANKS = 16
+#: Lines that are packed with their tokens at once.
+MOST_LINES = 1 << 20
 #: The place of a line, in the order of lines.
 PLACE = ["key", "body", "line"]
 BY_PLACE = [f"by_{c}" for c in PLACE]
@@ -67,13 +69,15 @@ def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def line_runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per run of documents: row and number of each line, the bytes and the offsets of the lines."""
+    """Per run of at most ``MOST_LINES`` lines: row and number of each, the bytes and the offsets of the lines."""
     data, offsets = text_buffer(column)
     for start, stop in chunks(offsets):
         own, bounds = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
         if len(own):
             cuts, row, number = line_offsets(own, bounds)
-            yield row + start, number, own, cuts
+            for i in range(0, len(row), MOST_LINES):
+                part = cuts[i : i + MOST_LINES + 1]
+                yield row[i : i + MOST_LINES] + start, number[i : i + MOST_LINES], own[part[0] : part[-1]], part - part[0]
 
 
 def line_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

@@ -148,6 +148,13 @@ def test_rows_of_one_key_with_different_texts_are_different_documents(spark):
         assert sorted(left.values()) == [1, 1, 1, 2]  # copies of a row stay alike
 
 
+def test_more_lines_than_are_packed_at_once(spark):
+    n = 1 << 20
+    texts = ["gamma delta\n" + "\n" * (n - 1) + "alpha beta\nalpha beta\ngamma delta\nlast", "gamma delta", "LAST"]
+    found = {r["doc_id"]: r["removed_lines"] for r in dedup_lines(table(spark, texts)).collect()}
+    assert found == {0: [n + 1, n + 2], 1: [0], 2: [0]}
+
+
 # ---- near-duplicates ---------------------------------------------------------------------------
 
 
