@@ -122,9 +122,56 @@ FROM documents LEFT JOIN by_doc USING (doc_id)
 """
 
 
+FILTER_AUDIT = """
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS txt,
+           list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM documents),
+flags AS (
+    SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+           100 * length(regexp_replace(txt, '[^A-Z]', '', 'g')) > 5 * length(txt) AS c,
+           regexp_matches(txt, '[#$%&*|]') AS d,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY txt), false) AS e
+    FROM texts),
+marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masks AS (
+    SELECT part, a, b, c, d, e, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM flags LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT o1.x || o2.x || o3.x || o4.x || o5.x AS filter_order
+    FROM letters o1, letters o2, letters o3, letters o4, letters o5
+    WHERE len(list_distinct([o1.x, o2.x, o3.x, o4.x, o5.x])) = 5),
+ranked AS (
+    SELECT *, least(CASE WHEN a THEN strpos(filter_order, 'A') ELSE 9 END, CASE WHEN b THEN strpos(filter_order, 'B') ELSE 9 END,
+                    CASE WHEN c THEN strpos(filter_order, 'C') ELSE 9 END, CASE WHEN d THEN strpos(filter_order, 'D') ELSE 9 END,
+                    CASE WHEN e THEN strpos(filter_order, 'E') ELSE 9 END) AS removed_at,
+           a::INT + b::INT + c::INT + d::INT + e::INT AS n_failed
+    FROM masks, orders),
+steps AS (
+    SELECT *, substr(filter_order, step, 1) AS letter,
+           CASE substr(filter_order, step, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails
+    FROM ranked, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (
+    SELECT part, filter_order, step, letter, sum(CASE WHEN removed_at > step THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN removed_at = step THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN fails AND removed_at < step THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN fails AND n_failed = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN removed_at = step THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN removed_at = step THEN toxic ELSE 0 END) AS toxic_lost
+    FROM steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(PHRASES, TEMPLATES, THRESHOLD),
     "op2_line_dedup": LINE_DEDUP,
     "op4_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
+    "op12_filter_audit": FILTER_AUDIT,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm.chat import format_conversations, read_loss, read_turns
 from pulse.llm.decontaminate import find_contamination, per_row
+from pulse.llm.filteraudit import audit_filters
 from pulse.llm.licenses import scan_licenses
 from pulse.llm.linededup import dedup_lines
 from pulse.llm.neardup import near_duplicates
@@ -124,6 +125,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -135,4 +140,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
+    "op12_filter_audit": op12_filter_audit,
 }
