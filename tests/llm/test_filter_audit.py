@@ -36,7 +36,7 @@ def brute_audit(docs, labels):
             least[t] = min(i, least.get(t, i))
     flagged = [(i, s, failures(t) | ({"E"} if i is not None and i > least[t] else set())) for i, t, s in docs]
     orders, rows = ["".join(o) for o in permutations("ABCDE")], {}
-    for part in {s for _, _, s in flagged}:
+    for part in {s for _, s, _ in flagged}:
         own, shapley = [(i, f) for i, s, f in flagged if s == part], dict.fromkeys("ABCDE", 0)
         for order in orders:
             left = own
