@@ -76,7 +76,7 @@ def test_nulls_repeats_ties_and_long_texts(spark):
 
 def test_a_hot_text_in_one_source(spark):
     docs = [(i, PROSE if i % 3 == 0 else f"text {i}", "hot" if i % 2 else f"s{i % 5}") for i in range(600)]
-    check(spark, docs, [(i, i % 2, i % 3 == 0 and 1) for i in range(0, 600, 7)])
+    check(spark, docs, [(i, i % 2, int(i % 3 == 0)) for i in range(0, 600, 7)])
 
 
 def test_empty_tables(spark):
