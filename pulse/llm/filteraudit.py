@@ -84,7 +84,7 @@ def mask_counts(
 ) -> DataFrame:
     """``part, mask, n`` and a count for each mark of ``labels``, for the five filters."""
     copies = ["__hash1", "__hash2", "__key"]
-    rows = text_failures(docs, key, text, part).groupBy(*copies, "part", "mask").agg(F.count(F.lit(1)).alias("n"))
+    rows = written(text_failures(docs, key, text, part).groupBy(*copies, "part", "mask").agg(F.count(F.lit(1)).alias("n")), "masks")
     marked = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
         *(F.max(F.coalesce(mark, F.lit(False)).cast("long")).alias(name) for name, mark in marks.items()))
     # Null keys have no label: they stay out of the join, where they would all be one group.
