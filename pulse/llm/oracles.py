@@ -168,10 +168,48 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
 FROM counted
 """
 
+CRC32 = """list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+            lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+PREFIX_TRIE = f"""
+WITH talks AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                         ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, xor({CRC32}, 4294967295) % 6 AS h FROM talks),
+rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(list_slice(b.turns, 1, a.h), []), list_slice(a.turns, a.h + 1, len(a.turns))) AS turns
+    FROM heads a LEFT JOIN talks b ON b.conv_id = a.conv_id - a.conv_id % 100),
+keyed AS (
+    SELECT conv_id, turns, array_to_string(list_transform(turns, lambda x: md5(length(x.r) || ':' || x.r || x.t)), ',') AS keys
+    FROM rebuilt),
+members AS (
+    SELECT conv_id, depth, substr(keys, 1, greatest(33 * depth - 1, 0)) AS node, coalesce(length(turns[depth].t), 0) AS chars,
+           len(turns) = depth AS ends
+    FROM keyed, unnest(range(0, len(turns) + 1)) AS d(depth)),
+nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS own_saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY node, depth),
+parents AS (SELECT *, substr(node, 1, greatest(33 * (depth - 1) - 1, 0)) AS parent FROM nodes),
+children AS (SELECT parent AS node, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY parent),
+above AS (
+    SELECT substr(node, 1, greatest(33 * up - 1, 0)) AS node, sum(own_saved) AS saved_tokens,
+           count(*) FILTER (n_children IS NULL) AS n_leaves
+    FROM (SELECT node, depth, own_saved, n_children FROM nodes LEFT JOIN children USING (node)), unnest(range(0, depth + 1)) AS u(up)
+    GROUP BY ALL)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM parents n JOIN above USING (node) LEFT JOIN children USING (node) LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(PHRASES, TEMPLATES, THRESHOLD),
     "op2_line_dedup": LINE_DEDUP,
     "op4_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
     "op12_filter_audit": FILTER_AUDIT,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -14,7 +14,9 @@ from pulse.llm.licenses import scan_licenses
 from pulse.llm.linededup import dedup_lines
 from pulse.llm.neardup import near_duplicates
 from pulse.llm.packing import pack_documents
+from pulse.llm.prefixtrie import conversation_turns, trie_nodes
 from pulse.llm.quality import judge_quality
+from pulse.llm.shared import written
 from pulse.llm.sharding import shard_documents
 from pulse.llm.toxicity import judge_toxicity, train_toxicity
 from pulse.llm.urls import judge_urls
@@ -129,6 +131,29 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def rebuilt_turns(turns: DataFrame, group: int = 100, most: int = 6) -> DataFrame:
+    """Conversations that begin with turns of their group's first one, how many depends on the id."""
+    convs = turns.filter(F.col("at") == 0).select(
+        "conv", (F.col("conv") - F.col("conv") % group).alias("base"),
+        (F.crc32(F.col("conv").cast("string").cast("binary")) % most).alias("taken"),
+    )
+    heads = turns.filter((F.col("conv") % group == 0) & (F.col("at") < most - 1)).withColumnRenamed("conv", "base")
+    own = turns.withColumn("taken", F.crc32(F.col("conv").cast("string").cast("binary")) % most)
+    place = lambda part: F.struct(F.lit(part).alias("part"), F.col("at").alias("at")).alias("at")
+    columns = ("conv", "digest", "length")
+    return (
+        convs.select("conv", F.lit(None).cast("binary").alias("digest"), F.lit(0).alias("length"), F.lit(-1).alias("at"))
+        .select(*columns, place(0))
+        .unionByName(convs.join(heads, "base").filter(F.col("at") < F.col("taken")).select(*columns, place(1)))
+        .unionByName(own.filter(F.col("at") >= F.col("taken")).select(*columns, place(2)))
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(conversation_turns(_table(spark, sf_dir, "conversations")), "turns")
+    return trie_nodes(rebuilt_turns(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -141,4 +166,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
     "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
