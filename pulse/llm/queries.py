@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.llm.bpechunks import encode_documents
 from pulse.llm.chat import format_conversations, read_loss, read_turns
 from pulse.llm.decontaminate import find_contamination, per_row
 from pulse.llm.filteraudit import audit_filters
@@ -127,6 +128,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -165,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
+    "op11_bpe_encoding": op11_bpe_encoding,
     "op12_filter_audit": op12_filter_audit,
     "op13_prefix_trie": op13_prefix_trie,
 }
