@@ -11,7 +11,7 @@ end (begin) with those of its side of the window, and the window's outermost wor
 chunk gave them. The vocabulary drops white space and no token spans it, so a text may be cut at a blank.
 
 Texts travel once, compressed, to where their rows meet; the two joins (owners, shared ids) read the same
-shuffle. Equal texts are encoded once. Words go through the tokenizer's own library and a bounded table
+shuffle. Equal texts are encoded once. Words go through the tokenizer's own library, beside a bounded table
 of the last ones; without a decoder in the vocabulary file, a decoded text is its tokens joined by blanks.
 
 Defined cases: a null text is empty and has no ids; repeated rows have equal results; an empty table gives an empty result; a text of any
@@ -22,6 +22,7 @@ the vocabulary's added tokens are recognised in texts, as the library does. Only
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,9 +41,14 @@ SMALLEST, LARGEST, SPACING = 256, 8192, 1024
 SEEN = 32
 #: Bytes of a text that are hashed at once.
 STRETCH = 1 << 20
-#: Words kept with their ids in a worker, and their longest.
-WORDS_KEPT, LONGEST_KEPT = 1 << 18, 64
+#: Pieces of text kept with their ids in a worker, and their longest.
+PIECES_KEPT, LONGEST_KEPT = 1 << 19, 64
 _ID = np.dtype("<u2")
+WORD_END = b"</w>"
+#: Letters up to U+017F and what they are not, for which normalisation is lower case alone; one capital grows by it.
+LETTERS, DIGITS, BLANKS = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+PLAIN = re.compile("[\0-\u012f\u0131-\u017f]*")
+PLAIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+")
 
 
 def _byte_values() -> np.ndarray:
@@ -88,24 +94,13 @@ def chunks(text: bytes) -> list[tuple[int, int]]:
     return list(zip(bounds, [*bounds[1:], len(text)]))
 
 
-class _Words(dict):
-    """Ids of words, as bytes; the table starts anew when it is full."""
-
-    def __init__(self, encode) -> None:
-        super().__init__()
-        self._encode = encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self._encode(word)
-        if len(word) <= LONGEST_KEPT:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 class WordBpe:
-    """The tokenizer, made once in each Python worker. Ids are two bytes each."""
+    """The tokenizer, made once in each Python worker. Ids are two bytes each.
+
+    A text is taken apart into pieces that no token spans, and the ids of the last pieces are kept. Where all
+    characters are plain, pieces are the words of the vocabulary's own pattern; in other texts, or
+    where an added token may stand, they are what lies between the blanks of ASCII.
+    """
 
     _made: dict[str, "WordBpe"] = {}
 
@@ -123,7 +118,9 @@ class WordBpe:
             raise ValueError("a vocabulary of at most 65,536 tokens without a decoder is wanted")
         self.tokens = [(self._library.id_to_token(i) or "").encode() for i in range(size)]
         self.decimals = [b"%d" % i for i in range(size)]
-        self._words = _Words(self._whole)
+        self._ends = np.array([token.endswith(WORD_END) for token in self.tokens])
+        self._words: dict[str, bytes] = {}
+        self._others: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> "WordBpe":
@@ -131,12 +128,34 @@ class WordBpe:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _whole(self, text: bytes) -> bytes:
-        return np.array(self._library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, _ID).tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, _ID)
+
+    def _words_together(self, words: list[str]) -> dict[str, bytes]:
+        """Words encoded as one text; each ends with the first token that ends a word."""
+        ids = self._whole(" ".join(words))
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        return {word: ids[begin:end].tobytes() for word, begin, end in zip(words, [0, *ends], ends)}
+
+    def _one_by_one(self, pieces: list[str]) -> dict[str, bytes]:
+        return {piece: self._whole(piece).tobytes() for piece in pieces}
 
     def encode(self, text: bytes) -> bytes:
-        """Word by word: bytes split at the blanks of ASCII, which the vocabulary's own rule splits at as well."""
-        return b"".join(map(self._words.__getitem__, text.split()))
+        value = text.decode("utf-8", "replace")
+        if PLAIN.fullmatch(value) and "<|" not in value:
+            pieces, kept, learn = PLAIN_WORD.findall(value.lower()), self._words, self._words_together
+        else:
+            pieces, kept, learn = [piece.decode("utf-8", "replace") for piece in text.split()], self._others, self._one_by_one
+        found = [kept.get(piece) for piece in pieces]
+        if None in found:
+            new = learn(list(dict.fromkeys(piece for piece, ids in zip(pieces, found) if ids is None)))
+            found = [new[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
+            if len(kept) + len(new) > PIECES_KEPT:
+                kept.clear()
+            kept.update((piece, ids) for piece, ids in new.items() if len(piece) <= LONGEST_KEPT)
+        return b"".join(found)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b" ".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -247,6 +266,8 @@ def _encoded_owned(texts: DataFrame, owned: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             names, ids = [], []
             for value, own in zip(batch.column(0), batch.column(1)):
+                if not value.is_valid:
+                    continue
                 value = unpacker.decompress(value.as_py())
                 places = chunks(value)
                 for each in own.as_py():
@@ -255,7 +276,9 @@ def _encoded_owned(texts: DataFrame, owned: DataFrame, path: str) -> DataFrame:
             name = np.array(names, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array(ids, pa.binary())], [*CHUNK, "ids"])
 
-    return texts.join(owned, TEXT).select("packed", "owned").mapInArrow(encoded, "__c1 long, __c2 long, ids binary")
+    # An inner join would read other texts than the join for all of them does, and so shuffle them once more.
+    held = texts.join(owned, TEXT, "left").select(F.when(F.col("owned").isNotNull(), F.col("packed")).alias("packed"), "owned")
+    return held.mapInArrow(encoded, "__c1 long, __c2 long, ids binary")
 
 
 def _encoded_texts(texts: DataFrame, shared: DataFrame, path: str, keep_ids: bool) -> DataFrame:

@@ -68,6 +68,25 @@ def test_joins_anywhere_are_repaired(library, seed):
     assert np.frombuffer(ids, "<u2").tolist() == library.encode(text.decode(), add_special_tokens=False).ids
 
 
+def test_plain_characters_are_taken_apart_like_the_vocabulary_does(library):
+    bpe, rng = WordBpe.at(vocabulary_path()), random.Random(9)
+    plain = [chr(c) for c in range(0x180)]
+    for _ in range(300):
+        text = "".join(rng.choice(plain) if rng.random() < 0.5 else rng.choice("ab's 1.'tre'llÉß") for _ in range(60))
+        assert np.frombuffer(bpe.encode(text.encode()), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_the_table_of_pieces_is_bounded(library, monkeypatch):
+    import pulse.llm.bpechunks as module
+
+    monkeypatch.setattr(module, "PIECES_KEPT", 50)
+    bpe = WordBpe(vocabulary_path())
+    for i in range(30):
+        text = " ".join(f"wörd{chr(97 + i % 26)}{chr(97 + j)}" for j in range(26)) + "y" * 100
+        assert np.frombuffer(bpe.encode(text.encode()), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(bpe._words) <= 50
+
+
 def test_chunks_follow_the_content():
     text = LONG.encode()
     places = chunks(text)
