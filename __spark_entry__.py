@@ -19,6 +19,7 @@ from pulse.operators import metrics as M
 from pulse.operators.continuity import stock_continuity
 from pulse.operators.monitor import dedup_events, event_mix, producer_lag, route_topics
 from pulse.operators.normalize import NUMERIC_DEFAULTS, drop_future_events, normalize_events
+from pulse.operators import sketches as K
 from pulse.operators.parse import parse_events
 from pulse.operators.reconcile import payment_matches, payment_orphans, reconcile_payments
 from pulse.operators.validate import (
@@ -38,6 +39,7 @@ from pulse.sinks.metric_table import (
     read_metric_table,
     write_metric_table,
 )
+from pulse.sinks.sketch_table import read_sketch_table, sketch_batch_writer, write_sketch_table
 from pulse.sources.records import read_records
 from pulse.streaming.job import configure, start_metrics
 from pulse.streaming.reconcile import reconcile_payment_stream
@@ -63,7 +65,7 @@ try:  # the operators for training-data pipelines are a separate part that may b
     from pulse.llm.oracles import ORACLES as LLM_ORACLES
     from pulse.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as absent:
-    if absent.name not in ("corpus_pipeline", "pulse.llm"):
+    if absent.name != "corpus_pipeline" and not f"{absent.name}.".startswith("pulse.llm."):
         raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 else:
@@ -203,6 +205,75 @@ def active_users_accuracy(spark, sf_dir):
     return _plain(joined.select("window_start", "exact_users", near.alias("within_bound")))
 
 
+def active_users_shipped(spark, sf_dir):
+    """The shipped metric of every minute judged against the exact count: three of its standard errors."""
+    both = [metrics_from_records(_records(spark, sf_dir), CONFIG, M.named("active_users_per_minute", among=among))
+            for among in (M.METRICS, M.METRICS_EXACT)]
+    keys = ["window_start", "window_end"]
+    exact = both[1].select(*keys, F.col("metric_value").alias("exact_users"))
+    near = K.within_errors(F.col("metric_value"), F.col("exact_users"), 0.05)
+    return _plain(both[0].join(exact, keys, "full").select(*keys, "exact_users", F.coalesce(near, F.lit(False)).alias("within_errors")))
+
+
+#: Windows that are rolled up from stored minutes.
+GRAINS = (("sliding", "5 minutes", "1 minute"), ("hour", "1 hour", "1 hour"), ("day", "1 day", "1 day"))
+
+
+def _judged(rolled: DataFrame, events: DataFrame, duration: str, slide: str) -> DataFrame:
+    """Rolled up users beside the exact count and beside a sketch made of the events themselves."""
+    config, keys = JobConfig(window_duration=duration, slide_duration=slide), ["window_start", "window_end"]
+    window = F.window("event_ts", duration, slide)
+    exact = events.groupBy(window.start.alias("window_start"), window.end.alias("window_end")).agg(
+        F.count_distinct("user_id").alias("exact_users"))
+    direct = K.window_sketches(events, config).select(*keys, K.active_users(F.col("users_sketch")).alias("direct"))
+    found = rolled.withColumn("estimate", K.active_users(F.col("users_sketch"))).join(exact, keys, "full").join(direct, keys, "full")
+    return found.select(
+        *keys, "n_events", "exact_users", (F.col("estimate") == F.col("direct")).alias("as_from_events"),
+        K.within_errors(F.col("estimate"), F.col("exact_users"), K.users_error()).alias("within_errors"))
+
+
+def user_rollups(spark, sf_dir):
+    """Users of longer windows from a table of minutes, without the events; sketches of minutes made from JSON records."""
+    path = scratch_dir(spark, "sketches")
+    write_sketch_table(K.window_sketches(normalize_events(parse_events(_records(spark, sf_dir)))), path)
+    minutes, events = read_sketch_table(spark, path), _events(spark, sf_dir)
+    found = None
+    for grain, duration, slide in GRAINS:
+        judged = _judged(K.roll_up(minutes, duration, slide), events, duration, slide).select(F.lit(grain).alias("grain"), "*")
+        found = judged if found is None else found.unionByName(judged)
+    return _plain(found)
+
+
+def lag_rollup(spark, sf_dir):
+    """Hours' lag quantiles from stored minutes: how far their rank in the events is from the one asked for."""
+    path, keys = scratch_dir(spark, "lag-sketches"), ["window_start", "window_end"]
+    events = _events(spark, sf_dir)
+    write_sketch_table(K.window_sketches(events), path)
+    hours = K.roll_up(read_sketch_table(spark, path), "1 hour")
+    asked = (0.5, 0.95, 0.99)
+    hours = hours.select(*keys, "n_events", K.lag_quantiles(F.col("lag_sketch"), asked).alias("found"))
+    window, lag = F.window("event_ts", "1 hour"), (F.unix_micros("producer_ts") - F.unix_micros("event_ts")) / 1_000_000
+    lags = events.select(window.start.alias("window_start"), window.end.alias("window_end"), lag.alias("lag"))
+    ranks = [f(F.col("lag"), F.col("found")[i]) for i in range(len(asked))
+             for f in (lambda a, b: F.avg((a < b).cast("int")), lambda a, b: F.avg((a <= b).cast("int")))]
+    judged = lags.join(hours, keys).groupBy(*keys, "n_events").agg(*(r.alias(f"r{i}") for i, r in enumerate(ranks)))
+    near = [(F.col(f"r{2 * i}") - K.LAG_RANK_ERROR <= q) & (F.col(f"r{2 * i + 1}") + K.LAG_RANK_ERROR >= q) for i, q in enumerate(asked)]
+    return _plain(judged.select(*keys, "n_events", *(n.alias(f"p{int(100 * q)}_in_rank") for n, q in zip(near, asked))))
+
+
+def stream_user_sketches(spark, sf_dir):
+    """Minutes that closed in a stream, stored as sketches and rolled up to hours without the events."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-sketches")
+    sketches = K.window_sketches(normalize_events(parse_events(event_records(stream_events(spark, sf_dir)))))
+    (sketches.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+     .trigger(availableNow=True).foreachBatch(sketch_batch_writer(f"{root}/table")).start().awaitTermination())
+    minutes, events = read_sketch_table(spark, f"{root}/table"), _events(spark, sf_dir)
+    last = minutes.agg(F.max("window_end").alias("last"))
+    closed = events.join(last, F.col("event_ts") < F.col("last")).drop("last")  # one row, of the minutes' table
+    return _plain(_judged(K.roll_up(minutes, "1 hour"), closed, "1 hour", "1 hour"))
+
+
 _TABLES: dict[tuple[str, str], str] = {}
 
 
@@ -492,6 +563,9 @@ def queries() -> dict[str, Query]:
         "metrics_of_faulty_records": metrics_of_faulty,
         "metrics_of_file_records": metrics_of_files,
         "active_users_accuracy": active_users_accuracy,
+        "active_users_shipped": active_users_shipped,
+        "user_rollups": user_rollups,
+        "producer_lag_rollup": lag_rollup,
         "low_stock_signals_per_minute": _metric("low_stock_signals_per_minute"),
         "all_metrics": all_metrics,
         "sliding_revenue_5m_1m": _metric("revenue_per_minute", SLIDING),
@@ -530,6 +604,7 @@ def queries() -> dict[str, Query]:
         "stream_payments": stream_payments,
         "stream_dedup": stream_dedup,
         "stream_archive": stream_archive,
+        "stream_user_sketches": stream_user_sketches,
         **LLM_QUERIES,
     }
 

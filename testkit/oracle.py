@@ -211,6 +211,21 @@ ORACLE = {
     "active_users_per_minute": _metric("active_users_per_minute"),
     "active_users_accuracy": f"""WITH {EV} SELECT date_trunc('day', event_ts)::TIMESTAMP AS window_start,
         CAST(count(DISTINCT user_id) AS DOUBLE) AS exact_users, TRUE AS within_bound FROM ev GROUP BY 1""",
+    "active_users_shipped": f"""WITH {EV}, w AS ({MINUTES}) SELECT window_start, window_end,
+        CAST(count(DISTINCT user_id) AS DOUBLE) AS exact_users, TRUE AS within_errors FROM w GROUP BY ALL""",
+    "user_rollups": f"""WITH {EV}, grains AS (
+            SELECT 'sliding' AS grain, window_start, window_end, user_id FROM ({SLIDES})
+            UNION ALL SELECT 'hour', date_trunc('hour', event_ts), date_trunc('hour', event_ts) + INTERVAL 1 HOUR, user_id FROM ev
+            UNION ALL SELECT 'day', date_trunc('day', event_ts)::TIMESTAMP, date_trunc('day', event_ts) + INTERVAL 1 DAY, user_id FROM ev)
+        SELECT grain, window_start, window_end, count(*) AS n_events, count(DISTINCT user_id) AS exact_users,
+               TRUE AS as_from_events, TRUE AS within_errors FROM grains GROUP BY ALL""",
+    "producer_lag_rollup": f"""WITH {EV} SELECT date_trunc('hour', event_ts) AS window_start,
+        date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n_events,
+        TRUE AS p50_in_rank, TRUE AS p95_in_rank, TRUE AS p99_in_rank FROM ev GROUP BY ALL""",
+    "stream_user_sketches": f"""WITH {EV}, w AS ({MINUTES})
+        SELECT date_trunc('hour', event_ts) AS window_start, date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
+               count(*) AS n_events, count(DISTINCT user_id) AS exact_users, TRUE AS as_from_events, TRUE AS within_errors
+        FROM w WHERE window_end <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev) GROUP BY ALL""",
     "low_stock_signals_per_minute": _metric("low_stock_signals_per_minute"),
     "all_metrics": f"WITH {BY_MINUTE} SELECT {METRIC} FROM metrics",
     "sliding_revenue_5m_1m": _metric("revenue_per_minute", BY_SLIDE),
