@@ -41,10 +41,12 @@ from pulse.sinks.metric_table import (
 )
 from pulse.sinks.sketch_table import read_sketch_table, sketch_batch_writer, write_sketch_table
 from pulse.sources.records import read_records
+from pulse.streaming.continuity import stock_continuity_stream
 from pulse.streaming.job import configure, start_metrics
 from pulse.streaming.reconcile import reconcile_payment_stream
 from testkit.adapter import event_fields, event_records, flat_events, read_events, stream_events
 from testkit.faults import faulty_records
+from testkit.replay import replay_files, replayed
 from testkit.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -536,6 +538,29 @@ def stream_archive(spark, sf_dir):
     return _archive_counts(spark, f"{root}/out")
 
 
+#: Files of a replay. An event goes up to a minute later than it happened, so neighbouring files overlap in time.
+REPLAY_FILES, REPLAY_DAYS = 6, 30
+
+
+def _replayed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The events as a stream of several micro-batches, out of order within and between them."""
+    events = read_events(spark, sf_dir)
+    seen = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % 60
+    first = F.unix_seconds(F.lit(datetime(2024, 1, 1)).cast("timestamp"))
+    part = F.least(F.floor((seen - first) / (REPLAY_DAYS * 86400 // REPLAY_FILES)), F.lit(REPLAY_FILES - 1))
+    replay_files(events, part, REPLAY_FILES, f"{root}/replay")
+    return replayed(spark, f"{root}/replay", events.schema)
+
+
+def stream_continuity(spark, sf_dir):
+    """Stock continuity on a stream whose moves arrive out of order; moves of closed time."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-continuity")
+    found = stock_continuity_stream(flat_events(_replayed(spark, sf_dir, root)))
+    _drain(found.withColumn("is_continuous", F.col("is_continuous").cast("int")), f"{root}/out", f"{root}/checkpoint")
+    return _plain(spark.read.parquet(f"{root}/out"))
+
+
 def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
@@ -605,6 +630,7 @@ def queries() -> dict[str, Query]:
         "stream_dedup": stream_dedup,
         "stream_archive": stream_archive,
         "stream_user_sketches": stream_user_sketches,
+        "stream_stock_continuity": stream_continuity,
         **LLM_QUERIES,
     }
 

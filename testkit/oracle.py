@@ -363,5 +363,13 @@ ORACLE = {
         WHERE status <> 'orphan' OR event_ts + INTERVAL 1 MINUTE
             < (SELECT date_trunc('millisecond', least(max(event_ts) FILTER (WHERE event_type = 'order_created'),
                    max(event_ts) FILTER (WHERE event_type = 'payment_processed'))) - INTERVAL 2 MINUTE FROM ev)""",
+    # A slice of ten seconds comes out when the watermark of inventory events has passed its end.
+    "stream_stock_continuity": f"""WITH {EV}, moves AS (
+            SELECT product_id, producer_ts AS moved_at, event_id, warehouse_id, delta_qty, stock_after,
+                   lag(stock_after) OVER (PARTITION BY product_id ORDER BY producer_ts, event_id) AS previous_stock
+            FROM ev WHERE event_type = 'inventory_updated'),
+        mark AS (SELECT epoch_ms(max(event_ts)) - 120000 AS ms FROM ev WHERE event_type = 'inventory_updated')
+        SELECT moves.*, CAST(previous_stock + delta_qty = stock_after AS INTEGER) AS is_continuous FROM moves, mark
+        WHERE (epoch_ms(moved_at) // 10000 + 1) * 10000 <= ms""",
     "stream_dedup": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
 }
