@@ -9,7 +9,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -30,6 +30,7 @@ from pulse.operators.validate import (
     violation_counts,
 )
 from pulse.plans import insights, serving
+from pulse.plans.repair import repair, uncounted
 from pulse.plans.pipeline import metrics_from_records
 from pulse.sinks.archive import archive_writer, write_archive
 from pulse.sinks.kafka import to_kafka_records
@@ -43,6 +44,7 @@ from pulse.sinks.sketch_table import read_sketch_table, sketch_batch_writer, wri
 from pulse.sources.records import read_records
 from pulse.streaming.continuity import stock_continuity_stream
 from pulse.streaming.job import configure, start_metrics
+from pulse.streaming.late import late_router, lateness, routed_events
 from pulse.streaming.reconcile import reconcile_payment_stream
 from testkit.adapter import event_fields, event_records, flat_events, read_events, stream_events
 from testkit.faults import faulty_records
@@ -542,16 +544,68 @@ def stream_archive(spark, sf_dir):
 REPLAY_FILES, REPLAY_DAYS = 6, 30
 
 
-def _replayed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The events as a stream of several micro-batches, out of order within and between them."""
+def _replayed(spark: SparkSession, sf_dir: str, root: str, late: bool = False) -> DataFrame:
+    """The events as a stream of several micro-batches, out of order within and between them.
+
+    With ``late``, every fiftieth event comes two files later than its time.
+    """
     events = read_events(spark, sf_dir)
     seen = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % 60
     first = F.unix_seconds(F.lit(datetime(2024, 1, 1)).cast("timestamp"))
-    part = F.least(F.floor((seen - first) / (REPLAY_DAYS * 86400 // REPLAY_FILES)), F.lit(REPLAY_FILES - 1))
-    replay_files(events, part, REPLAY_FILES, f"{root}/replay")
+    part = F.floor((seen - first) / (REPLAY_DAYS * 86400 // REPLAY_FILES))
+    if late:
+        part = part + 2 * (F.col("event_id") % 50 == 7).cast("int")
+    replay_files(events, F.least(part, F.lit(REPLAY_FILES - 1)), REPLAY_FILES, f"{root}/replay")
     return replayed(spark, f"{root}/replay", events.schema)
 
 
+def _routed(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-late")
+    records = event_records(_replayed(spark, sf_dir, root, late=True))
+    routed = normalize_events(parse_events(records)).select("event_id", "event_type", "event_ts")
+    (routed.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+     .foreachBatch(late_router(f"{root}/routed")).start().awaitTermination())
+    return f"{root}/routed", routed.schema
+
+
+def stream_late_events(spark, sf_dir):
+    """Every event of a replay with its micro-batch and whether it was late there; late ones lie aside."""
+    return _plain(routed_events(spark, *_routed(spark, sf_dir)).select("event_id", "event_ts", "batch_id", "verdict"))
+
+
+def stream_lateness(spark, sf_dir):
+    """The ledger of the same replay: counts of both verdicts and the watermark of each micro-batch."""
+    return _plain(lateness(spark, _routed(spark, sf_dir)[0]))
+
+
+#: Metrics whose values do not depend on how often a sketch was merged.
+COUNTED = tuple(m for m in M.METRICS if m.name != "active_users_per_minute")
+
+
+def _streamed_with_late(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-repair")
+    config = JobConfig(app_name=f"replay-{os.path.basename(root)}", checkpoint_dir=f"{root}/checkpoints")
+    records = event_records(_replayed(spark, sf_dir, root, late=True))
+    start_metrics(records, config, metric_batch_writer(f"{root}/table"), COUNTED, available_now=True).awaitTermination()
+    return f"{root}/table"
+
+
+def late_by_window(spark, sf_dir):
+    """What a stream's table lacks of the archive, by window and type."""
+    table = read_metric_table(spark, _streamed_with_late(spark, sf_dir))
+    return _plain(uncounted(_events(spark, sf_dir), table))
+
+
+def repaired_metrics(spark, sf_dir):
+    """A stream's table after the windows that missed late events were computed again."""
+    path = _streamed_with_late(spark, sf_dir)
+    events = _events(spark, sf_dir)
+    repair(events, uncounted(events, read_metric_table(spark, path)), path, "repair-1", CONFIG, COUNTED)
+    return _rows(read_metric_table(spark, path))
+
+
 def stream_continuity(spark, sf_dir):
     """Stock continuity on a stream whose moves arrive out of order; moves of closed time."""
     configure(spark, CONFIG)
@@ -631,6 +685,10 @@ def queries() -> dict[str, Query]:
         "stream_archive": stream_archive,
         "stream_user_sketches": stream_user_sketches,
         "stream_stock_continuity": stream_continuity,
+        "stream_late_events": stream_late_events,
+        "stream_lateness": stream_lateness,
+        "late_by_window": late_by_window,
+        "repaired_metrics": repaired_metrics,
         **LLM_QUERIES,
     }
 

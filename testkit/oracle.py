@@ -194,6 +194,20 @@ FLAGS = """CASE WHEN payment_status = 'approved' THEN 1.0::DOUBLE ELSE 0.0::DOUB
 
 DAY = "date_trunc('day', event_ts)::TIMESTAMP AS window_start, date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end"
 
+# A replay in six files of five days, with a minute of disorder and every fiftieth event two files late; each file is a micro-batch.
+REPLAY = f"""{EV}, dealt AS (
+    SELECT *, least(CAST(floor((epoch_ms(event_ts) // 1000 + n % 60 - epoch_ms(TIMESTAMP '2024-01-01') // 1000) / 432000) AS INTEGER)
+                    + CASE WHEN n % 50 = 7 THEN 2 ELSE 0 END, 5) AS batch_id,
+           date_trunc('minute', event_ts) AS window_start, date_trunc('minute', event_ts) + INTERVAL 1 MINUTE AS window_end
+    FROM ev),
+marks AS (
+    SELECT batch_id, date_trunc('millisecond', max(max(event_ts)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                     - INTERVAL 2 MINUTE AS watermark
+    FROM dealt GROUP BY batch_id),
+judged AS (
+    SELECT *, CASE WHEN window_end <= watermark THEN 'late' ELSE 'on_time' END AS verdict FROM dealt JOIN marks USING (batch_id))"""
+CLOSED = """(SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 2 MINUTE FROM ev)"""
+
 ORACLE = {
     "parse_events": f"""WITH {EV} SELECT user_id AS kafka_key, 'events.raw' AS kafka_topic, 0 AS kafka_partition,
         n AS kafka_offset, producer_ts AS kafka_timestamp, {ENVELOPE}, {PAYLOAD} FROM ev""",
@@ -363,6 +377,19 @@ ORACLE = {
         WHERE status <> 'orphan' OR event_ts + INTERVAL 1 MINUTE
             < (SELECT date_trunc('millisecond', least(max(event_ts) FILTER (WHERE event_type = 'order_created'),
                    max(event_ts) FILTER (WHERE event_type = 'payment_processed'))) - INTERVAL 2 MINUTE FROM ev)""",
+    "stream_late_events": f"WITH {REPLAY} SELECT event_id, event_ts, CAST(batch_id AS BIGINT) AS batch_id, verdict FROM judged",
+    "stream_lateness": f"""WITH {REPLAY} SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) FILTER (verdict = 'on_time') AS n_on_time,
+        count(*) FILTER (verdict = 'late') AS n_late, watermark FROM judged GROUP BY batch_id, watermark""",
+    # The aggregation drops by the watermark of the batch before: what is late there by two files.
+    "late_by_window": f"""WITH {REPLAY}, before AS (
+            SELECT batch_id, lag(watermark) OVER (ORDER BY batch_id) AS dropped_by FROM marks),
+        counts AS (
+            SELECT window_start, window_end, event_type, count(*) AS n_events,
+                   count(*) FILTER (dropped_by IS NULL OR window_end > dropped_by) AS n_counted
+            FROM dealt JOIN before USING (batch_id) GROUP BY ALL)
+        SELECT * FROM counts WHERE n_events <> n_counted AND window_end <= {CLOSED}""",
+    "repaired_metrics": f"""WITH {BY_MINUTE} SELECT {METRIC} FROM metrics
+        WHERE metric_name <> 'active_users_per_minute' AND window_end <= {CLOSED}""",
     # A slice of ten seconds comes out when the watermark of inventory events has passed its end.
     "stream_stock_continuity": f"""WITH {EV}, moves AS (
             SELECT product_id, producer_ts AS moved_at, event_id, warehouse_id, delta_qty, stock_after,

@@ -1,0 +1,112 @@
+"""Late events: set aside, counted, and put right in the metric table."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from builders import event, events, utc
+from pulse.config import JobConfig
+from pulse.operators.metrics import METRICS, build_metrics
+from pulse.operators.normalize import normalize_events
+from pulse.operators.parse import parse_events
+from pulse.plans.repair import metrics_of_windows, repair, uncounted
+from pulse.sinks.metric_table import read_metric_table, write_metric_table
+from pulse.streaming.late import late_router, lateness, routed_events
+from test_streaming import Replay, at, replay  # noqa: F401
+
+COUNTED = tuple(m for m in METRICS if m.name != "active_users_per_minute")
+
+
+def route(replay, path, writer=None, config=JobConfig(), **options):  # noqa: F811
+    stream = normalize_events(parse_events(replay.source(**options)), config).select("event_id", "event_type", "event_ts")
+    (stream.writeStream.option("checkpointLocation", str(replay.root / "late-checkpoint")).trigger(availableNow=True)
+     .foreachBatch(writer or late_router(path, config)).start().awaitTermination())
+    return {(r["event_id"], r["batch_id"]): r["verdict"] for r in routed_events(replay.spark, path, stream.schema).collect()}
+
+
+def test_kept_and_late_are_the_input_across_a_failure(replay: Replay):  # noqa: F811
+    path, failures = str(replay.root / "routed"), []
+    inner = late_router(path)
+
+    def fails_once(batch, batch_id):
+        inner(batch, batch_id)
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("executor host lost")
+
+    replay.add_events(event(at=at(10), event_id="a"), event(at=at(2), event_id="early in its own batch"))
+    assert set(route(replay, path, fails_once).values()) == {"on_time"}
+    # The mark is 18:08. A window that ends at it is closed, one that holds it is not.
+    replay.add_events(event(at=at(7, 59), event_id="b"), event(at=at(8), event_id="c"), event(at=at(30), event_id="d"))
+    with pytest.raises(Exception, match="executor host lost"):
+        route(replay, path, fails_once)
+    replay.add_events(event(at=at(27), event_id="e"), event(at=at(28, 30), event_id="f"), event(at="no time", event_id="x"))
+    found = route(replay, path, fails_once)
+    assert found == {("a", 0): "on_time", ("early in its own batch", 0): "on_time", ("b", 1): "late", ("c", 1): "on_time",
+                     ("d", 1): "on_time", ("e", 2): "late", ("f", 2): "on_time"}
+    ledger = {r["batch_id"]: (r["n_on_time"], r["n_late"]) for r in lateness(replay.spark, path).collect()}
+    assert ledger == {0: (2, 0), 1: (2, 1), 2: (1, 1)}
+    schema = replay.spark.sql("SELECT '' AS event_id, timestamp'2026-01-01' AS event_ts").schema
+    assert {r["event_id"] for r in routed_events(replay.spark, path, schema, "late").collect()} == {"b", "e"}
+
+
+def test_sliding_windows_and_batches_without_events(replay: Replay):  # noqa: F811
+    path, config = str(replay.root / "routed"), JobConfig(window_duration="5 minutes", slide_duration="1 minute")
+    replay.add_events(event(at="never", event_id="x"))
+    assert route(replay, path, config=config) == {}
+    replay.add_events(event(at=at(20), event_id="a"))
+    replay_found = route(replay, path, config=config)
+    # The mark is 18:18: the last window of 18:13 ended there, that of 18:14 did not.
+    replay.add_events(event(at=at(13, 59), event_id="b"), event(at=at(14), event_id="c"))
+    assert route(replay, path, config=config) == replay_found | {("b", 2): "late", ("c", 2): "on_time"}
+    assert [r["n_late"] for r in lateness(replay.spark, path, config).orderBy("batch_id").collect()] == [0, 0, 1]
+
+
+def test_a_ledger_of_another_checkpoint_is_refused(replay: Replay):  # noqa: F811
+    with pytest.raises(RuntimeError, match="another checkpoint"):
+        late_router(str(replay.root / "nothing"))(replay.spark.range(0), 3)
+
+
+def archive(spark):
+    days = [event(at=f"2026-03-{d:02d}T10:00:{s:02d}Z", event_id=f"{d}-{s}") for d in (1, 2, 3) for s in range(3)]
+    late = [event("order_created", "2026-03-02T10:00:30Z", event_id="late"), event(None, "2026-03-02T10:00:31Z", event_id="no type"),
+            event("order_created", "2026-03-02T11:00:30Z", event_id="a window of its own")]
+    return events(spark, *days), events(spark, *days, *late)
+
+
+@pytest.mark.parametrize("config", [JobConfig(), JobConfig(window_duration="5 minutes", slide_duration="1 minute")])
+def test_repair_gives_the_full_rebuild_and_writes_touched_days_only(spark, tmp_path, config):
+    seen, every = archive(spark)
+    path = str(tmp_path / "table")
+    write_metric_table(build_metrics(seen, config, COUNTED), path, run_id="stream")
+    missing = uncounted(every, read_metric_table(spark, path), config)
+    first = missing.filter("window_start = timestamp'2026-03-02 10:00:00Z'").collect()
+    assert {(r["event_type"], r["n_events"], r["n_counted"]) for r in first} == {("order_created", 1, 0), (None, 1, 0)}
+    repair(every, missing, path, "repair-1", config, COUNTED)
+    days = {d for d in os.listdir(path) if os.path.exists(f"{path}/{d}/run_id=repair-1")}
+    assert days == {"window_date=2026-03-02"}
+    full = build_metrics(every, config, COUNTED).drop("processed_at")
+    repaired = read_metric_table(spark, path).drop("processed_at", "window_date")
+    assert full.exceptAll(repaired).count() == 0 and repaired.exceptAll(full).count() == 0
+    assert uncounted(every, read_metric_table(spark, path), config).count() == 0
+
+
+def test_windows_that_are_still_open_are_not_missing(spark, tmp_path):
+    seen, every = archive(spark)
+    path = str(tmp_path / "table")
+    write_metric_table(build_metrics(seen.filter("event_ts < timestamp'2026-03-02 00:00:00Z'"), JobConfig(), COUNTED), path)
+    table = read_metric_table(spark, path)
+    assert uncounted(every, table).count() == 0
+    assert uncounted(every, table, until=utc(2026, 3, 2, 10, 1)).select(F.sum("n_events")).first()[0] == 5
+
+
+def test_only_events_of_the_windows_are_aggregated(spark):
+    _, every = archive(spark)
+    window = spark.sql("SELECT timestamp'2026-03-02 10:00:00Z' AS window_start, timestamp'2026-03-02 10:01:00Z' AS window_end")
+    found = metrics_of_windows(every, window.unionByName(window), metrics=COUNTED)
+    assert {(r["metric_name"], r["dimension_value"]): r["metric_value"] for r in found.collect()} == {
+        ("events_per_minute", "page_view"): 3.0, ("events_per_minute", "order_created"): 1.0, ("events_per_minute", None): 1.0,
+        ("orders_per_minute", "all"): 1.0, ("revenue_per_minute", "all"): 61.25}
