@@ -606,6 +606,15 @@ def repaired_metrics(spark, sf_dir):
     return _rows(read_metric_table(spark, path))
 
 
+def stream_funnel(spark, sf_dir):
+    """The funnel of the days that a stream of several micro-batches has closed."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-funnel")
+    found = insights.funnel(flat_events(_replayed(spark, sf_dir, root)), DAILY)
+    _drain(found, f"{root}/out", f"{root}/checkpoint")
+    return _plain(spark.read.parquet(f"{root}/out"))
+
+
 def stream_continuity(spark, sf_dir):
     """Stock continuity on a stream whose moves arrive out of order; moves of closed time."""
     configure(spark, CONFIG)
@@ -684,6 +693,7 @@ def queries() -> dict[str, Query]:
         "stream_dedup": stream_dedup,
         "stream_archive": stream_archive,
         "stream_user_sketches": stream_user_sketches,
+        "stream_funnel": stream_funnel,
         "stream_stock_continuity": stream_continuity,
         "stream_late_events": stream_late_events,
         "stream_lateness": stream_lateness,

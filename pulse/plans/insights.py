@@ -3,59 +3,89 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulse.config import JobConfig
-from pulse.functions.columns import is_type
 
 # A deviation below this share of the mean is rounding noise of a constant history and gives no score.
 LEAST_DEVIATION = 1e-9
 SERIES = ("metric_name", "dimension_key", "dimension_value")
 
 
+#: The steps of the funnel in order.
+FUNNEL = ("page_view", "add_to_cart", "order_created")
+#: Slices of time that a window's events are dealt over, so that a very active user is not one task.
+FUNNEL_SLICES = 24
+
+
 def funnel(events: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
-    """Users per window who viewed, then added to cart, then ordered.
+    """Users per window who viewed, then added to cart, then ordered; batch or stream.
 
-    The steps are taken in turn: the first view, the first cart addition at or after it, the
-    first order at or after that. Each step folds to one row per window and user map-side
-    and is the small side of the next step's join, so a very active user costs one row
-    per task and is split where the joins meet it.
+    The steps are taken in turn: a view, a cart addition at or after it, an order at or after that. In a batch,
+    events are read once and dealt by window, user and slice of the window. One sort gives the ways through
+    a slice (view, view to cart, cart to order and so on) as running maxima, and a user's slices are then
+    put together in order. On a stream, a user's steps are kept until the watermark closes the window.
     """
-    key = ["window", "user_id"]
-
-    def of_type(event_type: str) -> DataFrame:
-        return events.filter(is_type(event_type) & F.col("user_id").isNotNull()).select(
-            F.window("event_ts", config.window_duration, config.slide_duration).alias("window"), "user_id", "event_ts")
-
-    def first_after(event_type: str, before: DataFrame, name: str, reached: str) -> DataFrame:
-        later = of_type(event_type).join(before, key).filter(F.col("event_ts") >= F.col(reached))
-        return later.groupBy(*key).agg(F.min("event_ts").alias(name))
-
-    viewed = of_type("page_view").groupBy(*key).agg(F.min("event_ts").alias("viewed"))
-    carted = first_after("add_to_cart", viewed, "carted", "viewed")
-    ordered = first_after("order_created", carted, "ordered", "carted")
-    steps = [(viewed, "viewers"), (carted, "carters"), (ordered, "buyers")]
-    counted = reduce(DataFrame.unionByName, [s.select("window", F.lit(name).alias("step")) for s, name in steps])
-    # A window counts as soon as any event of the funnel lies in it.
-    others = reduce(DataFrame.unionByName, [of_type(t).select("window", F.lit("none").alias("step")) for t in
-                                            ("add_to_cart", "order_created")])
-    return (
-        counted.unionByName(others).groupBy("window")
-        .agg(*[F.count_if(F.col("step") == name).alias(name) for _, name in steps])
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "viewers",
-            "carters",
-            "buyers",
-            F.try_divide("carters", "viewers").alias("view_to_cart"),
-            F.try_divide("buyers", "carters").alias("cart_to_order"),
+    step = F.array_position(F.array(*map(F.lit, FUNNEL)), F.col("event_type")).cast("int") - 1
+    window = F.window("event_ts", config.window_duration, config.slide_duration).alias("window")
+    moves = events.filter(F.col("event_type").isin(*FUNNEL) & F.col("user_id").isNotNull()).select(
+        window, "user_id", "event_ts", step.alias("step"))
+    reached = _steps_on_stream(moves) if events.isStreaming else _steps_by_slice(moves)
+    users = [F.count_if(F.col("reached") > i).alias(name) for i, name in enumerate(("viewers", "carters", "buyers"))]
+    return reached.groupBy("window").agg(*users).select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "viewers",
+        "carters",
+        "buyers",
+        F.try_divide("carters", "viewers").alias("view_to_cart"),
+        F.try_divide("buyers", "carters").alias("cart_to_order"),
+    )
+
+
+def _steps_by_slice(moves: DataFrame) -> DataFrame:
+    """``window, user_id, reached``: how many steps in turn."""
+    micros = {end: F.unix_micros(f"window.{end}") for end in ("start", "end")}
+    part = F.floor((F.unix_micros("event_ts") - micros["start"]) * FUNNEL_SLICES / (micros["end"] - micros["start"]))
+    key = ["window", "user_id", "slice"]
+    # Of equal times the earlier step comes first, as "at or after" asks.
+    so_far = Window.partitionBy(*key).orderBy("event_ts", "step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    view, cart, order = (F.col("step") == i for i in range(3))
+    ways = (
+        moves.withColumn("slice", part)
+        .withColumns({"viewed": F.max(view).over(so_far), "carted": F.max(cart).over(so_far)})
+        .withColumn("view_cart", F.max(cart & F.col("viewed")).over(so_far))
+        .groupBy(*key)
+        .agg(
+            F.max(view).alias("view"), F.max(cart).alias("cart"), F.max(order).alias("order"),
+            F.max("view_cart").alias("view_cart"), F.max(order & F.col("carted")).alias("cart_order"),
+            F.max(order & F.col("view_cart")).alias("view_order"),
         )
     )
 
+    def onward(reached: Column, way: Column) -> Column:
+        longest = [[("view_order", 3), ("view_cart", 2), ("view", 1)], [("cart_order", 3), ("cart", 2)], [("order", 3)]]
+        found = reached
+        for start, ends in enumerate(longest):
+            onto = F.lit(start)
+            for name, end in reversed(ends):
+                onto = F.when(way[name], end).otherwise(onto)
+            found = F.when(reached == start, onto).otherwise(found)
+        return found
+
+    names = ("view", "cart", "order", "view_cart", "cart_order", "view_order")
+    slices = ways.groupBy("window", "user_id").agg(F.array_sort(F.collect_list(F.struct("slice", *names))).alias("slices"))
+    return slices.select("window", "user_id", F.aggregate("slices", F.lit(0), onward).alias("reached"))
+
+
+def _steps_on_stream(moves: DataFrame) -> DataFrame:
+    taken = moves.groupBy("window", "user_id").agg(F.array_sort(F.collect_list(F.struct("event_ts", "step"))).alias("steps"))
+    # The next step in turn is always the number of steps reached so far.
+    onward = lambda reached, move: F.when(move["step"] == reached, reached + 1).otherwise(reached)
+    return taken.select("window", "user_id", F.aggregate("steps", F.lit(0), onward).alias("reached"))
+
 
 def anomaly_scores(metrics: DataFrame, history: str = "30 minutes", slice_length: str = "1 day") -> DataFrame:
     """z-score of every metric value against the mean and deviation of its series' recent history.

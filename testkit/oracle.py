@@ -400,3 +400,7 @@ ORACLE = {
         WHERE (epoch_ms(moved_at) // 10000 + 1) * 10000 <= ms""",
     "stream_dedup": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
 }
+
+# Days that the watermark of the funnel's events has closed.
+ORACLE["stream_funnel"] = f"""SELECT * FROM ({ORACLE["funnel"]}) WHERE window_end <= (
+    SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 MINUTE FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
