@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -343,6 +343,19 @@ def success_series(spark, sf_dir):
     return _plain(serving.panel(_served(spark, sf_dir), "Payment Success Rate", *RANGE))
 
 
+def recent_panels(spark, sf_dir):
+    """All panels of the last six hours before a fixed moment, as a dashboard with a relative range asks for them."""
+    bounds = serving.recent(timedelta(hours=6), now=datetime(2024, 1, 20, 12))
+    table = read_metric_table(spark, _metric_table(spark, sf_dir), *bounds)
+    found = None
+    for title, (_, _, form) in serving.PANELS.items():
+        rows = serving.panel(table, title, *bounds)
+        series = F.col("metric") if form == "series_by_type" else F.lit(None).cast("string")
+        rows = rows.select(F.lit(title).alias("panel"), "time", series.alias("series"), "value")
+        found = rows if found is None else found.unionByName(rows)
+    return _plain(found)
+
+
 def throughput_series(spark, sf_dir):
     return _plain(serving.throughput_series(_served(spark, sf_dir), *RANGE))
 
@@ -665,6 +678,7 @@ def queries() -> dict[str, Query]:
         "orders_series": orders_series,
         "success_series": success_series,
         "throughput_series": throughput_series,
+        "recent_panels": recent_panels,
         "throughput_table": throughput_table,
         "latest_metric": latest_metric,
         "contract_violations": contract_violations,

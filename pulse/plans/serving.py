@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,16 @@ PANELS = {
     "Active Users (Latest)": ("active_users_per_minute", "short", "latest"),
     "Low Stock Signals (Latest)": ("low_stock_signals_per_minute", "short", "latest"),
 }
-DEFAULT_RANGE = "30 minutes"
+#: What a dashboard shows where nobody asks for another range.
+DEFAULT_RANGE = timedelta(minutes=30)
+
+
+def recent(last: timedelta = DEFAULT_RANGE, now: datetime | None = None) -> tuple[datetime, datetime]:
+    """Bounds of a relative range: the last half hour, or another time, up to now. For the queries below and the table's reader."""
+    if last <= timedelta(0):
+        raise ValueError("a relative range has to reach back")
+    end = now or datetime.now(timezone.utc)
+    return end - last, end
 
 
 def metric_series(

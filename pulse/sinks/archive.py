@@ -10,8 +10,6 @@ from pulse.contract import EVENT_TYPES
 from pulse.functions.columns import event_timestamp, utc_day
 
 PARTITIONS = ("verdict", "event_type_key", "event_date")
-#: Tasks that write one partition of a micro-batch at most.
-FILES_PER_PARTITION = 4
 
 
 def archive_rows(checked: DataFrame) -> DataFrame:
@@ -39,12 +37,10 @@ def write_archive(checked: DataFrame, path: str, mode: str = "append") -> None:
 
 def archive_writer(checked: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Streaming archive by the file sink, whose commit log makes it exactly-once."""
-    rows = archive_rows(checked)
-    # A task writes few partitions, and a partition has few files, however many tasks read.
-    part = F.pmod(F.xxhash64("raw_json"), F.lit(FILES_PER_PARTITION))
+    # Rebalancing gives a partition few files of proper size and a backlog of one day as many tasks as it fills.
+    rows = archive_rows(checked).hint("rebalance", *PARTITIONS)
     return (
-        rows.repartition(*PARTITIONS, part)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*PARTITIONS)
         .option("path", path)

@@ -8,7 +8,7 @@ so never overwrites an older run. Readers see the last processed version of a wi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,8 @@ SORT_KEY = ("metric_name", "window_start", "dimension_key", "dimension_value")
 PARTITIONS = ("window_date", "run_id", "batch_id")
 TABLE_SCHEMA = StructType([*METRIC_SCHEMA.fields, StructField("window_date", DateType()),
                            StructField("run_id", StringType()), StructField("batch_id", LongType())])
+#: Rows of a streamed file at most, give or take what ranges differ by.
+ROWS_PER_FILE = 1_000_000
 BATCH_RUN, COMPACTED_RUN = "load", "compacted"
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -48,36 +50,39 @@ def write_metric_table(metrics: DataFrame, path: str, mode: str = "overwrite", r
     )
 
 
-def metric_batch_writer(path: str, files_per_day: int = 4) -> BatchWriter:
-    """`foreachBatch` writer into the table.
-
-    The batch is evaluated once, by its single write; an empty one writes no
-    partition. Its rows are dealt by day, each day to ``files_per_day`` tasks at most, so
-    a backlog of many days is written by many tasks and a day never has many files.
-    """
+def metric_batch_writer(path: str, rows_per_file: int = ROWS_PER_FILE) -> BatchWriter:
+    """`foreachBatch` writer into the table; an empty batch writes no partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if run_id is None:
-            raise RuntimeError("the metric table writer has to run inside a streaming query")
+        write_batch(table_rows(batch), path, batch_id, SORT_KEY, rows_per_file)
+
+    return write
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, sort_key: Sequence[str], rows_per_file: int) -> None:
+    """Rows of a micro-batch as the directories of its query and batch id.
+
+    A stateful stream plans without adaptive execution, so the number of tasks follows from the number of
+    rows: they are dealt by range of day and sort key, a small batch to one task, a backlog, even of a single day, to as many
+    as it fills. The rows are kept for the count and the write; what is lost of them is computed again.
+    """
+    run_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if run_id is None:
+        raise RuntimeError("the table writer has to run inside a streaming query")
+    dated = rows.withColumns(
+        {"window_date": utc_day(F.col("window_start")), "run_id": F.lit(run_id), "batch_id": F.lit(batch_id)}).persist()
+    try:
+        files = max(1, -(-dated.count() // rows_per_file))
         (
-            table_rows(batch)
-            .withColumns(
-                {
-                    "window_date": utc_day(F.col("window_start")),
-                    "run_id": F.lit(run_id),
-                    "batch_id": F.lit(batch_id),
-                }
-            )
-            .repartition("window_date", F.pmod(F.xxhash64(*SORT_KEY), F.lit(files_per_day)))
-            .sortWithinPartitions("window_date", *SORT_KEY)
+            dated.repartitionByRange(files, "window_date", *sort_key)
+            .sortWithinPartitions("window_date", *sort_key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS)
             .parquet(path)
         )
-
-    return write
+    finally:
+        dated.unpersist()
 
 
 def jdbc_batch_writer(options: Mapping[str, str], num_partitions: int = 4) -> BatchWriter:

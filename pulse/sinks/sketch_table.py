@@ -9,33 +9,28 @@ from pyspark.sql import functions as F
 
 from pulse.functions.columns import between_instants, utc_day
 from pulse.operators.sketches import SKETCH_COLUMNS
-from pulse.sinks.metric_table import BATCH_RUN, PARTITIONS, BatchWriter
+from pulse.sinks.metric_table import BATCH_RUN, PARTITIONS, BatchWriter, write_batch
 
 SCHEMA = ("window_start timestamp, window_end timestamp, n_events long, users_sketch binary, lag_sketch binary, "
           "processed_at timestamp, window_date date, run_id string, batch_id long")
 
 
-def _write(sketches: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    dated = sketches.select(*SKETCH_COLUMNS, F.current_timestamp().alias("processed_at")).withColumns(
-        {"window_date": utc_day(F.col("window_start")), "run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
-    # One row per window: rebalancing gives a day few files, and more of them only where its sketches are many.
-    (dated.hint("rebalance", "window_date").sortWithinPartitions("window_date", "window_start")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+def _stamped(sketches: DataFrame) -> DataFrame:
+    return sketches.select(*SKETCH_COLUMNS, F.current_timestamp().alias("processed_at"))
 
 
 def write_sketch_table(sketches: DataFrame, path: str, run_id: str = BATCH_RUN) -> None:
     """Batch load; the run's days that occur in the rows are replaced."""
-    _write(sketches, path, run_id, 0)
+    dated = _stamped(sketches).withColumns({"window_date": utc_day(F.col("window_start")), "run_id": F.lit(run_id), "batch_id": F.lit(0)})
+    (dated.hint("rebalance", "window_date").sortWithinPartitions("window_date", "window_start")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
 
 
-def sketch_batch_writer(path: str) -> BatchWriter:
+def sketch_batch_writer(path: str, rows_per_file: int = 50_000) -> BatchWriter:
     """`foreachBatch` writer of a stream of `window_sketches`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if run_id is None:
-            raise RuntimeError("the sketch table writer has to run inside a streaming query")
-        _write(batch, path, run_id, batch_id)
+        write_batch(_stamped(batch), path, batch_id, ("window_start",), rows_per_file)
 
     return write
 

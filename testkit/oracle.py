@@ -404,3 +404,15 @@ ORACLE = {
 # Days that the watermark of the funnel's events has closed.
 ORACLE["stream_funnel"] = f"""SELECT * FROM ({ORACLE["funnel"]}) WHERE window_end <= (
     SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 MINUTE FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
+
+# The panels of the six hours up to a fixed moment, both ends included.
+ORACLE["recent_panels"] = f"""WITH {BY_MINUTE}, ranged AS (
+        SELECT * FROM metrics WHERE window_start BETWEEN TIMESTAMP '2024-01-20 06:00:00' AND TIMESTAMP '2024-01-20 12:00:00')
+    SELECT CASE metric_name WHEN 'revenue_per_minute' THEN 'Revenue per Minute' WHEN 'orders_per_minute' THEN 'Orders per Minute'
+                WHEN 'payment_success_rate' THEN 'Payment Success Rate' ELSE 'Event Throughput by Type' END AS panel,
+           window_start AS time, CASE metric_name WHEN 'events_per_minute' THEN dimension_value END AS series, round(metric_value, 6) AS value
+    FROM ranged WHERE metric_name IN ('revenue_per_minute', 'orders_per_minute', 'payment_success_rate', 'events_per_minute')
+    UNION ALL
+    SELECT CASE metric_name WHEN 'active_users_per_minute' THEN 'Active Users (Latest)' ELSE 'Low Stock Signals (Latest)' END,
+           max(window_start), NULL, arg_max(metric_value, window_start)
+    FROM ranged WHERE metric_name IN ('active_users_per_minute', 'low_stock_signals_per_minute') GROUP BY metric_name"""

@@ -238,3 +238,28 @@ def test_config_is_checked():
     assert conf["spark.sql.shuffle.partitions"] == "64" and conf["a"] == "b"
     assert conf["spark.sql.session.timeZone"] == "UTC" and "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
     assert JobConfig().query_name == "event-metrics-query" and list(METRIC_COLUMNS)[-1] == "processed_at"
+
+
+def test_a_backlog_of_one_day_fills_as_many_files_as_it_has_rows(spark, tmp_path):
+    start = F.timestamp_seconds(F.lit(1_772_841_600) + F.col("id") * 60)
+    rows = spark.range(1200).select(
+        start.alias("window_start"), (start + F.expr("INTERVAL 1 MINUTE")).alias("window_end"), F.lit("m").alias("metric_name"),
+        F.col("id").cast("double").alias("metric_value"), F.lit("scope").alias("dimension_key"), F.lit("all").alias("dimension_value"),
+        F.current_timestamp().alias("processed_at"))
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(METRIC_SCHEMA).parquet(str(tmp_path / "in"))
+    for rows_per_file, least, most in ((100, 8, 20), (5000, 1, 2)):
+        path = str(tmp_path / f"table-{rows_per_file}")
+        (stream.writeStream.foreachBatch(mt.metric_batch_writer(path, rows_per_file)).trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}-checkpoint").start().awaitTermination())
+        table = spark.read.parquet(path)
+        assert table.count() == 1200 and least <= len(table.inputFiles()) <= most
+
+
+def test_a_relative_range_ends_now(spark):
+    recent = serving.recent
+    start, end = recent()
+    assert end - start == timedelta(minutes=30) and abs(datetime.now(timezone.utc) - end) < timedelta(minutes=1)
+    assert recent(timedelta(hours=2), datetime(2026, 3, 7, 18)) == (datetime(2026, 3, 7, 16), datetime(2026, 3, 7, 18))
+    with pytest.raises(ValueError):
+        recent(timedelta(0))
