@@ -42,9 +42,11 @@ from pulse.sinks.metric_table import (
 )
 from pulse.sinks.sketch_table import read_sketch_table, sketch_batch_writer, write_sketch_table
 from pulse.sources.records import read_records
+from pulse.streaming.anomaly import anomaly_score_stream
 from pulse.streaming.continuity import stock_continuity_stream
 from pulse.streaming.job import configure, start_metrics
 from pulse.streaming.late import late_router, lateness, routed_events
+from pulse.streaming.ledger import ledger_writer, unique_events
 from pulse.streaming.reconcile import reconcile_payment_stream
 from testkit.adapter import event_fields, event_records, flat_events, read_events, stream_events
 from testkit.faults import faulty_records
@@ -557,18 +559,23 @@ def stream_archive(spark, sf_dir):
 REPLAY_FILES, REPLAY_DAYS = 6, 30
 
 
-def _replayed(spark: SparkSession, sf_dir: str, root: str, late: bool = False) -> DataFrame:
+def _replayed(spark: SparkSession, sf_dir: str, root: str, late: bool = False, copies: bool = False) -> DataFrame:
     """The events as a stream of several micro-batches, out of order within and between them.
 
-    With ``late``, every fiftieth event comes two files later than its time.
+    With ``late``, every fiftieth event comes two files later than its time. With ``copies``, every third comes again one
+    file later and every fifth two files later, days after the watermark has passed it.
     """
     events = read_events(spark, sf_dir)
     seen = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % 60
     first = F.unix_seconds(F.lit(datetime(2024, 1, 1)).cast("timestamp"))
     part = F.floor((seen - first) / (REPLAY_DAYS * 86400 // REPLAY_FILES))
+    rows = events.select("*", part.alias("part"))
     if late:
-        part = part + 2 * (F.col("event_id") % 50 == 7).cast("int")
-    replay_files(events, F.least(part, F.lit(REPLAY_FILES - 1)), REPLAY_FILES, f"{root}/replay")
+        rows = rows.withColumn("part", F.col("part") + 2 * (F.col("event_id") % 50 == 7).cast("int"))
+    for later, every in ((1, 3), (2, 5)) if copies else ():
+        again = events.select("*", (part + later).alias("part")).filter(F.col("event_id") % every == 0)
+        rows = rows.unionByName(again)
+    replay_files(rows.withColumn("__part", F.least("part", F.lit(REPLAY_FILES - 1))).drop("part"), REPLAY_FILES, f"{root}/replay")
     return replayed(spark, f"{root}/replay", events.schema)
 
 
@@ -619,6 +626,26 @@ def repaired_metrics(spark, sf_dir):
     return _rows(read_metric_table(spark, path))
 
 
+def stream_dedup_ledger(spark, sf_dir):
+    """Each event once, though copies come days after the watermark has passed them."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-ledger")
+    events = flat_events(_replayed(spark, sf_dir, root, copies=True)).select(
+        "event_id", "event_type", "event_ts", *(f"kafka_{c}" for c in ("topic", "partition", "offset", "timestamp")))
+    (events.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+     .foreachBatch(ledger_writer(f"{root}/unique")).start().awaitTermination())
+    return _plain(unique_events(spark, f"{root}/unique", events.schema).select("event_id", "event_type", "event_ts"))
+
+
+def stream_anomalies(spark, sf_dir):
+    """Scores of the metric windows that a stream of several micro-batches has closed."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-anomalies")
+    metrics = M.build_metrics(flat_events(_replayed(spark, sf_dir, root)), CONFIG, COUNTED)
+    _drain(anomaly_score_stream(metrics), f"{root}/out", f"{root}/checkpoint")
+    return _plain(spark.read.parquet(f"{root}/out"))
+
+
 def stream_funnel(spark, sf_dir):
     """The funnel of the days that a stream of several micro-batches has closed."""
     configure(spark, CONFIG)
@@ -708,6 +735,8 @@ def queries() -> dict[str, Query]:
         "stream_archive": stream_archive,
         "stream_user_sketches": stream_user_sketches,
         "stream_funnel": stream_funnel,
+        "stream_dedup_ledger": stream_dedup_ledger,
+        "stream_anomaly_zscore": stream_anomalies,
         "stream_stock_continuity": stream_continuity,
         "stream_late_events": stream_late_events,
         "stream_lateness": stream_lateness,

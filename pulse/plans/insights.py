@@ -95,8 +95,8 @@ def anomaly_scores(metrics: DataFrame, history: str = "30 minutes", slice_length
     one as history only, so slices are independent and a long series is not one task.
     """
     seconds = F.unix_seconds("window_start")
-    reach = _seconds(history)
-    length = _seconds(slice_length)
+    reach = seconds_of(history)
+    length = seconds_of(slice_length)
     if reach > length:
         raise ValueError("history must not be longer than slice_length")
     own = F.floor(seconds / length)
@@ -116,7 +116,7 @@ def anomaly_scores(metrics: DataFrame, history: str = "30 minutes", slice_length
     return scored.drop("slice").withColumn("z_score", (F.col("metric_value") - F.col("mean")) / spread)
 
 
-def _seconds(interval: str) -> int:
+def seconds_of(interval: str) -> int:
     """Length of an interval of fixed size such as '30 minutes'."""
     amount, unit = interval.split()
     units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}

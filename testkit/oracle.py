@@ -398,6 +398,7 @@ ORACLE = {
         mark AS (SELECT epoch_ms(max(event_ts)) - 120000 AS ms FROM ev WHERE event_type = 'inventory_updated')
         SELECT moves.*, CAST(previous_stock + delta_qty = stock_after AS INTEGER) AS is_continuous FROM moves, mark
         WHERE (epoch_ms(moved_at) // 10000 + 1) * 10000 <= ms""",
+    "stream_dedup_ledger": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
     "stream_dedup": f"WITH {EV} SELECT event_id, event_type, event_ts FROM ev",
 }
 
@@ -416,3 +417,7 @@ ORACLE["recent_panels"] = f"""WITH {BY_MINUTE}, ranged AS (
     SELECT CASE metric_name WHEN 'active_users_per_minute' THEN 'Active Users (Latest)' ELSE 'Low Stock Signals (Latest)' END,
            max(window_start), NULL, arg_max(metric_value, window_start)
     FROM ranged WHERE metric_name IN ('active_users_per_minute', 'low_stock_signals_per_minute') GROUP BY metric_name"""
+
+# Scores of counted metrics in windows that closed.
+ORACLE["stream_anomaly_zscore"] = f"""SELECT * FROM ({ORACLE["anomaly_zscore"]}) WHERE metric_name <> 'active_users_per_minute'
+    AND window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 MINUTE FROM events)"""

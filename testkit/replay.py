@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def replay_files(rows: DataFrame, part: Column, parts: int, path: str) -> None:
-    """One file for each part, in order and with its rows in no order; a file stream reads them one by one."""
-    numbered = rows.withColumn("__part", part)
+def replay_files(rows: DataFrame, parts: int, path: str) -> None:
+    """One file for each ``__part``, in order and with its rows in no order; a file stream reads them one by one."""
     for i in range(parts):
-        numbered.filter(f"__part = {i}").drop("__part").repartition(1).write.mode("append").parquet(path)
+        rows.filter(f"__part = {i}").drop("__part").repartition(1).write.mode("append").parquet(path)
 
 
 def replayed(spark: SparkSession, path: str, schema) -> DataFrame:
