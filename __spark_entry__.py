@@ -15,9 +15,10 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from pulse.config import JobConfig
+from pulse.contract import EVENT_TYPES
 from pulse.operators import metrics as M
 from pulse.operators.continuity import stock_continuity
-from pulse.operators.monitor import dedup_events, event_mix, producer_lag, route_topics
+from pulse.operators.monitor import dedup_events, event_mix, mix_drift, producer_lag, route_topics
 from pulse.operators.normalize import NUMERIC_DEFAULTS, drop_future_events, normalize_events
 from pulse.operators import sketches as K
 from pulse.operators.parse import parse_events
@@ -509,6 +510,23 @@ def metric_alerts(spark, sf_dir):
     return _plain(found.select("window_start", "metric_name", "dimension_value", "metric_value", "severity", "breach"))
 
 
+def episodes(spark, sf_dir):
+    """Alert episodes of the whole table, breaches up to ten minutes apart being one."""
+    found = insights.alerts(_exact_metrics(spark, sf_dir), insights.thresholds(spark, ALERT_RULES))
+    return _plain(insights.alert_episodes(found, "10 minutes"))
+
+
+#: Days on which every third event is turned into a page view.
+SHIFTED_DAYS = (5, 17)
+
+
+def drift(spark, sf_dir):
+    """Days whose event mix departs from equal shares, two of them planted."""
+    shifted = F.day("event_ts").isin(*SHIFTED_DAYS) & (F.col("event_id").cast("bigint") % 3 == 0)
+    events = _events(spark, sf_dir).withColumn("event_type", F.when(shifted, "page_view").otherwise(F.col("event_type")))
+    return _plain(mix_drift(events, DAILY, dict.fromkeys(EVENT_TYPES, 1.0)))
+
+
 # ---- streaming: the same tables replayed until the source is exhausted --------------------------
 
 
@@ -626,6 +644,19 @@ def repaired_metrics(spark, sf_dir):
     return _rows(read_metric_table(spark, path))
 
 
+def stream_episodes(spark, sf_dir):
+    """Episodes of a stream that reads a metric table, once the watermark has passed them."""
+    configure(spark, CONFIG)
+    root = scratch_dir(spark, "stream-episodes")
+    metrics = _exact_metrics(spark, sf_dir)
+    day = F.floor((F.unix_seconds("window_start") - F.unix_seconds(F.lit(datetime(2024, 1, 1)).cast("timestamp"))) / (86400 * 5))
+    replay_files(metrics.withColumn("__part", day), REPLAY_FILES, f"{root}/metrics")
+    rows = replayed(spark, f"{root}/metrics", metrics.schema).withWatermark("window_start", "1 minute")
+    found = insights.alert_episodes(insights.alerts(rows, insights.thresholds(spark, ALERT_RULES)), "10 minutes")
+    _drain(found, f"{root}/out", f"{root}/checkpoint")
+    return _plain(spark.read.parquet(f"{root}/out"))
+
+
 def stream_dedup_ledger(spark, sf_dir):
     """Each event once, though copies come days after the watermark has passed them."""
     configure(spark, CONFIG)
@@ -729,12 +760,15 @@ def queries() -> dict[str, Query]:
         "funnel": funnel,
         "anomaly_zscore": anomalies,
         "alerts": metric_alerts,
+        "alert_episodes": episodes,
+        "event_mix_drift": drift,
         "stream_metrics": stream_metrics,
         "stream_payments": stream_payments,
         "stream_dedup": stream_dedup,
         "stream_archive": stream_archive,
         "stream_user_sketches": stream_user_sketches,
         "stream_funnel": stream_funnel,
+        "stream_alert_episodes": stream_episodes,
         "stream_dedup_ledger": stream_dedup_ledger,
         "stream_anomaly_zscore": stream_anomalies,
         "stream_stock_continuity": stream_continuity,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from math import pi, sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.config import JobConfig
@@ -59,6 +60,62 @@ def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -
     )
 
 
+def chi_square_tail(value: Column, freedom: int) -> Column:
+    """Probability that a chi-square variable of so many degrees of freedom exceeds the value, to a part in 10^7."""
+    half = value / 2
+    terms, term = F.lit(0.0), F.lit(1.0)
+    if freedom % 2 == 0:
+        for i in range(freedom // 2):
+            terms = terms + term
+            term = term * half / (i + 1)
+        return F.exp(-half) * terms
+    # Odd: the normal tail by a rational Chebyshev fit, then one term for every further two degrees.
+    root = F.sqrt(half)
+    t = 1 / (1 + root / 2)
+    fit = F.lit(0.0)
+    for c in reversed(_NORMAL_TAIL):
+        fit = fit * t + c
+    tail = t * F.exp(-half + fit)
+    term = F.exp(-half) * root * 2 / sqrt(pi)
+    for i in range(1, (freedom + 1) // 2):
+        tail = tail + term
+        term = term * half / (i + 0.5)
+    return tail
+
+
+#: Coefficients of the published Chebyshev fit of the complementary error function, relative error 1.2e-7.
+_NORMAL_TAIL = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
+
+
+def mix_drift(
+    events: DataFrame, config: JobConfig = JobConfig(), expected: Mapping[str, float] = EXPECTED_MIX, level: float = 0.01,
+) -> DataFrame:
+    """Windows whose mix of event types departs from the expected weights: a G-test each, corrected for their number.
+
+    Events of other types are counted apart and not tested. The level is that of any false alarm among all windows
+    (Bonferroni), so a long table does not raise more of them than a short one. One aggregation makes a row of counts
+    per window; weights need not add up to 1.
+    """
+    if len(expected) < 2 or min(expected.values()) <= 0:
+        raise ValueError("two or more types with positive weights are wanted")
+    known = F.coalesce(F.col("event_type").isin(*expected), F.lit(False))
+    names = {name: f"n_{i}" for i, name in enumerate(expected)}
+    counts = events.groupBy(F.window("event_ts", config.window_duration, config.slide_duration).alias("window")).agg(
+        *(F.count_if(F.col("event_type") == name).alias(column) for name, column in names.items()),
+        F.count_if(known).alias("n_events"), F.count_if(~known).alias("n_unknown"))
+    total, weights = F.col("n_events"), sum(expected.values())
+    surprise = F.lit(0.0)
+    for name, column in names.items():
+        share = F.col(column) / (total * (expected[name] / weights))
+        surprise = surprise + F.when(F.col(column) > 0, F.col(column) * F.ln(share)).otherwise(0.0)
+    tested = counts.withColumn("g", F.when(total > 0, F.greatest(F.lit(0.0), 2 * surprise)))
+    judged = tested.withColumn("p_value", chi_square_tail(F.col("g"), len(expected) - 1))
+    windows = judged.agg(F.count("g").alias("n_windows"))  # one row
+    return judged.join(F.broadcast(windows)).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n_events", "n_unknown", "g", "p_value",
+        F.coalesce(F.col("p_value") * F.col("n_windows") < level, F.lit(False)).alias("drifted"))
+
+
 def dedup_events(events: DataFrame, always_placed: bool = False) -> DataFrame:
     """One row per event id: the first by broker time and place. Records without id or place all stay.
 

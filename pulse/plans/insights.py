@@ -141,3 +141,20 @@ def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
         .withColumn("breach", breach)
         .filter(F.col("breach").isNotNull())
     )
+
+
+def alert_episodes(breaches: DataFrame, gap: str = "90 seconds") -> DataFrame:
+    """Runs of breaching windows as one row each: opened, closed, how many windows, the worst value.
+
+    ``breaches`` are rows of `alerts`, in a batch or, with a watermark on ``window_start``, on a stream. A breach at most
+    ``gap`` after the last one of its series, rule and direction goes on with the episode; the default joins neighbouring
+    minutes only, a longer one also forgives windows in between. On a stream an episode comes out
+    when the watermark has passed its last breach by the gap. Only breaches are shuffled and sorted, not the metric table.
+    """
+    span = F.session_window("window_start", gap).alias("span")
+    episodes = breaches.groupBy(span, *SERIES, "severity", "breach").agg(
+        F.min("window_start").alias("opened"), F.max("window_end").alias("closed"), F.count(F.lit(1)).alias("n_windows"),
+        F.min("metric_value").alias("lowest"), F.max("metric_value").alias("highest"),
+    )
+    worst = F.when(F.col("breach") == "below", F.col("lowest")).otherwise(F.col("highest"))
+    return episodes.select(*SERIES, "severity", "breach", "opened", "closed", "n_windows", worst.alias("worst_value"))

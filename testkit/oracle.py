@@ -421,3 +421,30 @@ ORACLE["recent_panels"] = f"""WITH {BY_MINUTE}, ranged AS (
 # Scores of counted metrics in windows that closed.
 ORACLE["stream_anomaly_zscore"] = f"""SELECT * FROM ({ORACLE["anomaly_zscore"]}) WHERE metric_name <> 'active_users_per_minute'
     AND window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 MINUTE FROM events)"""
+
+# Gaps and islands over the breaching windows of each series, rule and direction.
+ORACLE["alert_episodes"] = f"""WITH {BY_MINUTE}, rules(metric_name, low, high, severity) AS (VALUES
+        ('payment_success_rate', 0.5::DOUBLE, NULL::DOUBLE, 'critical'), ('events_per_minute', NULL, 2.0, 'info'),
+        ('revenue_per_minute', NULL, 90.0, 'warning')),
+    breaches AS (
+        SELECT *, CASE WHEN metric_value < low THEN 'below' ELSE 'above' END AS breach
+        FROM metrics JOIN rules USING (metric_name) WHERE metric_value < low OR metric_value > high),
+    marked AS (
+        SELECT *, CASE WHEN window_start <= lag(window_start) OVER series + INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS is_first
+        FROM breaches WINDOW series AS (PARTITION BY metric_name, dimension_value, severity, breach ORDER BY window_start)),
+    islands AS (
+        SELECT *, sum(is_first) OVER (PARTITION BY metric_name, dimension_value, severity, breach ORDER BY window_start) AS island FROM marked)
+    SELECT metric_name, dimension_key, dimension_value, severity, breach, min(window_start) AS opened, max(window_end) AS closed,
+           count(*) AS n_windows, round(CASE WHEN breach = 'below' THEN min(metric_value) ELSE max(metric_value) END, 6) AS worst_value
+    FROM islands GROUP BY metric_name, dimension_key, dimension_value, severity, breach, island"""
+# A session ends ten minutes after the start of its last window.
+ORACLE["stream_alert_episodes"] = f"""SELECT * FROM ({ORACLE["alert_episodes"]}) WHERE closed - INTERVAL 1 MINUTE + INTERVAL 10 MINUTE
+    <= (SELECT date_trunc('minute', max(ts)) - INTERVAL 1 MINUTE FROM events)"""
+ORACLE["event_mix_drift"] = f"""WITH {EV}, mixed AS (
+        SELECT {DAY}, CASE WHEN day(event_ts) IN (5, 17) AND n % 3 = 0 THEN 'page_view' ELSE event_type END AS event_type FROM ev),
+    counts AS (SELECT window_start, window_end, event_type, count(*) AS k FROM mixed GROUP BY ALL),
+    tests AS (
+        SELECT window_start, window_end, sum(k)::BIGINT AS n_events, 2 * sum(k * ln(k / (total * 0.2))) AS g
+        FROM counts JOIN (SELECT window_start, sum(k) AS total FROM counts GROUP BY window_start) USING (window_start) GROUP BY ALL)
+    SELECT window_start, window_end, n_events, 0::BIGINT AS n_unknown, round(greatest(g, 0), 6) AS g,
+           round(exp(-g / 2) * (1 + g / 2), 6) + 0 AS p_value, exp(-g / 2) * (1 + g / 2) * count(*) OVER () < 0.01 AS drifted FROM tests"""
