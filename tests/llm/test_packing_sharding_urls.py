@@ -62,10 +62,14 @@ def test_packing_query_against_the_tokenizer_itself(spark):
 
 
 def test_packing_edge_rows(spark):
-    texts = [None, "", "a b", "a b", "word " * 9000, "x" * 5000, "end<|endoftext|>"]
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [None, "", "a b", "a b", "word " * 9000, "x" * 5000, "end<|endoftext|>", "<|endoftext|>", " <|endoftext|> <|endoftext|>x",
+             "a <|ENDOFTEXT|> <|endof", "some words <|endoftext|> and more " * 12000]
     rows = pack_documents(docs(spark, texts), capacity=64, keep_ids=True).collect()
-    bpe = ByteBpe.at(ranks_path())
-    check_packing(rows, {i: [*bpe.encode(t or ""), 0] for i, t in enumerate(texts)}, 64)
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    check_packing(rows, {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}, 64)
     assert all(len(r["ids"]) == r["length"] for r in rows)
     assert pack_documents(docs(spark, [])).count() == 0
 
