@@ -24,6 +24,8 @@ from pulse.llm.shared import numbered, written
 #: Bytes that a stored row takes besides its text.
 ROW_OVERHEAD = 8
 RACKS_PER_REGION, SHARDS_PER_RACK = 3, 4
+#: Shards that a fleet starts with, in full racks and regions; those added later get a region each.
+INITIAL_SHARDS = 24
 
 
 @dataclass(frozen=True)
@@ -50,17 +52,25 @@ class Node:
         return [leaf for child in self.children for leaf in child.leaves()] if self.children else [self]
 
 
-def shard_tree(shards: int, weights: dict[int, float] | None = None) -> Node:
-    """Shards 0 to ``shards - 1`` in racks of 4 and regions of 3 racks; the last ones may be smaller."""
+def shard_tree(shards: int, weights: dict[int, float] | None = None, initial: int = INITIAL_SHARDS) -> Node:
+    """Shards 0 to ``shards - 1``: the initial ones in racks of 4 and regions of 3 racks, of which the last may be smaller.
+
+    The tree of one shard more is always this one with a region added, which leaves the weights of all
+    other subtrees as they are: rows move into the new shard only, however often a fleet grows. A
+    fleet that starts with fewer shards than ``initial`` is given its own number there when it grows.
+    """
     if shards < 1:
         raise ValueError("a tree needs at least one shard")
-    weights = weights or {}
-    leaves = [Node(f"shard{i}", shard=i, own_weight=weights.get(i, 1.0)) for i in range(shards)]
+    weights, first = weights or {}, min(shards, initial)
+    leaves = [Node(f"shard{i}", shard=i, own_weight=weights.get(i, 1.0)) for i in range(first)]
     racks = [Node(f"rack{i // SHARDS_PER_RACK}", tuple(leaves[i : i + SHARDS_PER_RACK]))
-             for i in range(0, shards, SHARDS_PER_RACK)]
+             for i in range(0, first, SHARDS_PER_RACK)]
     regions = [Node(f"region{i // RACKS_PER_REGION}", tuple(racks[i : i + RACKS_PER_REGION]))
                for i in range(0, len(racks), RACKS_PER_REGION)]
-    return Node("root", tuple(regions))
+    tree = Node("root", tuple(regions))
+    for i in range(first, shards):
+        tree = grown_tree(tree, weights.get(i, 1.0))
+    return tree
 
 
 def grown_tree(tree: Node, weight: float = 1.0) -> Node:

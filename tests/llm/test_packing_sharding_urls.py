@@ -138,6 +138,15 @@ def test_movement_stays_in_the_changed_subtree(spark):
     assert 4 not in share and abs(share[3] - 0.5) < 0.03
 
 
+@pytest.mark.parametrize("shards", [24, 25, 26])
+def test_the_grown_shard_is_the_place_with_one_shard_more(spark, shards):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    before, after = (shard_documents(rows, n).select("doc_id", "shard", "grown_shard").collect() for n in (shards, shards + 1))
+    place = {r["doc_id"]: r["shard"] for r in after}
+    assert all(r["grown_shard"] == place[r["doc_id"]] and r["grown_shard"] in (r["shard"], shards) for r in before)
+    assert 0 < sum(shard == shards for shard in place.values()) < 3000 / shards * 2
+
+
 def test_sharding_edge_rows(spark):
     rows = shard_documents(docs(spark, [None, "", "é", "é", "t" * 10000], [None, None, 7, 7, 3])).collect()
     assert sorted(r["size"] for r in rows) == [8, 8, 10, 10, 10008]
