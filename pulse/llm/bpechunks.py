@@ -181,32 +181,36 @@ def joined(bpe: WordBpe, text: bytes, places: list[tuple[int, int]], ids: list[b
     """Ids of a text from those of its chunks.
 
     ``settled`` and ``own`` are the ids of the text up to the end of the last chunk; ``own`` covers
-    what lies after ``begin``, a place where the text may be cut.
+    what lies after ``begin``, a place where the text may be cut. It is None where no chunk since then had
+    blanks enough: that stretch is encoded once, when its end is found, however many chunks it spans.
     """
     settled, own, begin = [], ids[0], 0
     for (at, end), after in zip(places[1:], ids[1:]):
         if text[at - 1 : at].isspace() or text[at : at + 1].isspace():
-            settled.append(own)
+            settled.append(bpe.encode(text[begin:at]) if own is None else own)
             own, begin = after, at
             continue
-        reach = 1
+        reach = 2
         while True:
-            left, right = _back(text, begin, at, reach + 1), _ahead(text, at, end, reach + 1)
-            tail, head, window = bpe.encode(text[left:at]), bpe.encode(text[at:right]), bpe.encode(text[left:right])
+            left = begin if own is None else _back(text, begin, at, reach)
+            right = _ahead(text, at, end, reach)
+            tail = bpe.encode(text[left:at]) if left > begin else b""
             first = bpe.encode(text[left : _ahead(text, left + 1, at, 1)]) if left > begin else b""
-            last = bpe.encode(text[_back(text, at, right, 1) : right]) if right < end else b""
-            agreed = (own.endswith(tail) and after.startswith(head) and tail.startswith(first) and head.endswith(last)
-                      and window.startswith(first) and window.endswith(last))
-            if agreed or (left == begin and right == end):
+            same_left = left == begin or (own.endswith(tail) and tail.startswith(first))
+            if right == end:
+                if left > begin and same_left:
+                    settled.append(own[: len(own) - len(tail)])
+                    begin = left
+                own = None
+                break
+            head, window = bpe.encode(text[at:right]), bpe.encode(text[left:right])
+            last = bpe.encode(text[_back(text, at, right, 1) : right])
+            if same_left and window.startswith(first) and after.startswith(head) and head.endswith(last) and window.endswith(last):
+                settled += [own[: len(own) - len(tail)] if left > begin else b"", window]
+                own, begin = after[len(head) :], right
                 break
             reach *= 2
-        settled.append(own[: len(own) - len(tail)] if left > begin else b"")
-        if right == end:
-            begin, own = left, window
-        else:
-            settled.append(window)
-            begin, own = right, after[len(head) :]
-    settled.append(own)
+    settled.append(bpe.encode(text[begin:]) if own is None else own)
     return b"".join(settled)
 
 

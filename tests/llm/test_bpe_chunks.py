@@ -68,6 +68,24 @@ def test_joins_anywhere_are_repaired(library, seed):
     assert np.frombuffer(ids, "<u2").tolist() == library.encode(text.decode(), add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("unit", ["x", "日本語。", "ab1,", "dünn"])
+def test_long_texts_without_blanks_are_encoded_once(library, unit):
+    rng, bpe = random.Random(unit), WordBpe.at(vocabulary_path())
+    text = "".join(unit if rng.random() < 0.9 else rng.choice("abcdefgh.;é") for _ in range(400_000 // len(unit)))
+    text = (text + " end of it, and on it goes. " * 400 + text).encode()
+    places, encoded = chunks(text), []
+    assert len(places) > 60
+    parts = [bpe.encode(text[a:b]) for a, b in places]
+    original = bpe.encode
+    bpe.encode = lambda piece: encoded.append(len(piece)) or original(piece)
+    try:
+        ids = joined(bpe, text, places, parts)
+    finally:
+        del bpe.encode
+    assert np.frombuffer(ids, "<u2").tolist() == library.encode(text.decode(), add_special_tokens=False).ids
+    assert sum(encoded) < 3 * len(text)
+
+
 def test_plain_characters_are_taken_apart_like_the_vocabulary_does(library):
     bpe, rng = WordBpe.at(vocabulary_path()), random.Random(9)
     plain = [chr(c) for c in range(0x180)]
