@@ -630,6 +630,17 @@ def _streamed_with_late(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/table"
 
 
+def stream_stamps(spark, sf_dir):
+    """The processing times in a stream's table: one for each micro-batch, later in later ones."""
+    rows = read_metric_table(spark, _streamed_with_late(spark, sf_dir), every_version=True)
+    batches = rows.groupBy("run_id", "batch_id").agg(
+        F.count_distinct("processed_at").alias("stamps"), F.min("processed_at").alias("at"), F.max("window_end").alias("last"))
+    # A micro-batch's stamp against the one that closed windows before it; a table has few batches in a replay.
+    later = batches.alias("a").join(batches.alias("b"), (F.col("a.run_id") == F.col("b.run_id")) & (F.col("a.batch_id") + 1 == F.col("b.batch_id")), "left")
+    in_order = F.coalesce((F.col("a.at") < F.col("b.at")) & (F.col("a.last") <= F.col("b.last")), F.lit(True))
+    return later.agg(F.max("a.stamps").alias("stamps_per_batch"), F.every(in_order).alias("in_order"))
+
+
 def late_by_window(spark, sf_dir):
     """What a stream's table lacks of the archive, by window and type."""
     table = read_metric_table(spark, _streamed_with_late(spark, sf_dir))
@@ -775,6 +786,7 @@ def queries() -> dict[str, Query]:
         "stream_late_events": stream_late_events,
         "stream_lateness": stream_lateness,
         "late_by_window": late_by_window,
+        "stream_processed_at": stream_stamps,
         "repaired_metrics": repaired_metrics,
         **LLM_QUERIES,
     }

@@ -448,3 +448,6 @@ ORACLE["event_mix_drift"] = f"""WITH {EV}, mixed AS (
         FROM counts JOIN (SELECT window_start, sum(k) AS total FROM counts GROUP BY window_start) USING (window_start) GROUP BY ALL)
     SELECT window_start, window_end, n_events, 0::BIGINT AS n_unknown, round(greatest(g, 0), 6) AS g,
            round(exp(-g / 2) * (1 + g / 2), 6) + 0 AS p_value, exp(-g / 2) * (1 + g / 2) * count(*) OVER () < 0.01 AS drifted FROM tests"""
+
+# What must hold of the processing times, whatever they are.
+ORACLE["stream_processed_at"] = "SELECT 1::BIGINT AS stamps_per_batch, TRUE AS in_order"
