@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from pulse.config import JobConfig
-from pulse.contract import EVENT_TYPES
+from pulse.contract import EVENT_CONTRACT, EVENT_TYPES, Contract
 from pulse.operators import metrics as M
 from pulse.operators.continuity import stock_continuity
 from pulse.operators.monitor import dedup_events, event_mix, mix_drift, producer_lag, route_topics
@@ -27,12 +29,15 @@ from pulse.operators.validate import (
     apply_contract_defaults,
     canonical_times,
     check_contract,
+    check_versions,
     split_by_contract,
+    verdict_changes,
     violation_counts,
 )
 from pulse.plans import insights, serving
 from pulse.plans.repair import repair, uncounted
 from pulse.plans.pipeline import metrics_from_records
+from pulse.schema_file import read_contract, schema_of_contract
 from pulse.sinks.archive import archive_writer, write_archive
 from pulse.sinks.kafka import to_kafka_records
 from pulse.sinks.metric_table import (
@@ -381,6 +386,30 @@ def contract_verdicts(spark, sf_dir):
     return _checked(spark, sf_dir).select("kafka_offset", "is_valid", reasons)
 
 
+def _from_file(spark: SparkSession, contract: Contract) -> Contract:
+    """The contract, written as a schema file and compiled from it."""
+    path = scratch_dir(spark, "schema")
+    spark.createDataFrame([(json.dumps(schema_of_contract(contract), indent=2),)], "value string").coalesce(1).write.text(path)
+    return read_contract(spark, path)
+
+
+def schema_file_verdicts(spark, sf_dir):
+    """The verdicts of the contract that is compiled from its schema file."""
+    configure(spark, CONFIG)
+    checked = check_contract(faulty_records(read_events(spark, sf_dir)), _from_file(spark, EVENT_CONTRACT))
+    return checked.select("kafka_offset", "is_valid", F.concat_ws(",", "violations").alias("reasons"))
+
+
+def schema_version_changes(spark, sf_dir):
+    """What a version with an optional user and sessions of any length changes for the records."""
+    configure(spark, CONFIG)
+    wider = {"user_id": {"required": False}, "session_id": {"low": None}}
+    heads = tuple(replace(f, **wider.get(f.name, {})) for f in EVENT_CONTRACT.envelope)
+    versions = {"v1": EVENT_CONTRACT, "v2": Contract(heads, EVENT_CONTRACT.payloads)}
+    compiled = {name: _from_file(spark, contract) for name, contract in versions.items()}
+    return verdict_changes(check_versions(faulty_records(read_events(spark, sf_dir)), compiled), "v1", "v2")
+
+
 def rejected_events(spark, sf_dir):
     return split_by_contract(_checked(spark, sf_dir))[1].select("kafka_offset", F.size("violations").alias("n_reasons"))
 
@@ -752,6 +781,8 @@ def queries() -> dict[str, Query]:
         "latest_metric": latest_metric,
         "contract_violations": contract_violations,
         "contract_verdicts": contract_verdicts,
+        "schema_file_verdicts": schema_file_verdicts,
+        "schema_version_changes": schema_version_changes,
         "rejected_events": rejected_events,
         "contract_defaults": contract_defaults,
         "utc_times": utc_times,

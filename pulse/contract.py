@@ -6,7 +6,7 @@ validation rule. A new event type is one more entry (`Contract.extended`).
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
@@ -176,6 +176,29 @@ class Contract:
 
 EVENT_CONTRACT = Contract(ENVELOPE, PAYLOADS)
 
+
+def merged(versions: Iterable[Contract]) -> Contract:
+    """A contract that has every field of all versions, for looking them up; its rules are the first version's that has them."""
+    envelope: dict[str, Field] = {}
+    payloads: dict[str, dict[str, Field]] = {}
+    for version in versions:
+        for field in version.envelope:
+            known = envelope.setdefault(field.name, field)
+            if known.spark_type != field.spark_type:
+                raise ValueError(f"envelope field {field.name!r} is declared with two types")
+        for event_type, fields in version.payloads.items():
+            of_type = payloads.setdefault(event_type, {})
+            for field in fields:
+                known = of_type.setdefault(field.name, field)
+                if known.spark_type != field.spark_type:
+                    raise ValueError(f"payload field {field.name!r} is declared with two types")
+    together = Contract(tuple(envelope.values()), {t: tuple(f.values()) for t, f in payloads.items()})
+    clash = set(envelope) & {f.name for f in together.payload_fields}
+    if clash:
+        raise ValueError(f"fields {sorted(clash)} stand in the envelope of one version and in the payload of another")
+    return together
+
+
 # A record as the broker delivers it.
 RECORD_SCHEMA = StructType(
     [

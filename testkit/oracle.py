@@ -275,6 +275,12 @@ ORACLE = {
         SELECT violation, count(*) AS n_records FROM each GROUP BY violation""",
     "contract_verdicts": f"""WITH {FAULTY} SELECT n AS kafka_offset, reason_code IS NULL AS is_valid,
         coalesce(reason_code, '') AS reasons FROM faulty""",
+    "schema_file_verdicts": f"""WITH {FAULTY} SELECT n AS kafka_offset, reason_code IS NULL AS is_valid,
+        coalesce(reason_code, '') AS reasons FROM faulty""",
+    "schema_version_changes": f"""WITH {FAULTY} SELECT reason_code IS NULL AS valid_before,
+        reason_code IS NULL OR n % {PERIOD} IN (1, 6) AS valid_after,
+        CASE n % {PERIOD} WHEN 1 THEN 'missing:user_id' WHEN 6 THEN 'length:session_id'
+             WHEN 21 THEN 'length:session_id' ELSE '' END AS gone, '' AS added, count(*) AS n_records FROM faulty GROUP BY ALL""",
     "rejected_events": f"""WITH {FAULTY} SELECT n AS kafka_offset, len(string_split(reason_code, ',')) AS n_reasons FROM faulty
         WHERE reason_code IS NOT NULL""",
     "contract_defaults": f"""WITH {EV} SELECT event_id, event_type,
