@@ -9,6 +9,13 @@ from pulse.functions.columns import is_type
 from pulse.operators.reconcile import compare_with_order, payment_facts
 
 
+def dealt(payments: DataFrame, pieces: int) -> DataFrame:
+    """Payments with the ``piece`` of their order's key; without an order nothing is met, so any number will do."""
+    content = F.xxhash64(*payments.columns)
+    by_event = F.pmod(F.xxhash64("event_id"), F.lit(pieces))
+    return payments.withColumn("piece", F.when(F.col("order_id").isNull(), content).otherwise(by_event))
+
+
 def reconcile_payment_stream(
     payment_events: DataFrame,
     order_events: DataFrame,
@@ -30,8 +37,10 @@ def reconcile_payment_stream(
     passed its bound. Of an order that is delivered again within the watermark delay the
     first counts. Where single orders are known to have very many payments, ``pieces`` deals
     these over several tasks, at the price of as many copies of every order in state.
+    Payments that name no order wait like the others, dealt by their content, so many
+    of them are not one key of the state.
     """
-    payments = payment_facts(payment_events).withColumn("piece", F.pmod(F.xxhash64("event_id"), F.lit(pieces)))
+    payments = dealt(payment_facts(payment_events), pieces)
     created = order_events.filter(is_type("order_created") & F.col("order_id").isNotNull())
     orders = created.dropDuplicatesWithinWatermark(["order_id"]).select(
         F.col("order_id").alias("order_key"),

@@ -21,7 +21,7 @@ from pulse.sinks.metric_table import metric_batch_writer, read_metric_table
 from pulse.sources.records import read_records
 from pulse.streaming import job
 from pulse.streaming.paths import checkpoint_location, shared_root
-from pulse.streaming.reconcile import reconcile_payment_stream
+from pulse.streaming.reconcile import dealt, reconcile_payment_stream
 from testkit.adapter import event_records, read_events
 
 
@@ -179,6 +179,36 @@ def test_stream_reconciliation(spark, replay):
     assert found == {("p1", "match"), ("p2", "match"), ("p3", "orphan"), ("p4", "orphan")}
 
 
+def test_payments_without_an_order_are_dealt(spark):
+    """A third of all payments may name no order: they are no single key, and those of one order keep theirs."""
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("event_id"),
+                                   F.when(F.col("id") % 3 > 0, F.concat(F.lit("o"), F.col("id") % 7)).alias("order_id"))
+    rows = dealt(ids, 4)
+    assert rows.filter("order_id IS NULL").select("piece").distinct().count() == 1000
+    assert rows.filter("order_id IS NOT NULL").select("order_id", "piece").distinct().count() == 28
+    largest = rows.filter("order_id IS NULL").repartition(8, "order_id", "piece").groupBy(F.spark_partition_id()).count()
+    assert largest.agg(F.max("count")).first()[0] < 250
+
+
+def test_orphans_without_an_order_come_out_once(spark, replay):
+    at = lambda minute: f"2026-03-07T12:{minute:02}:00Z"
+    order = lambda i, when: event("order_created", at=when, payload={"order_id": i})
+    payment = lambda p, i, when: event("payment_processed", at=when, payload={"payment_id": p, "order_id": i})
+    payments, orders = (normalize_events(parse_events(replay.source())) for _ in range(2))
+    out = str(replay.root / "out")
+
+    def step(*bodies):
+        replay.add_events(*bodies)
+        (reconcile_payment_stream(payments, orders, "10 minutes", "1 minute", pieces=3).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", str(replay.root / "c")).trigger(availableNow=True).start().awaitTermination())
+        return sorted((r.payment_id, r.status) for r in spark.read.parquet(out).collect())
+
+    nameless = [payment(f"n{i}", None, at(1)) for i in range(20)]
+    assert step(order("a", at(0)), payment("p", "a", at(1)), *nameless, nameless[0]) == [("p", "match")]
+    found = [f for f in step(order("z", at(30)), payment("q", "z", at(30))) if f[0] != "q"]
+    assert found == sorted([("p", "match"), ("n0", "orphan"), *[(f"n{i}", "orphan") for i in range(20)]])
+
+
 def test_checkpoints_go_to_the_shared_folder(spark):
     assert checkpoint_location(spark, JobConfig(checkpoint_dir="/shared/x/")) == "/shared/x/metrics_realtime_1m"
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
