@@ -17,6 +17,10 @@ _FIELDS = [field.split()[0] for field in _MOVE.split(", ")]
 _OUT = f"product_id string, {_MOVE}, previous_stock int"
 #: Nameless moves have no previous level and so no state; they are dealt over this many keys.
 NAMELESS_PIECES = 64
+#: Moves that come out in one frame, but for the rest of a stretch.
+ROWS_PER_FRAME = 10_000
+#: Slices whose moves wait in one entry of the state.
+SLICES_TOGETHER = 360
 
 
 def _place(move: tuple) -> tuple:
@@ -27,61 +31,99 @@ def _place(move: tuple) -> tuple:
 class StockLevels(StatefulProcessor):
     """Moves of one product wait until the watermark has passed their slice of time, and then come out in order.
 
-    State is the last level and the moves of open slices, one entry per slice, so a slice that closes
-    touches no other. A timer at the end of a slice releases it. A move that belongs before one that has come
-    out already (its producer's clock was behind its event time) comes out at once, without a previous level.
+    State is the last level and the waiting moves, in one entry per stretch of many slices. One timer, at the end of the
+    earliest slice that waits, releases all that are due at once, so the calls to the state follow the stretches of a
+    batch and not its slices, and no more than the moves of one stretch are held at a time. A move that belongs before one
+    that has come out already (its producer's clock was behind its event time) comes out at once, without a previous level.
     """
 
     def __init__(self, slice_ms: int) -> None:
         self.slice_ms = slice_ms
+        self.stretch_ms = slice_ms * SLICES_TOGETHER
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         entry = ",".join(field.replace(" ", ":") for field in _MOVE.split(", "))
-        self._waiting = handle.getMapState("waiting", "slice_end long", f"moves array<struct<{entry}>>")
+        self._waiting = handle.getMapState("waiting", "stretch long", f"moves array<struct<{entry}>>")
         self._last = handle.getValueState("last", "moved_at long, event_id string, stock_after int")
+        self._timer = handle.getValueState("timer", "slice_end long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        moves = [_plain(move) for frame in rows for move in frame[_FIELDS].itertuples(index=False, name=None)]
         if key[0] is None:
-            yield _frame(None, [(*move, None) for move in moves])
+            for frame in rows:
+                yield _frame(None, [(*move, None) for move in _moves(frame)])
             return
-        last = self._last.get() if self._last.exists() else None
-        slices: dict[int, list[tuple]] = {}
+        last = tuple(self._last.get()) if self._last.exists() else None
+        stretches: dict[int, list[tuple]] = {}
         too_late = []
-        for move in moves:
-            if last is not None and _place(move) < _place(tuple(last)):
-                too_late.append((*move, None))
-            else:
-                slices.setdefault((move[0] // 1000 // self.slice_ms + 1) * self.slice_ms, []).append(move)
-        for end, new in slices.items():
-            if self._waiting.containsKey((end,)):
-                new = [tuple(m) for m in self._waiting.getValue((end,))[0]] + new
-            else:
-                self._handle.registerTimer(end)
-            self._waiting.updateValue((end,), (new,))
+        for frame in rows:
+            for move in _moves(frame):
+                if last is not None and _place(move) < _place(last):
+                    too_late.append((*move, None))
+                else:
+                    stretches.setdefault(self._stretch(move), []).append(move)
+        known = {stretch for (stretch,) in self._waiting.keys()} if stretches else set()
+        for stretch, new in stretches.items():
+            old = self._waiting.getValue((stretch,))[0] if stretch in known else []
+            self._waiting.updateValue((stretch,), ([tuple(m) for m in old] + new,))
+        if stretches:
+            self._wake(min(self._slice_end(move) for move in stretches[min(stretches)]))
         yield _frame(key[0], too_late)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        # Timers may fire in any order, slices must not: the first one releases all that are due.
-        due = sorted(end for (end,) in self._waiting.keys() if end <= timerValues.getCurrentWatermarkInMs())
-        level, last, found = None, None, []
-        if due and self._last.exists():
-            last = tuple(self._last.get())
-            level = last[2]
-        for end in due:
-            for move in sorted((tuple(m) for m in self._waiting.getValue((end,))[0]), key=_place):
-                found.append((*move, level))
-                level, last = move[4], (move[0], move[1], move[4])
-            self._waiting.removeKey((end,))
-        if found:
+        self._timer.clear()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        last = tuple(self._last.get()) if self._last.exists() else None
+        found: list[tuple] = []
+        for stretch in sorted(stretch for (stretch,) in self._waiting.keys()):
+            if stretch * self.stretch_ms + self.slice_ms > watermark:  # not even its first slice
+                self._wake_for(self._waiting.getValue((stretch,))[0])
+                break
+            moves = [tuple(m) for m in self._waiting.getValue((stretch,))[0]]
+            due = sorted((m for m in moves if self._slice_end(m) <= watermark), key=_place)
+            for move in due:
+                found.append((*move, None if last is None else last[2]))
+                last = move[0], move[1], move[4]
+            if len(found) >= ROWS_PER_FRAME:
+                yield _frame(key[0], found)
+                found = []
+            if len(due) < len(moves):
+                open_moves = [m for m in moves if self._slice_end(m) > watermark]
+                self._waiting.updateValue((stretch,), (open_moves,))
+                self._wake_for(open_moves)
+                break  # what follows is later still
+            self._waiting.removeKey((stretch,))
+        if last is not None:
             self._last.update(last)
         yield _frame(key[0], found)
 
+    def _slice_end(self, move: tuple) -> int:
+        return (move[0] // 1000 // self.slice_ms + 1) * self.slice_ms
+
+    def _stretch(self, move: tuple) -> int:
+        return move[0] // 1000 // self.stretch_ms
+
+    def _wake_for(self, moves: list[tuple]) -> None:
+        self._wake(min(self._slice_end(move) for move in moves))
+
+    def _wake(self, slice_end: int) -> None:
+        """One timer, at the earliest slice that waits."""
+        if self._timer.exists():
+            (registered,) = self._timer.get()
+            if registered <= slice_end:
+                return
+            self._handle.deleteTimer(registered)
+        self._handle.registerTimer(slice_end)
+        self._timer.update((slice_end,))
+
     def close(self) -> None:
         pass
 
 
+def _moves(frame: pd.DataFrame) -> Iterator[tuple]:
+    return map(_plain, frame[_FIELDS].itertuples(index=False, name=None))
+
+
 def _plain(move: tuple) -> tuple:
     moved_at, event_id, warehouse_id, delta, stock = (None if pd.isna(value) else value for value in move)
     return int(moved_at), event_id, warehouse_id, *(None if n is None else int(n) for n in (delta, stock))
