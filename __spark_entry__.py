@@ -602,7 +602,7 @@ def stream_archive(spark, sf_dir):
     return _archive_counts(spark, f"{root}/out")
 
 
-#: Files of a replay. An event goes up to a minute later than it happened, so neighbouring files overlap in time.
+#: Parts of a replay, each a micro-batch. An event goes up to a minute later than it happened, so neighbouring files overlap in time.
 REPLAY_FILES, REPLAY_DAYS = 6, 30
 
 
@@ -622,8 +622,9 @@ def _replayed(spark: SparkSession, sf_dir: str, root: str, late: bool = False, c
     for later, every in ((1, 3), (2, 5)) if copies else ():
         again = events.select("*", (part + later).alias("part")).filter(F.col("event_id") % every == 0)
         rows = rows.unionByName(again)
-    replay_files(rows.withColumn("__part", F.least("part", F.lit(REPLAY_FILES - 1))).drop("part"), REPLAY_FILES, f"{root}/replay")
-    return replayed(spark, f"{root}/replay", events.schema)
+    parted = rows.withColumn("__part", F.least("part", F.lit(REPLAY_FILES - 1))).drop("part")
+    files = replay_files(parted, REPLAY_FILES, f"{root}/replay")
+    return replayed(spark, f"{root}/replay", events.schema, files)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
@@ -690,8 +691,8 @@ def stream_episodes(spark, sf_dir):
     root = scratch_dir(spark, "stream-episodes")
     metrics = _exact_metrics(spark, sf_dir)
     day = F.floor((F.unix_seconds("window_start") - F.unix_seconds(F.lit(datetime(2024, 1, 1)).cast("timestamp"))) / (86400 * 5))
-    replay_files(metrics.withColumn("__part", day), REPLAY_FILES, f"{root}/metrics")
-    rows = replayed(spark, f"{root}/metrics", metrics.schema).withWatermark("window_start", "1 minute")
+    files = replay_files(metrics.withColumn("__part", day), REPLAY_FILES, f"{root}/metrics")
+    rows = replayed(spark, f"{root}/metrics", metrics.schema, files).withWatermark("window_start", "1 minute")
     found = insights.alert_episodes(insights.alerts(rows, insights.thresholds(spark, ALERT_RULES)), "10 minutes")
     _drain(found, f"{root}/out", f"{root}/checkpoint")
     return _plain(spark.read.parquet(f"{root}/out"))
