@@ -9,10 +9,12 @@ network to one row per task and group.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulse.config import JobConfig
@@ -100,12 +102,53 @@ def window_measures(events: DataFrame, config: JobConfig, metrics: Sequence[Metr
 
     keys = ", ".join(f"struct('{d}' AS dimension_key, {DIMENSIONS[d]} AS dimension_value)" for d in dimensions)
     keyed = events.select("*", F.inline(F.expr(f"array({keys})")))
+    if USERS_EXACT in users and _folds(config) and all(m == USERS_EXACT or MERGED_BY_SUM.match(m.aggregate) for m in users):
+        return _pane_measures(keyed, config, users, dimensions)
     window = F.window("event_ts", config.window_duration, config.slide_duration).alias("window")
     return keyed.groupBy(window, "dimension_key", "dimension_value").agg(
         *[_aggregate(measure, needed, dimensions) for measure, needed in users.items()]
     )
 
 
+# Aggregates whose value over several panes is the sum of the panes' values.
+MERGED_BY_SUM = re.compile(r"(count|count_if|sum)\((?!\s*distinct)[^()]*\)$", re.IGNORECASE)
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _folds(config: JobConfig) -> bool:
+    """Whether windows overlap and each is made of whole slides."""
+    spans = []
+    for text in (config.window_duration, config.slide_duration):
+        found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day|week)s?\s*", text, re.IGNORECASE)
+        if not found:
+            return False
+        spans.append(int(found[1]) * SECONDS[found[2].lower()])
+    duration, slide = spans
+    return slide > 0 and duration > slide and duration % slide == 0
+
+
+def _pane_measures(keyed: DataFrame, config: JobConfig, users: dict[Measure, set[str]], dimensions: Sequence[str]) -> DataFrame:
+    """Measures of overlapping windows from panes of one slide, users counted exactly.
+
+    A distinct count over the windows would hold every event once per window and dimension. Here an event is
+    held once, with its pane and user. A user counts in the windows of a pane that do not reach back to
+    that user's pane before, so the windows themselves only add up.
+    """
+    sums = [measure for measure in users if measure != USERS_EXACT]
+    counted = F.col("dimension_key").isin(sorted(users[USERS_EXACT]))
+    pane = F.window("event_ts", config.slide_duration).start.alias("pane")
+    panes = keyed.groupBy(pane, "dimension_key", "dimension_value", F.when(counted, F.col("user_id")).alias("user")).agg(
+        *[_aggregate(measure, users[measure], dimensions) for measure in sums]
+    )
+    of_user = Window.partitionBy("dimension_key", "dimension_value", "user").orderBy("pane")
+    window = F.window("pane", config.window_duration, config.slide_duration).alias("window")
+    placed = panes.withColumn("before", F.lag("pane").over(of_user)).select("*", window)
+    first = F.col("user").isNotNull() & (F.col("before").isNull() | (F.col("before") < F.col("window.start")))
+    return placed.groupBy("window", "dimension_key", "dimension_value").agg(
+        *[F.sum(measure.name).alias(measure.name) for measure in sums], F.count_if(first).alias(USERS_EXACT.name)
+    )
+
+
 def _aggregate(measure: Measure, needed: set[str], dimensions: Sequence[str]):
     conditions = []
     if needed != set(dimensions):

@@ -154,3 +154,33 @@ def test_properties(spark, bodies, rng):
     shuffled = list(bodies)
     rng.shuffle(shuffled)
     assert as_set(build_metrics(events(spark, *shuffled)).drop("processed_at")) == set(rows)
+
+
+def _exact_sliding(spark, config):
+    bodies = [event(at=minute(i, 30), user_id=u) for i, u in ((0, "a"), (0, "a"), (2, "a"), (9, "a"), (3, "b"), (4, None))]
+    bodies += [event("order_created", minute(i), {"total_amount": 1.5}, user_id="c") for i in (0, 1, 1)]
+    return build_metrics(events(spark, *bodies), config, M.METRICS_EXACT)
+
+
+def test_exact_users_of_overlapping_windows(spark):
+    found = _exact_sliding(spark, JobConfig(window_duration="3 minutes", slide_duration="1 minute"))
+    users = {k[0]: v for k, v in values(found, "active_users_per_minute").items()}
+    assert users == {"17:58": 2.0, "17:59": 2.0, "18:00": 2.0, "18:01": 3.0, "18:02": 2.0, "18:03": 1.0, "18:04": 0.0,
+                     "18:07": 1.0, "18:08": 1.0, "18:09": 1.0}
+    revenue = {k[0]: v for k, v in values(found, "revenue_per_minute").items()}
+    assert revenue == {"17:58": 1.5, "17:59": 4.5, "18:00": 4.5, "18:01": 3.0}
+
+
+def test_exact_users_of_overlapping_windows_hold_an_event_once(spark):
+    """No row is multiplied by its windows before the events are folded to panes."""
+    found = _exact_sliding(spark, JobConfig(window_duration="5 minutes", slide_duration="1 minute"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [i for i, line in enumerate(plan) if "Expand" in line]
+    folded = [i for i, line in enumerate(plan) if "Aggregate" in line]
+    assert len(folded) == 2 and windows and max(windows) < max(folded)
+
+
+def test_windows_not_made_of_whole_slides_are_counted_exactly(spark):
+    found = _exact_sliding(spark, JobConfig(window_duration="3 minutes", slide_duration="2 minutes"))
+    users = {k[0]: v for k, v in values(found, "active_users_per_minute").items()}
+    assert users["18:00"] == 2.0 and users["18:02"] == 2.0 and users["18:08"] == 1.0
