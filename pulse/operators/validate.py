@@ -78,8 +78,9 @@ def verdict_changes(judged: DataFrame, old: str, new: str) -> DataFrame:
 def _looked_up(records: DataFrame, versions: list[Contract]) -> tuple[DataFrame, list[str]]:
     """What the rules compare, and the names of the record's own columns.
 
-    The flat columns; ``fits``, whether each version finds nothing to say; and for records that
-    some version objects to, their fields as maps of variants.
+    The flat columns; ``fits``, whether each version finds nothing to say; and for well-formed records
+    that some version objects to, the JSON types of their fields by name. The values themselves are not
+    kept: each variant of a map carries the names of the whole record along, and every step copies them.
     """
     together = merged(versions)
     text = with_broker_columns(records).select(*broker_columns(), F.col("value").cast("string").alias("raw_json"))
@@ -102,13 +103,18 @@ def _looked_up(records: DataFrame, versions: list[Contract]) -> tuple[DataFrame,
     ).select("*", F.inline(F.array(document(_wide_schema(together)))))
     fits = F.array(*[F.coalesce(F.col("well_formed") & _fits(version), F.lit(False)) for version in versions])
     judged = once(decoded, "fits", fits)
-    odd = once(judged, "envelope_map", F.when(F.array_contains("fits", False), document("map<string,variant>")))
-    payload = once(odd, "found_payload", F.try_element_at("envelope_map", F.lit("payload")))
-    opened = once(payload, "payload_map", F.try_variant_get("found_payload", "$", "map<string,variant>"))
+
+    def kinds(path: str) -> Column:
+        found = F.try_variant_get("parsed", path, "map<string,variant>")
+        return F.when(F.col("well_formed") & F.array_contains("fits", False),
+                      F.transform_values(found, lambda _, value: F.schema_of_variant(value)))
+
+    odd = F.struct(kinds("$[0]").alias("envelope_kinds"), kinds("$[0].payload").alias("payload_kinds"))
+    opened = judged.select("*", F.inline(F.array(odd)))
     names = text.columns
     return opened.select(
         *names,
-        "well_formed", "fits", "envelope_map", "found_payload", "payload_map",
+        "well_formed", "fits", "envelope_kinds", "payload_kinds",
         *[F.col(f.name) for f in together.envelope],
         *[_declared(f, F.col("payload")[f.name]).alias(f.name) for f in together.payload_fields],
     ), names
@@ -130,9 +136,9 @@ def violation_counts(checked: DataFrame) -> DataFrame:
 
 def violations(contract: Contract, fits: Column) -> Column:
     """Array of reasons, over the columns that `_looked_up` gives; none where the record ``fits``."""
-    keys = F.map_keys("envelope_map")
+    keys = F.map_keys("envelope_kinds")
     reasons = F.concat(
-        F.array(*[field_violation(f, "envelope_map") for f in contract.envelope]),
+        F.array(*[field_violation(f, "envelope_kinds") for f in contract.envelope]),
         _extra_keys(keys, [*_names(contract.envelope), "payload"]),
         payload_violations(contract),
     )
@@ -143,7 +149,7 @@ def violations(contract: Contract, fits: Column) -> Column:
         F.when(fits, _none())
         .when(~F.coalesce(has_content(F.col("raw_json")), F.lit(False)), _one("empty_value"))
         .when(~F.col("well_formed"), _one("malformed_json"))
-        .when(F.col("envelope_map").isNotNull(), reasons)
+        .when(F.col("envelope_kinds").isNotNull(), reasons)
         .otherwise(_one("not_an_object"))
     )
 
@@ -151,13 +157,13 @@ def violations(contract: Contract, fits: Column) -> Column:
 def payload_violations(contract: Contract) -> Column:
     """Reasons within the payload, by the rules of the record's own event type."""
     everywhere = _names(contract.payload_fields)
-    keys = F.map_keys("payload_map")
-    reasons = F.when(F.col("found_payload").isNull(), _one("missing:payload"))
-    reasons = reasons.when(F.col("payload_map").isNull(), _one("type:payload"))
+    keys = F.map_keys("payload_kinds")
+    reasons = F.when(F.try_element_at("envelope_kinds", F.lit("payload")).isNull(), _one("missing:payload"))
+    reasons = reasons.when(F.col("payload_kinds").isNull(), _one("type:payload"))
     for event_type, fields in contract.payloads.items():
         own = _names(fields)
         of_type = F.concat(
-            F.array(*[field_violation(f, "payload_map") for f in fields]),
+            F.array(*[field_violation(f, "payload_kinds") for f in fields]),
             _extra_keys(keys, own, [name for name in everywhere if name not in own]),
         )
         reasons = reasons.when(F.col("event_type") == event_type, of_type)
@@ -165,8 +171,8 @@ def payload_violations(contract: Contract) -> Column:
 
 
 def field_violation(field: Field, place: str) -> Column:
-    """The first rule the field breaks, or null; ``place`` is the map that it stands in."""
-    kind, value = F.schema_of_variant(F.try_element_at(place, F.lit(field.name))), F.col(field.name)
+    """The first rule the field breaks, or null; ``place`` is the map of JSON types that it stands in."""
+    kind, value = F.try_element_at(place, F.lit(field.name)), F.col(field.name)
     broken = F.when(kind.isNull(), F.lit(f"missing:{field.name}") if field.required else F.lit(None))
     broken = broken.when(~_kind_matches(field.kind, kind), F.lit(f"type:{field.name}"))
     if field.kind == "integer":

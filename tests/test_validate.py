@@ -7,7 +7,7 @@ from builders import PAYLOADS, event, records, text
 from conftest import SF_DIR, SMALL_DIR
 from pulse.contract import EVENT_CONTRACT, EVENT_TYPES, Field
 from pulse.operators.parse import parse_events
-from pulse.operators.validate import apply_contract_defaults, canonical_times, check_contract, split_by_contract
+from pulse.operators.validate import _looked_up, apply_contract_defaults, canonical_times, check_contract, split_by_contract
 from testkit.adapter import event_records, read_events
 from testkit.faults import faulty_records
 
@@ -139,3 +139,9 @@ def test_defaults_apply_to_their_own_type_only(spark):
 )
 def test_canonical_times(spark, given, canonical):
     assert canonical_times(parse_events(records(spark, event(at=given)))).first().event_time == canonical
+
+
+def test_no_variants_are_carried_to_the_rules(spark):
+    """Each variant of a map holds the names of the whole record, and every step would copy them."""
+    looked_up, _ = _looked_up(records(spark, text(event(extra=1))), [EVENT_CONTRACT])
+    assert not [kind for _, kind in looked_up.dtypes if "variant" in kind]
