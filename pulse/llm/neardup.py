@@ -16,9 +16,12 @@ the text that others derive from stands out. Nodes without a link go on in stric
 bands of ``STRICT_ROWS`` samples that texts of middling similarity rarely share: there one of
 them for each band, and then each that is left, is verified against all others of its bands. At
 last every pair of a band whose nodes lie in different components by then is verified, so no
-link between two nodes of a band is missing where it would join classes. Two exact bounds rule
+link between two nodes of a band is missing where it would join classes. Three exact bounds rule
 pairs out before: the distance ``1 - similarity`` is a metric, so distances to a common
-hub may not differ too much, and shingles that one node alone has are shared with no other.
+hub may not differ too much; shingles that one node alone has are shared with no other; and each
+bit that differs between two texts' parity marks, one bit flipped by each shingle of a text, stands for
+a shingle that one of them has more often. They are part of the joins' conditions, so the pairs of
+a large group of texts just below the threshold are neither moved nor verified.
 Verified pairs are links; classes are their connected components, found by label propagation on
 tables in the shared folder.
 
@@ -31,6 +34,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 STRICT_BANDS, STRICT_ROWS = 32, 10
 IDF_FLOOR = 0.9
+#: Words of 64 parity bits of a text; texts of many more shingles than bits are told apart by verification alone.
+MARK_WORDS = 32
 
 _TABLE_BITS = 16
 _random = np.random.default_rng(19970402)
@@ -112,6 +119,18 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return shared / (total - shared) if total else 0.0
 
 
+def parity_marks(row: np.ndarray, hashes: np.ndarray, tf: np.ndarray, rows: int) -> np.ndarray:
+    """``MARK_WORDS`` numbers for each row: every occurrence of a shingle flips one bit."""
+    before = np.repeat(np.cumsum(tf) - tf, tf)
+    flips = mix(np.repeat(hashes, tf) + mix((np.arange(len(before)) - before).astype(np.uint64)))
+    bits = np.repeat(row, tf) * (MARK_WORDS * 64) + (flips % np.uint64(MARK_WORDS * 64)).astype(np.int64)
+    places, times = np.unique(bits, return_counts=True)
+    odd = places[times % 2 == 1]
+    marks = np.zeros(rows * MARK_WORDS, np.uint64)
+    np.bitwise_or.at(marks, odd >> 6, np.uint64(1) << (odd & 63).astype(np.uint64))
+    return marks.view(np.int64).reshape(rows, MARK_WORDS)
+
+
 # ---- candidates and links ----------------------------------------------------------------------
 
 
@@ -234,9 +253,10 @@ def _several_labels(bands: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _bounds(checked: DataFrame, texts: DataFrame, sketch: Sketch, documents: int) -> DataFrame:
-    """``node, hub, to_hub, total, common`` of the texts: the most similar hub, all weight and that of shingles not its own."""
+    """``node, hub, to_hub, total, common, marks`` of the texts: the most similar hub, all weight, that of shingles not its own, parity."""
     shared = texts.sparkSession.sparkContext.broadcast((sketch.cells, documents))
-    columns = ["node", "high", "low", "hash", "weight"]
+    columns = ["node", "high", "low", "hash", "weight", "marks"]
+    kind = pa.list_(pa.int64())
 
     def weighed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each shingle, and one with the node for the whole text."""
@@ -247,22 +267,24 @@ def _bounds(checked: DataFrame, texts: DataFrame, sketch: Sketch, documents: int
             for start, stop, row, value, tf in weighted_shingles(batch.column(1)):
                 weight = weights(value, tf, sketch, documents).astype(float)
                 total = np.bincount(row, weight, stop - start)
-                for nodes, half, hashes, own in (
-                    (pa.nulls(len(row), pa.binary()), halves[row + start], pa.array(value.view(np.int64)), weight),
-                    (batch.column(0).slice(start, stop - start), halves[start:stop], pa.nulls(stop - start, pa.int64()), total),
+                ends = pa.array(np.arange(0, (stop - start + 1) * MARK_WORDS, MARK_WORDS, dtype=np.int32))
+                marks = pa.ListArray.from_arrays(ends, pa.array(parity_marks(row, value, tf, stop - start).ravel()))
+                for nodes, half, hashes, own, mark in (
+                    (pa.nulls(len(row), pa.binary()), halves[row + start], pa.array(value.view(np.int64)), weight, pa.nulls(len(row), kind)),
+                    (batch.column(0).slice(start, stop - start), halves[start:stop], pa.nulls(stop - start, pa.int64()), total, marks),
                 ):
                     yield pa.RecordBatch.from_arrays(
-                        [nodes, *(pa.array(np.ascontiguousarray(half[:, i])) for i in range(2)), hashes, pa.array(own)], columns)
+                        [nodes, *(pa.array(np.ascontiguousarray(half[:, i])) for i in range(2)), hashes, pa.array(own), mark], columns)
 
     both = written(texts.select("node", "text").mapInArrow(
-        weighed, "node binary, high long, low long, hash long, weight double"), "weights")
+        weighed, "node binary, high long, low long, hash long, weight double, marks array<long>"), "weights")
     # A shingle that is counted once has the one row whose values are the smallest.
     once = both.filter("hash IS NOT NULL").groupBy("hash").agg(
         F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in ("high", "low", "weight"))).filter("n = 1")
     own = once.groupBy("high", "low").agg(F.sum("weight").alias("own"))
-    totals = both.filter("node IS NOT NULL").select("node", "high", "low", F.col("weight").alias("total"))
+    totals = both.filter("node IS NOT NULL").select("node", "high", "low", F.col("weight").alias("total"), "marks")
     common = totals.join(own, ["high", "low"], "left").select(
-        "node", "total", (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("common"))
+        "node", "total", (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("common"), "marks")
     main = checked.groupBy("node").agg(F.max_by("leader", "similarity").alias("hub"), F.max("similarity").alias("to_hub"))
     self_ = checked.select(F.col("leader").alias("node"), F.col("leader").alias("hub"), F.lit(1.0).alias("to_hub")).distinct()
     return common.join(main.unionByName(self_.join(main, "node", "left_anti")), "node", "left")
@@ -272,8 +294,11 @@ def _possible(threshold: float) -> Column:
     """Whether the bounds of ``a`` and ``b`` leave the similarity open."""
     same_hub = F.coalesce(F.col("a.hub") == F.col("b.hub"), F.lit(False))
     apart = same_hub & (F.abs(F.col("a.to_hub") - F.col("b.to_hub")) > 1 - threshold + 1e-6)
-    most = F.least("a.common", "b.common") * (1 + threshold) >= (F.col("a.total") + F.col("b.total")) * (threshold - 1e-6)
-    return ~apart & most
+    total = F.col("a.total") + F.col("b.total")
+    most = F.least("a.common", "b.common") * (1 + threshold) >= total * (threshold - 1e-6)
+    # An occurrence weighs IDF_FLOOR at least; similar texts differ in (1 - threshold) / (1 + threshold) of their weight at most.
+    differing = reduce(add, (F.bit_count(F.col("a.marks")[i].bitwiseXOR(F.col("b.marks")[i])) for i in range(MARK_WORDS)))
+    return ~apart & most & (differing * (IDF_FLOOR * (1 + threshold)) <= total * (1 - threshold + 1e-6))
 
 
 def _unordered(a: str, b: str) -> list[Column]:

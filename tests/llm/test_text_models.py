@@ -223,6 +223,43 @@ def test_near_duplicates_link_linked_nodes_of_different_classes(spark, monkeypat
     assert sorted(r["doc_id"] for r in keep_one_of_each(docs).collect()) == [0, 4]
 
 
+def test_bounds_rule_out_most_pairs_of_a_group_below_the_threshold(spark):
+    """Texts made of the lines of one, most of which no two share enough of; lines are said twice at times."""
+    rng = random.Random(21)
+    lines = [sentence(rng, 12) for _ in range(40)]
+    texts = ["\n".join(x for x in lines for _ in range(rng.choice((1, 1, 2))) if rng.random() < 0.85) for _ in range(60)]
+    texts += [texts[0] + "\nand some more words here", texts[1] + "\n" + lines[3]]
+    names = table(spark, texts).select(neardup._node("text"), "text", "doc_id")
+    docs = names.select("node", "text")
+    cells = np.zeros((2, 1 << 18), np.int64)
+    cells[:] = 10
+    sketch = Sketch(cells)
+    sets = []
+    for t in texts:
+        data, offsets = text_buffer(pa.array([t]))
+        _, value, tf = distinct(*shingles(data, offsets))
+        sets.append((value, neardup.weights(value, tf, sketch, 100)))
+    nobody = spark.createDataFrame([], "node binary, leader binary, similarity double")
+    bounds = neardup._bounds(nobody, docs, sketch, 100).join(names.select("node", "doc_id"), "node")
+    met = bounds.alias("a").join(bounds.alias("b"), F.col("a.doc_id") < F.col("b.doc_id"))
+    left = {tuple(r) for r in met.filter(neardup._possible(0.8)).select("a.doc_id", "b.doc_id").collect()}
+    n = len(texts)
+    similar = {(i, j) for i in range(n) for j in range(i + 1, n) if weighted_jaccard(sets[i], sets[j]) >= 0.8}
+    assert similar and similar <= left and len(left) <= len(similar) + 30
+
+
+def test_parity_marks_count_no_more_than_what_differs():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 50, 5000):
+        hashes = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        a, b = rng.integers(0, 4, len(hashes)), rng.integers(0, 4, len(hashes))
+        row = np.repeat([0, 2], [len(hashes)] * 2)  # a row without shingles between them
+        marks = neardup.parity_marks(row, np.concatenate([hashes, hashes]), np.concatenate([a, b]), 3)
+        assert marks.shape == (3, neardup.MARK_WORDS) and not marks[1].any()
+        differing = int(np.bitwise_count((marks[0] ^ marks[2]).view(np.uint64)).sum())
+        assert differing <= np.abs(a - b).sum() and (n != 50 or differing > 0.8 * np.abs(a - b).sum())
+
+
 def test_one_of_each_class_where_classes_share_a_key(spark):
     texts = ["first text without a key", "second one, of other words", "alpha beta gamma", "delta epsilon", "delta epsilon", "zeta eta"]
     docs = table(spark, texts, [None, None, 7, 7, 7, 8])
