@@ -8,8 +8,10 @@ Equal sets are found by grouping on 128 bits, two independent hashes of the word
 all lines (counts from a sketch that every shingle enters, ties by hash). Two lines of
 the needed similarity share a token among the first ``n - ceil(threshold * n) + 1`` of each, so
 only these prefixes are dealt out by token. What meets there passes the length bound and the
-positional bound (what the two orders can still have in common after the token) and is
-then verified on the whole lines. Tokens that only one line has are dropped on arrival.
+positional bound (what the two orders can still have in common after the token) and the bound of 64 parity bits,
+one of which each token of a line flips (lines differ in as many tokens as bits at least), and is
+then verified on the whole lines. Tokens that only one line has, and lines that the bounds leave no other of
+a token with at most ``SMALL_GROUP`` lines, are dropped on arrival.
 
 The lines of a token are ranked by position. Each is compared with the first one, those
 that matched nothing with the next fifteen, and those that still have no match with all earlier
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm.membership import LAST_KEY, contained, hash_keys, key_numbers, maybe_member, members
 from pulse.llm.shared import numbered, workspace, written
-from pulse.llm.shingles import Sketch, added_up, chunks, distinct, distinct_tokens, mix, shingles, text_buffer
+from pulse.llm.shingles import Held, Sketch, added_up, chunks, distinct, distinct_tokens, mix, shingles, shingles_by, text_buffer
 
 THRESHOLD = 0.8
 #: Prefix entries that a task holds before it deals them out.
@@ -91,17 +93,18 @@ def line_names(own: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     They come from two independent hashes of the words, 64 bits each.
     """
-    line, value = shingles(own, cuts)
-    second = shingles(own, cuts, which=1)[1]
+    line, (value, second) = shingles_by(own, cuts, (0, 1))
     short = (line.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
-    order = np.argsort(short)
-    same, differs = short[order[1:]] == short[order[:-1]], value[order[1:]] != value[order[:-1]]
-    if (same & differs).any():
-        order = np.lexsort((value, line))
-    line, value, second = line[order], value[order], second[order]
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (value[1:] != value[:-1])
-    line, value, second = line[new], value[new], second[new]
+    short.sort()
+    doubtful = np.unique(short[1:][short[1:] == short[:-1]] >> np.uint64(44)).astype(np.int64)
+    if len(doubtful):  # only lines that say something twice are sorted by whole values
+        among = np.zeros(len(cuts) - 1, bool)
+        among[doubtful] = True
+        at = np.flatnonzero(among[line])
+        at = at[np.lexsort((value[at], line[at]))]
+        new = np.ones(len(line), bool)
+        new[at[1:]] = (line[at[1:]] != line[at[:-1]]) | (value[at[1:]] != value[at[:-1]])
+        line, value, second = line[new], value[new], second[new]
     if not len(line):
         return line, value, second, value
     starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
@@ -124,12 +127,12 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
     columns = ["name1", "name2", "key", "body", "line", "again"]
 
     def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch()
+        sketch, held = Sketch(), Held()
         for batch in batches:
             keys, bodies = key_numbers(batch.column(0)), key_numbers(batch.column(2))
             for row, number, own, cuts in line_runs(batch.column(1)):
                 at, one, two, value = line_names(own, cuts)
-                sketch.add(value)
+                held.add(value, sketch)
                 order = np.lexsort((at, one, row[at]))
                 again = np.zeros(len(at), bool)
                 a, b = order[1:], order[:-1]
@@ -138,6 +141,7 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, Sketch]:
                     [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys[row[at]]), pa.array(bodies[row[at]]),
                      pa.array(number[at].astype(np.int32)), pa.array(again),
                      pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], [*columns, "slice", "cells"])
+        held.flush(sketch)
         for part in sketch.slices():
             empty = [pa.nulls(len(part), t) for t in (*[pa.int64()] * 4, pa.int32(), pa.bool_())]
             yield pa.RecordBatch.from_arrays([*empty, *part.columns], [*columns, "slice", "cells"])
@@ -155,7 +159,12 @@ def needed(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(n * threshold - 1e-9).astype(np.int64)
 
 
-_ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("body", "<i8"), ("line", "<i4"), ("n", "<i4"), ("place", "<i4")])
+_ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("body", "<i8"), ("line", "<i4"), ("n", "<i4"), ("place", "<i4"),
+                   ("mark", "<u8")])
+#: What travels besides the key.
+FIELDS = ("body", "line", "n", "place", "token", "name", "mark")
+#: Lines of a token that are all compared by their bounds on arrival.
+SMALL_GROUP = 64
 
 
 def prefix_entries(row, number, line, value, keys, bodies, sketch: Sketch, threshold: float) -> np.ndarray:
@@ -165,36 +174,87 @@ def prefix_entries(row, number, line, value, keys, bodies, sketch: Sketch, thres
     order = np.argsort(line * 64 + common, kind="stable")
     line, value = line[order], value[order]
     at, sizes, name = set_names(line, value)
+    mark = parity_marks(line, value)
     place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = place < np.repeat(sizes - needed(sizes, threshold) + 1, sizes)
     entries = np.empty(int(inside.sum()), _ENTRY)
     for field, values in (("token", value), ("name", np.repeat(name, sizes)), ("key", np.repeat(keys[row[at]], sizes)),
                           ("body", np.repeat(bodies[row[at]], sizes)),
-                          ("line", np.repeat(number[at], sizes)), ("n", np.repeat(sizes, sizes)), ("place", place)):
+                          ("line", np.repeat(number[at], sizes)), ("n", np.repeat(sizes, sizes)), ("place", place), ("mark", np.repeat(mark, sizes))):
         entries[field] = values[inside]
     return entries
 
 
+def parity_marks(line: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """64 bits for each line that has tokens, each token flipping one: sets differ in as many tokens as marks in bits at least."""
+    starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+    flips = np.uint64(1) << (value >> np.uint64(58))
+    return np.bitwise_xor.reduceat(flips, starts) if len(starts) else flips
+
+
 def first_of_each(entries: np.ndarray) -> np.ndarray:
-    """One entry per token and set, the earliest, sorted by token and name."""
-    order = np.lexsort((entries["line"], entries["body"], entries["key"], entries["name"], entries["token"]))
-    entries = entries[order]
-    same = (entries["token"][1:] == entries["token"][:-1]) & (entries["name"][1:] == entries["name"][:-1])
-    return entries[np.concatenate([[True], ~same])] if len(entries) else entries
+    """One entry per token and set, the earliest, in the order they have."""
+    named = mix(entries["token"] + mix(entries["name"]))
+    order = np.argsort(named)
+    named = named[order]
+    same = named[1:] == named[:-1]
+    if not same.any():
+        return entries
+    several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    at = order[several]
+    some = entries[at]
+    sorted_ = np.lexsort((some["line"], some["body"], some["key"], some["name"], some["token"]))
+    at, some = at[sorted_], some[sorted_]
+    keep = np.ones(len(entries), bool)
+    keep[at[1:]] = (some["token"][1:] != some["token"][:-1]) | (some["name"][1:] != some["name"][:-1])
+    return entries[keep]
+
+
+def with_company(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(entries, rank, size of the group)`` of tokens that several have, by token, then in the order of lines."""
+    order = np.argsort(entries["token"])
+    token = entries["token"][order]
+    new = np.ones(len(token), bool)
+    new[1:] = token[1:] != token[:-1]
+    starts = np.flatnonzero(new)
+    counts = np.diff(np.append(starts, len(token)))
+    rank, counts = np.arange(len(token)) - np.repeat(starts, counts), np.repeat(counts, counts)
+    several = counts > 1
+    entries = entries[order[several]]
+    order = np.lexsort((entries["line"], entries["body"], entries["key"], entries["token"]))
+    return entries[order], rank[several], counts[several]
+
+
+def may_match(entries: np.ndarray, rank: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the bounds of `possible` leave an entry any other of its token; in larger groups nothing is ruled out."""
+    found = counts > SMALL_GROUP
+    after = (entries["n"] - entries["place"]).astype(np.int64)
+    n, mark = entries["n"].astype(np.int64), np.ascontiguousarray(entries["mark"])
+    a = np.flatnonzero(~found)
+    for step in range(1, SMALL_GROUP):
+        a = a[rank[a] + step < counts[a]]
+        if not len(a):
+            break
+        b = a + step
+        both = n[a] + n[b]
+        overlap = np.ceil(both * (threshold / (1 + threshold)) - 1e-9)
+        open_ = (np.minimum(n[a], n[b]) >= np.maximum(n[a], n[b]) * threshold - 1e-9) & (np.minimum(after[a], after[b]) >= overlap)
+        open_ &= np.bitwise_count(mark[a] ^ mark[b]) <= both - 2 * overlap
+        found[a[open_]] = found[b[open_]] = True
+    return found
 
 
 def pack_entries(entries: np.ndarray) -> bytes:
-    """Column by column and compressed; positions compress well, hashes do not."""
-    entries = entries[np.lexsort((entries["place"], entries["line"], entries["body"], entries["key"]))]
+    """Column by column and compressed; positions, which are in the order of the documents, compress well, hashes do not."""
     parts = [np.diff(entries["key"], prepend=np.int64(0)).tobytes()]
-    parts += [np.ascontiguousarray(entries[f]).tobytes() for f in ("body", "line", "n", "place", "token", "name")]
+    parts += [np.ascontiguousarray(entries[f]).tobytes() for f in FIELDS]
     return b"".join(len(c).to_bytes(4, "little") + c for c in
                     (pa.compress(p, codec="zstd", asbytes=True) for p in parts))
 
 
 def unpack_entries(packed: bytes, count: int) -> np.ndarray:
     entries, at = np.empty(count, _ENTRY), 0
-    for field in ("key", "body", "line", "n", "place", "token", "name"):
+    for field in ("key", *FIELDS):
         size = int.from_bytes(packed[at : at + 4], "little")
         kind = _ENTRY[field]
         plain = pa.decompress(packed[at + 4 : at + 4 + size], decompressed_size=count * kind.itemsize, codec="zstd", asbytes=True)
@@ -205,9 +265,10 @@ def unpack_entries(packed: bytes, count: int) -> np.ndarray:
 
 
 def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
-    """``token, key, body, line, n, place`` of the first line of each set, for prefix tokens that several sets have.
+    """``token, key, body, line, n, place, mark, rank`` of the first line of each set, for prefix tokens that several sets have.
 
-    Entries travel packed by bucket, a few large rows instead of many small ones.
+    Entries travel packed by bucket, a few large rows instead of many small ones. Those that the bounds leave no
+    other line are dropped on arrival; ``rank`` counts them, and is -1 for hot tokens, whose lines lie in many buckets.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sketch.cells)
     buckets = 1 + int(sketch.cells[0].sum()) // BUCKET_SHINGLES
@@ -229,7 +290,7 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
         hot = sketch.counts(entries["token"]) > HOT_TOKEN
         dealt_by = entries["token"] + np.where(hot, entries["name"], np.uint64(0))
         bucket = (mix(dealt_by) % np.uint64(buckets)).astype(np.int64) * 2 + hot
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 15 else bucket, kind="stable")
         numbers, starts = np.unique(bucket[order], return_index=True)
         groups = np.split(entries[order], starts[1:])
         return pa.RecordBatch.from_arrays(
@@ -240,22 +301,27 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
         arrived = [unpack_entries(p.as_py(), c.as_py()) for c, p in zip(table.column("count"), table.column("entries"))]
         entries = first_of_each(np.concatenate(arrived))
         if table.column("bucket")[0].as_py() % 2 == 0:  # a hot token has several lines for certain
-            starts = np.flatnonzero(np.concatenate([[True], entries["token"][1:] != entries["token"][:-1]]))
-            counts = np.diff(np.append(starts, len(entries)))
-            entries = entries[np.repeat(counts > 1, counts)]
+            entries, rank, counts = with_company(entries)
+            open_ = may_match(entries, rank, counts, threshold)
+            entries, rank = entries[open_], rank[open_]
+        else:
+            rank = np.full(len(entries), -1)
         return pa.table({"token": entries["token"].astype(np.int64), "key": entries["key"], "body": entries["body"],
-                         "line": entries["line"], "n": entries["n"], "place": entries["place"]})
+                         "line": entries["line"], "n": entries["n"], "place": entries["place"],
+                         "mark": entries["mark"].astype(np.int64), "rank": rank})
 
     packed_rows = docs.mapInArrow(dealt, "bucket long, count long, entries binary")
-    return packed_rows.groupBy("bucket").applyInArrow(joined, "token long, key long, body long, line int, n int, place int")
+    return packed_rows.groupBy("bucket").applyInArrow(
+        joined, "token long, key long, body long, line int, n int, place int, mark long, rank long")
 
 
 def possible(a: str, b: str, threshold: float) -> Column:
-    """Length and positional bound for two entries of one token."""
+    """Length and positional bound, and that of the marks, for two entries of one token."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
     overlap = F.ceil((n_a + n_b) * (threshold / (1 + threshold)) - 1e-9)
     after = F.least(n_a - F.col(f"{a}.place"), n_b - F.col(f"{b}.place"))
-    return (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold - 1e-9) & (after >= overlap)
+    differing = F.bit_count(F.col(f"{a}.mark").bitwiseXOR(F.col(f"{b}.mark")))
+    return (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold - 1e-9) & (after >= overlap) & (differing <= n_a + n_b - 2 * overlap)
 
 
 # ---- verification ------------------------------------------------------------------------------
@@ -320,8 +386,10 @@ def jaccard_at_least(a: pa.Array, b: pa.Array, threshold: float) -> np.ndarray:
 def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
     """``key, body, line, by_key, by_body, by_line``: lines that are similar to an earlier one of another set, with one such line."""
     found = written(shared_tokens(docs, sketch, threshold), "tokens")
-    ordered = written(found.repartitionByRange("token", *PLACE).sortWithinPartitions("token", *PLACE), "ranked")
-    ranked = written(numbered(ordered, "token", "rank"), "postings")
+    ranked, hot = found.filter("rank >= 0"), found.filter("rank < 0").drop("rank")
+    if hot.take(1):
+        ordered = written(hot.repartitionByRange("token", *PLACE).sortWithinPartitions("token", *PLACE), "ranked")
+        ranked = ranked.unionByName(written(numbered(ordered, "token", "rank"), "postings"))
     texts = written(line_texts(docs, ranked.select(*PLACE).distinct()), "lines")
     matches, open_, low, high = [], ranked, 0, 1
     while True:

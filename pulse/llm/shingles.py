@@ -12,6 +12,8 @@ SHINGLE_WORDS = 5
 #: Bytes of text that are worked on at once; a longer text is one piece of work.
 CHUNK_BYTES = 1 << 18
 SKETCH_BITS, SKETCH_ROWS, SLICE_CELLS = 18, 2, 1 << 13
+#: Values that a task holds before its sketch counts them.
+HELD_VALUES = 1 << 20
 SLICE_SCHEMA = "slice int, cells binary"
 
 _random = np.random.default_rng(20240229)
@@ -71,10 +73,8 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         row = min(stop, rows)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, hash)`` of every word, in order. A word never runs over a row's end."""
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and row, start and end of every word, in order. A word never runs over a row's end."""
     low = _BYTE[data]
     inside = low > 0
     first = np.zeros(len(data) + 1, bool)
@@ -83,30 +83,50 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, which: int = 0) -> tuple[
     starts = np.flatnonzero(inside & (~before | first[:-1]))
     after = np.concatenate([inside[1:], [False]])
     ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    power, inverse = _power_table(len(data) + 1, which)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_VALUE[which][low] * power[: len(data)], dtype=np.uint64)])
-    hashes = mix((total[ends] - total[starts]) * inverse[starts])
-    return np.searchsorted(offsets, starts, "right") - 1, hashes
+    return low, np.searchsorted(offsets, starts, "right") - 1, starts, ends
 
 
-def shingles(
-    data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS, which: int = 0
-) -> tuple[np.ndarray, np.ndarray]:
+def _word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    power, inverse = _power_table(len(low) + 1, which)
+    values = _BYTE_VALUE[which][low]
+    values *= power[: len(low)]
+    total = np.zeros(len(low) + 1, np.uint64)
+    np.cumsum(values, out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hash)`` of every run of ``size`` words; fewer words, but not none, are one shingle."""
-    row, word = word_hashes(data, offsets, which)
+    row, (value,) = shingles_by(data, offsets, (which,), size)
+    return row, value
+
+
+def shingles_by(data: np.ndarray, offsets: np.ndarray, hashes: Iterable[int], size: int = SHINGLE_WORDS) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The row of every shingle, and its values by each of the listed hashes."""
+    low, row, starts, ends = _words(data, offsets) if len(data) else (data, *[np.zeros(0, np.int64)] * 3)
     if not len(row):
-        return row, word
-    padded_row, padded = np.concatenate([row, np.full(size, -1)]), np.concatenate([word, np.zeros(size, np.uint64)])
-    n = len(row)
-    whole = padded_row[size - 1 : size - 1 + n] == row
-    count = np.bincount(row, minlength=len(offsets) - 1)
-    short = (count[row] < size) & (np.concatenate([[-1], row[:-1]]) != row)
-    start = np.flatnonzero(whole | short)
-    total = np.zeros(len(start), np.uint64)
-    for k in range(size):
-        part = padded[start + k] * _PLACE[which][k]
-        total += part if k == 0 else np.where(padded_row[start + k] == row[start], part, np.uint64(0))
-    return row[start], mix(total)
+        return row, [np.zeros(0, np.uint64) for _ in hashes]
+    n, count = len(row), np.bincount(row, minlength=len(offsets) - 1)
+    whole = np.zeros(n, bool)
+    whole[: max(n - size + 1, 0)] = row[size - 1 :] == row[: max(n - size + 1, 0)]
+    begins = np.concatenate([[True], row[1:] != row[:-1]])
+    start = np.flatnonzero(whole | (begins & (count[row] < size)))
+    short = np.flatnonzero(~whole[start])
+    of_short = start[short]
+    found = []
+    for which in hashes:
+        word, place = _word_hashes(low, starts, ends, which), _PLACE[which]
+        total = word * place[0]
+        for k in range(1, min(size, n)):
+            total[:-k] += word[k:] * place[k]
+        total = total[start]
+        own = word[of_short] * place[0]  # a short row has its own words only
+        for k in range(1, size - 1):
+            longer = np.flatnonzero(count[row[of_short]] > k)
+            own[longer] += word[of_short[longer] + k] * place[k]
+        total[short] = own
+        found.append(mix(total))
+    return row[start], found
 
 
 def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,14 +190,33 @@ class Sketch:
         return np.maximum(found, 1.0)
 
 
+class Held:
+    """Values on their way to a sketch, which takes long runs at less cost than short ones."""
+
+    def __init__(self) -> None:
+        self.values, self.size = [], 0
+
+    def add(self, values: np.ndarray, sketch: Sketch) -> None:
+        self.values.append(values)
+        self.size += len(values)
+        if self.size >= HELD_VALUES:
+            self.flush(sketch)
+
+    def flush(self, sketch: Sketch) -> None:
+        if self.size:
+            sketch.add(np.concatenate(self.values))
+        self.values, self.size = [], 0
+
+
 def sketch_of(rows: DataFrame, values_of) -> Sketch:
     """The sketch of all values that ``values_of(batch)`` yields, added up by Spark slice by slice."""
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch()
+        sketch, held = Sketch(), Held()
         for batch in batches:
             for values in values_of(batch):
-                sketch.add(values)
+                held.add(values, sketch)
+        held.flush(sketch)
         yield from sketch.slices()
 
     return added_up(rows.mapInArrow(counted, SLICE_SCHEMA))

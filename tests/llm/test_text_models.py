@@ -12,10 +12,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pulse.llm import neardup, quality, toxicity
+from pulse.llm import linededup, neardup, quality, toxicity
 from pulse.llm import queries as Q
 from pulse.llm.linededup import dedup_lines, drop_repeated_lines
 from pulse.llm.neardup import BANDS, ROWS, components, keep_one_of_each, near_duplicates, signatures, weighted_jaccard
+from pulse.llm.shared import workspace
 from pulse.llm.shingles import Sketch, chunks, distinct, shingles, text_buffer
 
 SMALL = "/root/testdata/sf0.001"
@@ -131,6 +132,57 @@ def test_line_dedup_edge_rows(spark):
     assert dedup_lines(docs.limit(0)).count() == 0 and drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_that_share_half_their_words_are_not_dealt_out(spark):
+    """Of many pairs of lines only those that the bounds leave open arrive as postings; whoever is similar does."""
+    rng = random.Random(17)
+    texts, similar = [], set()
+    for i in range(0, 400, 2):
+        base = sentence(rng, 30)
+        texts += [base, " ".join(base.split()[:18]) + " " + sentence(rng, 12) if i % 20 else base + " more"]
+        similar |= set() if i % 20 else {i, i + 1}
+    plain = table(spark, texts).select(F.col("doc_id").alias("key"), "text", F.xxhash64("text").alias("body"))
+    with workspace(spark):
+        sketch = linededup.occurrences(plain)[1]
+        postings = {r["key"] for r in linededup.shared_tokens(plain, sketch, 0.8).collect()}
+    assert postings == similar
+    found = {r["doc_id"]: r["removed_lines"] for r in dedup_lines(table(spark, texts)).collect()}
+    assert found == {i: [0] if i in similar and i % 2 else None for i in range(400)}
+
+
+def test_lines_of_tokens_dealt_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "HOT_TOKEN", 3)
+    rows = line_rows()[:60] + line_rows()[-3:]
+    found = dedup_lines(table(spark, [t for _, t in rows], [k for k, _ in rows])).collect()
+    gone = brute_lines(rows)
+    assert len(gone) > 100
+    assert all((r["removed_lines"] or []) == sorted(n for k, n in gone if k == r["doc_id"]) for r in found)
+
+
+def test_entries_that_may_match_by_bounds():
+    """In small groups exactly those that some other entry may match; in larger ones all."""
+    rng = np.random.default_rng(9)
+    entries = np.zeros(500, linededup._ENTRY)
+    entries["token"] = np.concatenate([rng.integers(0, 60, 400), np.full(100, 99)])
+    entries["name"], entries["key"] = np.arange(500), rng.permutation(500)
+    entries["n"], entries["place"] = rng.integers(5, 12, 500), rng.integers(0, 2, 500)
+    entries["mark"] = rng.integers(0, 1 << 4, 500)
+    kept, rank, counts = linededup.with_company(entries)
+    open_ = linededup.may_match(kept, rank, counts, 0.8)
+    assert open_[kept["token"] == 99].all() and 0 < open_.sum() < len(kept)
+    for token in range(60):
+        own = kept[kept["token"] == token]
+        assert rank[kept["token"] == token].tolist() == list(range(len(own))) and (np.diff(own["key"]) > 0).all()
+
+        def pair(a, b):
+            needed = math.ceil((a["n"] + b["n"]) * 0.8 / 1.8 - 1e-9)
+            return (min(a["n"], b["n"]) >= 0.8 * max(a["n"], b["n"]) - 1e-9
+                    and min(a["n"] - a["place"], b["n"] - b["place"]) >= needed
+                    and int(a["mark"] ^ b["mark"]).bit_count() <= a["n"] + b["n"] - 2 * needed)
+
+        expected = [any(pair(a, b) for j, b in enumerate(own) if j != i) for i, a in enumerate(own)]
+        assert open_[kept["token"] == token].tolist() == expected
+
+
 def test_short_lines_with_like_hashes_stay(spark):
     """The shingles of each pair agree in their first 44 bits."""
     texts = ["w4334664\nw7541184", "w6930488\nw8376416\nw4827717", "w7584642", "w4334664 "]
