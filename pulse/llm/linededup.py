@@ -192,6 +192,15 @@ def parity_marks(line: np.ndarray, value: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(flips, starts) if len(starts) else flips
 
 
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Whether a value is there more than once."""
+    order = np.argsort(values)
+    same = values[order[1:]] == values[order[:-1]]
+    found = np.zeros(len(values), bool)
+    found[order[1:][same]] = found[order[:-1][same]] = True
+    return found
+
+
 def first_of_each(entries: np.ndarray) -> np.ndarray:
     """One entry per token and set, the earliest, in the order they have."""
     named = mix(entries["token"] + mix(entries["name"]))
@@ -281,26 +290,31 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
                 held.append(prefix_entries(*lines, keys, bodies, sketch, threshold))
                 size += len(held[-1])
                 if size >= HELD_ENTRIES:
-                    yield packed(first_of_each(np.concatenate(held)), sketch)
-                    held, size = [], 0
+                    yield packed(held, sketch)
+                    size = 0
         if size:
-            yield packed(first_of_each(np.concatenate(held)), sketch)
+            yield packed(held, sketch)
 
-    def packed(entries: np.ndarray, sketch: Sketch) -> pa.RecordBatch:
+    def packed(held: list[np.ndarray], sketch: Sketch) -> pa.RecordBatch:
+        """Takes what is held, which is copied once for all and once bucket by bucket."""
+        entries = np.concatenate(held)
+        held.clear()
+        entries = first_of_each(entries)
         hot = sketch.counts(entries["token"]) > HOT_TOKEN
         dealt_by = entries["token"] + np.where(hot, entries["name"], np.uint64(0))
         bucket = (mix(dealt_by) % np.uint64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 15 else bucket, kind="stable")
         numbers, starts = np.unique(bucket[order], return_index=True)
-        groups = np.split(entries[order], starts[1:])
+        groups = np.split(order, starts[1:])
         return pa.RecordBatch.from_arrays(
             [pa.array(numbers), pa.array([len(g) for g in groups], pa.int64()),
-             pa.array([pack_entries(g) for g in groups], pa.binary())], ["bucket", "count", "entries"])
+             pa.array([pack_entries(entries[g]) for g in groups], pa.binary())], ["bucket", "count", "entries"])
 
     def joined(table: pa.Table) -> pa.Table:
         arrived = [unpack_entries(p.as_py(), c.as_py()) for c, p in zip(table.column("count"), table.column("entries"))]
-        entries = first_of_each(np.concatenate(arrived))
-        if table.column("bucket")[0].as_py() % 2 == 0:  # a hot token has several lines for certain
+        entries, even = np.concatenate(arrived), table.column("bucket")[0].as_py() % 2 == 0
+        entries = first_of_each(entries[repeated(entries["token"])] if even else entries)
+        if even:  # a hot token has several lines for certain
             entries, rank, counts = with_company(entries)
             open_ = may_match(entries, rank, counts, threshold)
             entries, rank = entries[open_], rank[open_]

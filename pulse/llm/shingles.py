@@ -13,7 +13,7 @@ SHINGLE_WORDS = 5
 CHUNK_BYTES = 1 << 18
 SKETCH_BITS, SKETCH_ROWS, SLICE_CELLS = 18, 2, 1 << 13
 #: Values that a task holds before its sketch counts them.
-HELD_VALUES = 1 << 20
+HELD_VALUES = 1 << 18
 SLICE_SCHEMA = "slice int, cells binary"
 
 _random = np.random.default_rng(20240229)
