@@ -22,7 +22,7 @@ Texts of lines to be verified, and documents that lose lines, are found by a joi
 fixed-size membership filter keeps most other documents out of the shuffle and drops none.
 
 Defined cases: the key is an integer, a null key counts as the last one; rows with equal key and
-text (``body``, its 64-bit hash) are copies of one document: a line's first occurrence stays in each;
+text (``body``, its 64-bit hash, or 0 where only one row has the key) are copies of one document: a line's first occurrence stays in each;
 rows with equal key and different texts are different documents, ordered by that hash; a null text stays null
 and has no lines; a document that loses every line has an empty text (or goes, see
 ``drop_repeated_lines``); an empty table gives an empty result; further columns are kept.
@@ -163,22 +163,28 @@ _ENTRY = np.dtype([("token", "<u8"), ("name", "<u8"), ("key", "<i8"), ("body", "
                    ("mark", "<u8")])
 #: What travels besides the key.
 FIELDS = ("body", "line", "n", "place", "token", "name", "mark")
+#: The bits of tokens and names that travel. Tokens that agree in them meet, which the comparison of whole lines sets right.
+SENT = np.uint64(0xFFFFFFFFFF000000)
+#: Bytes of a field that are left out, the lowest ones.
+UNSENT = {"token": 3, "name": 3}
 #: Lines of a token that are all compared by their bounds on arrival.
 SMALL_GROUP = 64
 
 
-def prefix_entries(row, number, line, value, keys, bodies, sketch: Sketch, threshold: float) -> np.ndarray:
-    """An ``_ENTRY`` for each token in the prefix of each line."""
+def prefix_entries(row, number, line, value, keys, bodies, sketch: Sketch, threshold: float, copied: np.ndarray | None) -> np.ndarray:
+    """An ``_ENTRY`` for each token in the prefix of each line. The last bit of its name says whether it has to travel."""
     # Counts by powers of two above their noise; equal classes keep the order of the hashes. The keys are nearly sorted.
     common = np.log2(1 + sketch.counts(value) / (8 * (sketch.noise() + 1))).astype(np.int64)
     order = np.argsort(line * 64 + common, kind="stable")
     line, value = line[order], value[order]
     at, sizes, name = set_names(line, value)
+    places = hash_keys(keys[row[at]], bodies[row[at]], number[at])
+    name = (name & SENT) + (np.uint64(1) if copied is None else contained(copied, places).astype(np.uint64))
     mark = parity_marks(line, value)
     place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = place < np.repeat(sizes - needed(sizes, threshold) + 1, sizes)
     entries = np.empty(int(inside.sum()), _ENTRY)
-    for field, values in (("token", value), ("name", np.repeat(name, sizes)), ("key", np.repeat(keys[row[at]], sizes)),
+    for field, values in (("token", value & SENT), ("name", np.repeat(name, sizes)), ("key", np.repeat(keys[row[at]], sizes)),
                           ("body", np.repeat(bodies[row[at]], sizes)),
                           ("line", np.repeat(number[at], sizes)), ("n", np.repeat(sizes, sizes)), ("place", place), ("mark", np.repeat(mark, sizes))):
         entries[field] = values[inside]
@@ -201,9 +207,19 @@ def repeated(values: np.ndarray) -> np.ndarray:
     return found
 
 
+def identity(entries: np.ndarray) -> np.ndarray:
+    """What tells sets apart: name, size and mark, or the place of a line whose name did not travel, as no other has its set."""
+    name = entries["name"] & SENT
+    found = mix(name + mix(entries["mark"] + entries["n"].astype(np.uint64)))
+    alone = np.flatnonzero(name == 0)
+    found[alone] = hash_keys(*(entries[c][alone] for c in PLACE))
+    return found
+
+
 def first_of_each(entries: np.ndarray) -> np.ndarray:
     """One entry per token and set, the earliest, in the order they have."""
-    named = mix(entries["token"] + mix(entries["name"]))
+    name = identity(entries)
+    named = mix(entries["token"] + name)
     order = np.argsort(named)
     named = named[order]
     same = named[1:] == named[:-1]
@@ -212,10 +228,10 @@ def first_of_each(entries: np.ndarray) -> np.ndarray:
     several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     at = order[several]
     some = entries[at]
-    sorted_ = np.lexsort((some["line"], some["body"], some["key"], some["name"], some["token"]))
+    sorted_ = np.lexsort((some["place"], some["line"], some["body"], some["key"], name[at], some["token"]))
     at, some = at[sorted_], some[sorted_]
-    keep = np.ones(len(entries), bool)
-    keep[at[1:]] = (some["token"][1:] != some["token"][:-1]) | (some["name"][1:] != some["name"][:-1])
+    name, keep = name[at], np.ones(len(entries), bool)
+    keep[at[1:]] = (some["token"][1:] != some["token"][:-1]) | (name[1:] != name[:-1])
     return entries[keep]
 
 
@@ -254,32 +270,39 @@ def may_match(entries: np.ndarray, rank: np.ndarray, counts: np.ndarray, thresho
 
 
 def pack_entries(entries: np.ndarray) -> bytes:
-    """Column by column and compressed; positions, which are in the order of the documents, compress well, hashes do not."""
-    parts = [np.diff(entries["key"], prepend=np.int64(0)).tobytes()]
-    parts += [np.ascontiguousarray(entries[f]).tobytes() for f in FIELDS]
-    return b"".join(len(c).to_bytes(4, "little") + c for c in
-                    (pa.compress(p, codec="zstd", asbytes=True) for p in parts))
+    """Column by column, a column byte by byte, and compressed.
+
+    Positions, which are in the order of the documents, and sizes compress well, hashes do not.
+    """
+    parts = []
+    for field in ("key", *FIELDS):
+        column = np.diff(entries["key"], prepend=np.int64(0)) if field == "key" else np.ascontiguousarray(entries[field])
+        planes = column.view(np.uint8).reshape(len(entries), -1).T[UNSENT.get(field, 0) :]
+        parts.append(pa.compress(planes.tobytes(), codec="zstd", asbytes=True))
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
 
 
 def unpack_entries(packed: bytes, count: int) -> np.ndarray:
     entries, at = np.empty(count, _ENTRY), 0
     for field in ("key", *FIELDS):
-        size = int.from_bytes(packed[at : at + 4], "little")
-        kind = _ENTRY[field]
-        plain = pa.decompress(packed[at + 4 : at + 4 + size], decompressed_size=count * kind.itemsize, codec="zstd", asbytes=True)
-        entries[field] = np.frombuffer(plain, kind)
+        size, kind, unsent = int.from_bytes(packed[at : at + 4], "little"), _ENTRY[field], UNSENT.get(field, 0)
+        sent = kind.itemsize - unsent
+        plain = pa.decompress(packed[at + 4 : at + 4 + size], decompressed_size=count * sent, codec="zstd", asbytes=True)
+        column = np.zeros((count, kind.itemsize), np.uint8)
+        column[:, unsent:] = np.frombuffer(plain, np.uint8).reshape(sent, count).T
+        entries[field] = column.view(kind).ravel()
         at += 4 + size
     entries["key"] = np.cumsum(entries["key"])
     return entries
 
 
-def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
-    """``token, key, body, line, n, place, mark, rank`` of the first line of each set, for prefix tokens that several sets have.
+def packed_entries(docs: DataFrame, sketch: Sketch, threshold: float, copied: np.ndarray | None = None) -> DataFrame:
+    """``bucket, count, entries`` of all prefixes: packed by bucket, a few large rows instead of many small ones.
 
-    Entries travel packed by bucket, a few large rows instead of many small ones. Those that the bounds leave no
-    other line are dropped on arrival; ``rank`` counts them, and is -1 for hot tokens, whose lines lie in many buckets.
+    ``copied`` is a filter of the places of all lines whose set another document has; the names of others do not travel.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sketch.cells)
+    listed = docs.sparkSession.sparkContext.broadcast(copied)
     buckets = 1 + int(sketch.cells[0].sum()) // BUCKET_SHINGLES
 
     def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +310,7 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
         for batch in batches:
             keys, bodies = key_numbers(batch.column(0)), key_numbers(batch.column(2))
             for lines in line_sets(batch.column(1)):
-                held.append(prefix_entries(*lines, keys, bodies, sketch, threshold))
+                held.append(prefix_entries(*lines, keys, bodies, sketch, threshold, listed.value))
                 size += len(held[-1])
                 if size >= HELD_ENTRIES:
                     yield packed(held, sketch)
@@ -301,7 +324,8 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
         held.clear()
         entries = first_of_each(entries)
         hot = sketch.counts(entries["token"]) > HOT_TOKEN
-        dealt_by = entries["token"] + np.where(hot, entries["name"], np.uint64(0))
+        entries["name"] = np.where(entries["name"] & np.uint64(1), entries["name"] & SENT, np.uint64(0))
+        dealt_by = entries["token"] + np.where(hot, identity(entries), np.uint64(0))
         bucket = (mix(dealt_by) % np.uint64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 15 else bucket, kind="stable")
         numbers, starts = np.unique(bucket[order], return_index=True)
@@ -310,6 +334,16 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
             [pa.array(numbers), pa.array([len(g) for g in groups], pa.int64()),
              pa.array([pack_entries(entries[g]) for g in groups], pa.binary())], ["bucket", "count", "entries"])
 
+    return docs.mapInArrow(dealt, "bucket long, count long, entries binary")
+
+
+def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float, copied: np.ndarray | None = None) -> DataFrame:
+    """``token, key, body, line, n, place, mark, rank`` of the first line of each set, for prefix tokens that several sets have.
+
+    Entries that the bounds leave no other line are dropped on arrival; ``rank`` counts the lines of a
+    token, and is -1 for hot tokens, whose lines lie in many buckets.
+    """
+
     def joined(table: pa.Table) -> pa.Table:
         arrived = [unpack_entries(p.as_py(), c.as_py()) for c, p in zip(table.column("count"), table.column("entries"))]
         entries, even = np.concatenate(arrived), table.column("bucket")[0].as_py() % 2 == 0
@@ -324,8 +358,7 @@ def shared_tokens(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
                          "line": entries["line"], "n": entries["n"], "place": entries["place"],
                          "mark": entries["mark"].astype(np.int64), "rank": rank})
 
-    packed_rows = docs.mapInArrow(dealt, "bucket long, count long, entries binary")
-    return packed_rows.groupBy("bucket").applyInArrow(
+    return packed_entries(docs, sketch, threshold, copied).groupBy("bucket").applyInArrow(
         joined, "token long, key long, body long, line int, n int, place int, mark long, rank long")
 
 
@@ -342,7 +375,7 @@ def possible(a: str, b: str, threshold: float) -> Column:
 
 
 def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``key, body, line, text`` of the listed ``key, body, line``; ``docs`` has ``key, text, body``."""
+    """``key, body, line, text`` of the listed ``key, body, line`` and a few more, twice if rows are; ``docs`` has ``key, text, body``."""
     shared = docs.sparkSession.sparkContext.broadcast(members(lines.select(*PLACE)))
 
     def picked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,8 +393,7 @@ def line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
                     [pa.array(keys[row[at] + start]), pa.array(bodies[row[at] + start]),
                      pa.array(number[at].astype(np.int32)), pa.array(texts, pa.string())], [*PLACE, "text"])
 
-    found = docs.mapInArrow(picked, "key long, body long, line int, text string")
-    return found.join(lines, PLACE, "left_semi").dropDuplicates(PLACE)
+    return docs.mapInArrow(picked, "key long, body long, line int, text string")
 
 
 def verify_lines(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -375,8 +407,13 @@ def verify_lines(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFr
             keep = pa.array(similar)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in range(6)], [*PLACE, *BY_PLACE])
 
-    by = texts.toDF(*BY_PLACE, "by_text")
-    both = pairs.join(texts, PLACE).join(by, BY_PLACE)
+    def named(places: list[str]) -> DataFrame:  # most texts are in no pair of the round
+        listed = members(pairs.select(F.xxhash64(*places)))
+        return texts.filter(maybe_member(listed, F.xxhash64(*PLACE), texts)).dropDuplicates(PLACE)
+
+    pairs = written(pairs, "pairs")
+    by = named(BY_PLACE).toDF(*BY_PLACE, "by_text")
+    both = pairs.join(named(PLACE), PLACE).join(by, BY_PLACE)
     return both.select(*PLACE, *BY_PLACE, "text", "by_text").mapInArrow(
         compared, "key long, body long, line int, by_key long, by_body long, by_line int")
 
@@ -397,9 +434,9 @@ def jaccard_at_least(a: pa.Array, b: pa.Array, threshold: float) -> np.ndarray:
 # ---- operator ----------------------------------------------------------------------------------
 
 
-def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFrame:
+def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float, copied: np.ndarray) -> DataFrame:
     """``key, body, line, by_key, by_body, by_line``: lines that are similar to an earlier one of another set, with one such line."""
-    found = written(shared_tokens(docs, sketch, threshold), "tokens")
+    found = written(shared_tokens(docs, sketch, threshold, copied), "tokens")
     ranked, hot = found.filter("rank >= 0"), found.filter("rank < 0").drop("rank")
     if hot.take(1):
         ordered = written(hot.repartitionByRange("token", *PLACE).sortWithinPartitions("token", *PLACE), "ranked")
@@ -420,11 +457,21 @@ def similar_lines(docs: DataFrame, sketch: Sketch, threshold: float) -> DataFram
         low, high = high, NEXT_RANKS if high == 1 else 1 << 62
 
 
+def row_place(docs: DataFrame, key: str, text: str) -> tuple[Column, Column]:
+    """The key as a number, and the body: the hash of the text where several rows may have the key, or else 0."""
+    number = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
+    several = members(docs.groupBy(number.alias("key")).count().filter("count > 1").select("key"))
+    none, hashed = F.lit(0).cast("long"), F.xxhash64(F.col(text).cast("string"))
+    return number, F.when(maybe_member(several, number, docs), hashed).otherwise(none) if several.any() else none
+
+
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, body, lines, by_keys`` of every document that loses lines: their numbers and the keys of earlier lines."""
-    value = F.col(text).cast("string")
-    plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("key"), value.alias("text"),
-                        F.xxhash64(value).alias("body"))
+    return _removed(docs, text, threshold, *row_place(docs, key, text))
+
+
+def _removed(docs: DataFrame, text: str, threshold: float, number: Column, body: Column) -> DataFrame:
+    plain = docs.select(number.alias("key"), F.col(text).cast("string").alias("text"), body.alias("body"))
     with workspace(docs.sparkSession):
         return written(_removed_lines(plain, threshold), "removed", keep=True)
 
@@ -438,28 +485,53 @@ def _removed_lines(plain: DataFrame, threshold: float) -> DataFrame:
     ties, place = copies.filter("key = by_key"), F.struct("body", "line")
     stays = ties.groupBy(*names).agg(F.min(place).alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     gone = seen.filter("again").withColumn("by_key", F.col("key"))
-    similar = similar_lines(plain, sketch, threshold)
+    similar = similar_lines(plain, sketch, threshold, members(copies.select(*PLACE)))
     parts = (gone, copies.filter("key <> by_key"), ties.join(stays.drop("n"), names).filter(place != F.col("stays")), similar)
     gone = reduce(DataFrame.unionByName, (part.select(*PLACE, "by_key") for part in parts))
     return gone.groupBy("key", "body").agg(F.array_sort(F.collect_set("line")).alias("lines"),
                                            F.array_sort(F.collect_set("by_key")).alias("by_keys"))
 
 
-def without_lines(text: Column, lines: Column) -> Column:
-    parts = F.split(text, "\n")
-    return F.array_join(F.filter(parts, lambda part, i: ~F.array_contains(lines, i)), "\n")
+def squeezed(text: Column) -> Column:
+    """Length and compressed bytes of each text, as they travel."""
+
+    @F.arrow_udf("binary")
+    def packed(texts: pa.Array) -> pa.Array:
+        plain = (None if x is None else x.encode() for x in texts.to_pylist())
+        return pa.array([None if x is None else len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True)
+                         for x in plain], pa.binary())
+
+    return packed(text)
+
+
+def without_lines(packed: Column, lines: Column) -> Column:
+    """The texts again, without the listed lines."""
+
+    @F.arrow_udf("string")
+    def left(packed: pa.Array, lines: pa.Array) -> pa.Array:
+        texts = []
+        for one, gone in zip(packed.to_pylist(), lines.to_pylist()):
+            text = None if one is None else pa.decompress(one[8:], int.from_bytes(one[:8], "little"), "zstd", asbytes=True).decode()
+            if text is not None and gone:
+                gone = set(gone)
+                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+            texts.append(text)
+        return pa.array(texts, pa.string())
+
+    return left(packed, lines)
 
 
 def _shortened(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """The documents with shortened texts and ``__lines, __by`` (null where nothing went)."""
-    gone = removed_lines(docs, key, text, threshold).toDF("__number", "__body", "__lines", "__by")
-    number, body = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)), F.xxhash64(F.col(text).cast("string"))
+    number, body = row_place(docs, key, text)
+    gone = _removed(docs, text, threshold, number, body).toDF("__number", "__body", "__lines", "__by")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("__loses", maybe_member(
         members(gone.select(F.xxhash64("__number", "__body"))), F.xxhash64(number, body), docs))
-    joined = marked.filter("__loses").withColumns({"__number": number, "__body": body}).join(gone, ["__number", "__body"], "left")
-    short = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("__lines")))
-    changed = joined.withColumn(text, short).select(*columns, "__lines", "__by")
+    moved = marked.filter("__loses").withColumns({"__number": number, "__body": body}).withColumn(
+        text, squeezed(F.col(text).cast("string")))
+    joined = moved.join(gone, ["__number", "__body"], "left")
+    changed = joined.withColumn(text, without_lines(F.col(text), F.col("__lines"))).select(*columns, "__lines", "__by")
     same = marked.filter(~F.col("__loses")).select(
         *columns, F.lit(None).cast("array<int>").alias("__lines"), F.lit(None).cast("array<bigint>").alias("__by"))
     return changed.unionByName(same)

@@ -39,8 +39,8 @@ def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def members(keys: DataFrame) -> np.ndarray:
     """The packed bits of all columns' integer keys together, put together by Spark slice by slice."""
-    bits = LEAST_BITS
-    while bits < min(16 * keys.count(), MOST_BITS):
+    bits, needed = LEAST_BITS, min(16 * keys.count(), MOST_BITS)
+    while bits < needed:
         bits *= 2
 
     def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

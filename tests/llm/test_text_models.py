@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pulse.llm import linededup, neardup, quality, toxicity
 from pulse.llm import queries as Q
 from pulse.llm.linededup import dedup_lines, drop_repeated_lines
+from pulse.llm.membership import contained, hash_keys, members
 from pulse.llm.neardup import BANDS, ROWS, components, keep_one_of_each, near_duplicates, signatures, weighted_jaccard
 from pulse.llm.shared import workspace
 from pulse.llm.shingles import Sketch, chunks, distinct, shingles, text_buffer
@@ -183,6 +184,48 @@ def test_entries_that_may_match_by_bounds():
         assert open_[kept["token"] == token].tolist() == expected
 
 
+def test_postings_travel_in_few_bytes_over_many_buckets(spark, monkeypatch):
+    """Neither the text's hash of a key with one row nor the name of a set with one line travels."""
+    monkeypatch.setattr(linededup, "BUCKET_SHINGLES", 8_000)
+    rng = random.Random(23)
+    docs = table(spark, [sentence(rng, 34) for _ in range(3000)]).coalesce(1)
+    number, body = linededup.row_place(docs, "doc_id", "text")
+    plain = docs.select(number.alias("key"), "text", body.alias("body"))
+    with workspace(spark):
+        sketch = linededup.occurrences(plain)[1]
+        rows = linededup.packed_entries(plain, sketch, 0.8, members(plain.filter("key < 0").select("key"))).collect()
+    assert len(rows) > 5
+    count = sum(r["count"] for r in rows)
+    assert count > 10_000 and sum(len(r["entries"]) for r in rows) < 20 * count  # 25 and more before
+    for r in rows:
+        entries = linededup.unpack_entries(r["entries"], r["count"])
+        assert (np.diff(entries["key"]) >= 0).all() and not entries["name"].any() and not entries["body"].any()
+
+
+def test_packed_entries_arrive_as_they_were():
+    rng = np.random.default_rng(4)
+    entries = np.zeros(700, linededup._ENTRY)
+    for field in ("key", "body"):
+        entries[field] = rng.integers(-(1 << 63), (1 << 63) - 1, 700)
+    for field in ("line", "n", "place"):
+        entries[field] = rng.integers(0, 1 << 31, 700)
+    entries["mark"] = rng.integers(0, 1 << 64, 700, np.uint64)
+    for field in ("token", "name"):
+        entries[field] = rng.integers(0, 1 << 64, 700, np.uint64) & linededup.SENT
+    assert (linededup.unpack_entries(linededup.pack_entries(entries), 700) == entries).all()
+
+
+def test_a_filter_counts_its_keys_once(spark):
+    jobs = []
+    for n in (10, 200_000):
+        spark.sparkContext.setJobGroup(f"members-{n}", "")
+        filled = members(spark.range(n))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"members-{n}")))
+        assert contained(filled, hash_keys(np.arange(n))).all()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
 def test_short_lines_with_like_hashes_stay(spark):
     """The shingles of each pair agree in their first 44 bits."""
     texts = ["w4334664\nw7541184", "w6930488\nw8376416\nw4827717", "w7584642", "w4334664 "]
