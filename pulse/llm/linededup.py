@@ -44,7 +44,7 @@ from pulse.llm.shingles import Held, Sketch, added_up, chunks, distinct, distinc
 
 THRESHOLD = 0.8
 #: Prefix entries that a task holds before it deals them out.
-HELD_ENTRIES = 1 << 20
+HELD_ENTRIES = 1 << 19
 #: Shingles of the corpus for each bucket of the prefix join: about a quarter of them arrive, some 20 MB.
 BUCKET_SHINGLES = 2_000_000
 #: A token of more lines than this is dealt out by its lines as well, so that no bucket has to hold them all.
@@ -325,7 +325,8 @@ def packed_entries(docs: DataFrame, sketch: Sketch, threshold: float, copied: np
         entries = first_of_each(entries)
         hot = sketch.counts(entries["token"]) > HOT_TOKEN
         entries["name"] = np.where(entries["name"] & np.uint64(1), entries["name"] & SENT, np.uint64(0))
-        dealt_by = entries["token"] + np.where(hot, identity(entries), np.uint64(0))
+        dealt_by = entries["token"].copy()
+        dealt_by[hot] += identity(entries[hot])
         bucket = (mix(dealt_by) % np.uint64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 15 else bucket, kind="stable")
         numbers, starts = np.unique(bucket[order], return_index=True)
